@@ -40,9 +40,9 @@ def magnitude_chunk(value: str) -> Column:
     return F.floor(F.signum(v) * F.log1p(F.abs(v)) * 256)
 
 
-def with_chunks(df: DataFrame, key: str, chunk: Column, min_rows: int = HOT_ROWS) -> DataFrame:
+def with_chunks(df: DataFrame, key: str, chunk: Column, hot: DataFrame) -> DataFrame:
     """Add ``_chunk``: NULL for cold keys, the chunk for hot ones. Broadcasts hot keys only."""
-    hot = hot_keys(df, key, min_rows).withColumn("_hot", F.lit(True))
+    hot = hot.withColumn("_hot", F.lit(True))
     return df.join(F.broadcast(hot), key, "left").withColumn(
         _CHUNK, F.when(F.col("_hot"), chunk).cast("bigint")
     ).drop("_hot")
@@ -63,7 +63,8 @@ def ordered_windows(
     trailing_rows over the current row and the ``trailing - 1`` rows before it. Columns not used by
     the caller are pruned by the optimizer.
     """
-    rows = with_chunks(df, key, hour_chunk(ts), min_rows)
+    hot = hot_keys(df, key, min_rows)
+    rows = with_chunks(df, key, hour_chunk(ts), hot)
     order = W.partitionBy(key, _CHUNK).orderBy(ts, tiebreak)
     to_here = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
@@ -83,7 +84,7 @@ def ordered_windows(
         local["_near_sum"] = F.sum(v).over(near)
         local["_near_rows"] = F.count(v).over(near)
     rows = rows.withColumns(local)
-    carried = _ordered_carry(df, key, ts, tiebreak, value, trailing, min_rows)
+    carried = _ordered_carry(df, key, ts, tiebreak, value, trailing, hot)
     joined = rows.join(carried, [key, _CHUNK], "left")
 
     zero = F.lit(0)
@@ -111,11 +112,11 @@ def ordered_windows(
     return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in result.items()])
 
 
-def _ordered_carry(df, key, ts, tiebreak, value, trailing, min_rows) -> DataFrame:
+def _ordered_carry(df, key, ts, tiebreak, value, trailing, hot) -> DataFrame:
     """One row per (hot key, chunk): what the chunk's rows need to know about the other chunks."""
     hot_rows = (
         df.select(key, ts, tiebreak, value)
-        .join(F.broadcast(hot_keys(df, key, min_rows)), key, "left_semi")
+        .join(F.broadcast(hot), key, "left_semi")
         .withColumn(_CHUNK, hour_chunk(ts).cast("bigint"))
     )
     position = F.struct(ts, tiebreak)
@@ -158,14 +159,23 @@ def _ordered_carry(df, key, ts, tiebreak, value, trailing, min_rows) -> DataFram
 
 
 def value_windows(
-    df: DataFrame, key: str, value: str, tiebreak: list[str], tiles: int = 4, min_rows: int = HOT_ROWS
+    df: DataFrame,
+    key: str,
+    value: str,
+    tiebreak: list[str],
+    tiles: int = 4,
+    min_rows: int = HOT_ROWS,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add position (1 = highest value), value_rank, value_dense_rank and tile (1 = lowest values).
 
     Equal values never straddle a chunk, so a rank is the chunk's own rank plus the rows (or distinct
-    values) of the chunks above it.
+    values) of the chunks above it. ``source`` may name the plain rows ``df`` was derived from, so that
+    counting them does not repeat the derivation.
     """
-    rows = with_chunks(df, key, magnitude_chunk(value), min_rows)
+    source = df if source is None else source
+    hot = hot_keys(source, key, min_rows)
+    rows = with_chunks(df, key, magnitude_chunk(value), hot)
     by_value = W.partitionBy(key, _CHUNK).orderBy(F.desc(value))
     descending = W.partitionBy(key, _CHUNK).orderBy(F.desc(value), *tiebreak)
     ascending = W.partitionBy(key, _CHUNK).orderBy(F.asc(value), *tiebreak)
@@ -180,8 +190,8 @@ def value_windows(
         }
     )
     chunks = (
-        df.select(key, value)
-        .join(F.broadcast(hot_keys(df, key, min_rows)), key, "left_semi")
+        source.select(key, value)
+        .join(F.broadcast(hot), key, "left_semi")
         .groupBy(key, magnitude_chunk(value).cast("bigint").alias(_CHUNK))
         .agg(F.count(F.lit(1)).alias("_n"), F.countDistinct(value).alias("_d"))
     )

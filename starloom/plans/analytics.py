@@ -166,7 +166,7 @@ def amount_percentiles(fact: DataFrame, customers: DataFrame, approx: bool = Fal
         "n",
         mean(F.col("_sum"), F.col("n"), 2).alias("mean"),
         *[F.round(c, 2).alias(c) for c in _MARKS],
-        F.round("max", 2).alias("max"),
+        "max",
     ).orderBy(F.desc("n"), "segment")
 
 
@@ -229,14 +229,14 @@ def window_tour(
         first = _by_account(rows, accounts, key).orderBy(*order).limit(limit)
         shown = F.broadcast(first.select("account_key").distinct())
         rows = rows.join(shown, "account_key", "left_semi")
-    rows = ordered_windows(
+    ordered = ordered_windows(
         rows, "account_key", "transaction_ts", "transaction_id", "amount", 7, hot_rows
     )
-    rows = value_windows(
-        rows, "account_key", "amount", ["transaction_ts", "transaction_id"], 4, hot_rows
+    windowed = value_windows(
+        ordered, "account_key", "amount", ["transaction_ts", "transaction_id"], 4, hot_rows, rows
     )
     answer = _by_account(
-        rows,
+        windowed,
         accounts,
         [
             "transaction_ts",

@@ -217,18 +217,13 @@ def unknown_members(spark, sf_dir):
     branches = dimensions.merge_dim_branch(
         dimensions.unknown_branch(spark), sample.branches(spark, sf_dir)
     )
-    products = dimensions.seed_loan_product(
-        dimensions.loan_product_seed(spark).select(
-            "loan_type", "product_name", "is_secured", "typical_term_months", "loan_product_key"
-        )
-    )
     return quality.unknown_members(
         {
             "dim_customer": (star.customers, "customer_key", "customer_id"),
             "dim_account": (star.accounts, "account_key", "account_id"),
             "dim_branch": (branches, "branch_key", "branch_id"),
             "dim_merchant_category": (star.categories, "merchant_category_key", "category_code"),
-            "dim_loan_product": (products, "loan_product_key", "loan_type"),
+            "dim_loan_product": (star.products, "loan_product_key", "loan_type"),
         }
     )
 
@@ -257,7 +252,7 @@ def load_report(spark, sf_dir):
             "dim_customer": star.customers,
             "dim_account": star.accounts,
             "dim_merchant_category": star.categories,
-            "fact_transactions": star.fact(),
+            "fact_transactions": star.fact,
         }
     )
 
@@ -268,7 +263,7 @@ def load_report(spark, sf_dir):
 @query
 def fact_transactions(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    rows = _with_natural_keys(star.fact(load_id=1), star).select(*FACT_COLUMNS)
+    rows = _with_natural_keys(star.load_fact(load_id=1), star).select(*FACT_COLUMNS)
     return _wall_clock(rows, "transaction_ts")
 
 
@@ -276,21 +271,16 @@ def fact_transactions(spark, sf_dir):
 def fact_incremental_append(spark, sf_dir):
     """A second load over everything staged, after one that saw the days before the 16th."""
     star = _events(spark, sf_dir)
-    first = sample.Star(
-        star.staged.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")),
-        star.dates,
-        star.customers,
-        star.accounts,
-        star.categories,
-    ).fact(load_id=1)
-    second = star.fact(existing=first, load_id=2)
+    early = star.staged.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp"))
+    first = star.load_fact(early, load_id=1)
+    second = star.load_fact(existing=first, load_id=2)
     return _wall_clock(_with_natural_keys(second, star).select(*FACT_COLUMNS), "transaction_ts")
 
 
 @query
 def unknown_member_fallback(spark, sf_dir):
     """Rows and money by which of account, customer and category could be looked up."""
-    fact = _lineitem(spark, sf_dir).fact()
+    fact = _lineitem(spark, sf_dir).fact
     unknown = {
         c: F.col(f"{c}_key") == UNKNOWN_KEY for c in ("account", "customer", "merchant_category")
     }
@@ -307,7 +297,7 @@ def point_in_time_join(spark, sf_dir):
     )
     joined = history.point_in_time_join(
         users.select("transaction_id", F.col("customer_id").alias("user_id"), "timestamp", "amount"),
-        sample.dim_customer(spark, sf_dir, "events"),
+        _events(spark, sf_dir).customers,
         "user_id",
         F.to_date("timestamp"),
         ["segment", "credit_band", "valid_from"],
@@ -318,7 +308,7 @@ def point_in_time_join(spark, sf_dir):
 @query
 def fact_daily_balances(spark, sf_dir):
     star = _events(spark, sf_dir)
-    balances = facts.fact_daily_balances(star.fact(), star.accounts, star.customers, BALANCES_END)
+    balances = facts.fact_daily_balances(star.fact, star.accounts, star.customers, BALANCES_END)
     named = balances.join(star.accounts.select("account_key", "account_id"), "account_key").join(
         star.customers.select(
             "customer_key",
@@ -339,26 +329,15 @@ def fact_daily_balances(spark, sf_dir):
     )
 
 
-def _loan_fact(spark, sf_dir) -> DataFrame:
-    return facts.fact_loan_monthly(
-        sample.loan_snapshots(spark, sf_dir),
-        sample.loans(spark, sf_dir),
-        sample.dim_customer(spark, sf_dir, "lineitem"),
-        dimensions.loan_product_seed(spark),
-    )
-
-
 @query
 def fact_loan_monthly(spark, sf_dir):
-    customers = sample.dim_customer(spark, sf_dir, "lineitem")
-    products = F.broadcast(
-        dimensions.loan_product_seed(spark).select("loan_product_key", "loan_type")
-    )
+    star = _lineitem(spark, sf_dir)
+    products = F.broadcast(star.products.select("loan_product_key", "loan_type"))
     return (
-        _loan_fact(spark, sf_dir)
+        star.load_loan_months()
         .join(products, "loan_product_key")
         .join(
-            customers.select(
+            star.customers.select(
                 "customer_key", "customer_id", F.col("valid_from").alias("customer_from")
             ),
             "customer_key",
@@ -396,14 +375,14 @@ def dpd_bucket(spark, sf_dir):
 
 @query
 def v_current_customers(spark, sf_dir):
-    return views.v_current_customers(sample.dim_customer(spark, sf_dir, "events")).drop(
+    return views.v_current_customers(_events(spark, sf_dir).customers).drop(
         "customer_key"
     )
 
 
 @query
 def v_customer_history(spark, sf_dir):
-    return views.v_customer_history(sample.dim_customer(spark, sf_dir, "events")).drop(
+    return views.v_customer_history(_events(spark, sf_dir).customers).drop(
         "customer_key"
     )
 
@@ -412,7 +391,7 @@ def v_customer_history(spark, sf_dir):
 def v_transaction_enriched(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
     flat = views.v_transaction_enriched(
-        star.fact(), star.dates, star.accounts, star.customers, star.categories
+        star.fact, star.dates, star.accounts, star.customers, star.categories
     )
     return _wall_clock(flat, "transaction_ts")
 
@@ -420,21 +399,19 @@ def v_transaction_enriched(spark, sf_dir):
 @query
 def mv_monthly_transaction_summary(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    summary = views.mv_monthly_transaction_summary(star.fact(), star.customers, star.categories)
+    summary = views.mv_monthly_transaction_summary(star.fact, star.customers, star.categories)
     return _double(summary, "avg_amount")
 
 
 @query
 def point_in_time_customer(spark, sf_dir):
     """Every customer's profile as of a day between the second and third batch."""
-    return history.point_in_time_customer(
-        sample.dim_customer(spark, sf_dir, "events"), date(2024, 1, 15)
-    )
+    return history.point_in_time_customer(_events(spark, sf_dir).customers, date(2024, 1, 15))
 
 
 @query
 def fraud_lookup(spark, sf_dir):
-    return analytics.fraud_lookup(_lineitem(spark, sf_dir).fact(), 19970101, 19970331)
+    return analytics.fraud_lookup(_lineitem(spark, sf_dir).fact, 19970101, 19970331)
 
 
 # --- aggregates ---------------------------------------------------------------------------------
@@ -442,14 +419,14 @@ def fraud_lookup(spark, sf_dir):
 
 @query
 def monthly_volume(spark, sf_dir):
-    return _double(analytics.monthly_volume(_lineitem(spark, sf_dir).fact()), "avg_amount")
+    return _double(analytics.monthly_volume(_lineitem(spark, sf_dir).fact), "avg_amount")
 
 
 @query
 def fraud_rate_by_category(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
     return _double(
-        analytics.fraud_rate_by_category(star.fact(), star.categories),
+        analytics.fraud_rate_by_category(star.fact, star.categories),
         "fraud_rate_pct",
         "avg_fraud_amount",
         "avg_normal_amount",
@@ -460,7 +437,7 @@ def fraud_rate_by_category(spark, sf_dir):
 def channel_pivot(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
     return _double(
-        analytics.channel_pivot(star.fact(), star.customers),
+        analytics.channel_pivot(star.fact, star.customers),
         "pct_online",
         "avg_online_amt",
         "avg_in_person_amt",
@@ -469,21 +446,21 @@ def channel_pivot(spark, sf_dir):
 
 @query
 def filter_vs_case(spark, sf_dir):
-    return analytics.filter_vs_case(_events(spark, sf_dir).fact(), 100)
+    return analytics.filter_vs_case(_events(spark, sf_dir).fact, 100)
 
 
 @query
 def amount_percentiles(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
     return _double(
-        analytics.amount_percentiles(star.fact(), star.customers), "mean", "median", "p90", "p99"
+        analytics.amount_percentiles(star.fact, star.customers), "mean", "median", "p90", "p99"
     )
 
 
 @query
 def amount_percentile_disc(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.amount_percentile_disc(star.fact(), star.customers)
+    return analytics.amount_percentile_disc(star.fact, star.customers)
 
 
 # --- windows ------------------------------------------------------------------------------------
@@ -492,13 +469,13 @@ def amount_percentile_disc(spark, sf_dir):
 @query
 def running_balance(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.running_balance(star.fact(), star.accounts)
+    return analytics.running_balance(star.fact, star.accounts)
 
 
 @query
 def window_tour(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    tour = analytics.window_tour(star.fact(), star.accounts, limit=None)
+    tour = analytics.window_tour(star.fact, star.accounts, limit=None)
     return _wall_clock(_double(tour, "moving_avg_7", "pct_of_account_total"), "transaction_ts")
 
 
@@ -506,25 +483,25 @@ def window_tour(spark, sf_dir):
 def window_tour_report(spark, sf_dir):
     """The first twenty rows, as the report shows them."""
     star = _lineitem(spark, sf_dir)
-    tour = analytics.window_tour(star.fact(), star.accounts)
+    tour = analytics.window_tour(star.fact, star.accounts)
     return _wall_clock(_double(tour, "moving_avg_7", "pct_of_account_total"), "transaction_ts")
 
 
 @query
 def ranking_ties(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.ranking_ties(star.fact(), star.accounts)
+    return analytics.ranking_ties(star.fact, star.accounts)
 
 
 @query
 def last_value_frames(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.last_value_frames(star.fact(), star.accounts)
+    return analytics.last_value_frames(star.fact, star.accounts)
 
 
 @query
 def window_row_count(spark, sf_dir):
-    return analytics.window_row_count(_events(spark, sf_dir).fact())
+    return analytics.window_row_count(_events(spark, sf_dir).fact)
 
 
 # --- customers ----------------------------------------------------------------------------------
@@ -533,31 +510,31 @@ def window_row_count(spark, sf_dir):
 @query
 def monthly_growth(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return _double(analytics.monthly_growth(star.fact(), star.customers), "mom_growth_pct")
+    return _double(analytics.monthly_growth(star.fact, star.customers), "mom_growth_pct")
 
 
 @query
 def top_customers_per_segment(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.top_customers_per_segment(star.fact(), star.customers)
+    return analytics.top_customers_per_segment(star.fact, star.customers)
 
 
 @query
 def segment_migration(spark, sf_dir):
-    return analytics.segment_migration(sample.dim_customer(spark, sf_dir, "lineitem"))
+    return analytics.segment_migration(_lineitem(spark, sf_dir).customers)
 
 
 @query
 def first_last_txn(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    report = analytics.first_last_txn(star.fact(), star.customers)
+    report = analytics.first_last_txn(star.fact, star.customers)
     return _wall_clock(report, "first_txn", "last_txn")
 
 
 @query
 def cohort_retention(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    cohorts = analytics.cohort_retention(star.fact(), star.customers, limit=None)
+    cohorts = analytics.cohort_retention(star.fact, star.customers, limit=None)
     return _double(cohorts, "retention_pct")
 
 
@@ -565,7 +542,7 @@ def cohort_retention(spark, sf_dir):
 def cohort_retention_by_id(spark, sf_dir):
     """Activity under every version of a customer, not only the current one."""
     star = _lineitem(spark, sf_dir)
-    cohorts = analytics.cohort_retention(star.fact(), star.customers, limit=None, by="customer_id")
+    cohorts = analytics.cohort_retention(star.fact, star.customers, limit=None, by="customer_id")
     return _double(cohorts, "retention_pct")
 
 
@@ -575,7 +552,7 @@ def cohort_retention_by_id(spark, sf_dir):
 @query
 def third_highest_amount(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.third_highest_amount(star.fact(), star.accounts, limit=None)
+    return analytics.third_highest_amount(star.fact, star.accounts, limit=None)
 
 
 @query
@@ -593,14 +570,14 @@ def dedup_transactions(spark, sf_dir):
 @query
 def latest_txn_per_account(spark, sf_dir):
     star = _events(spark, sf_dir)
-    latest = analytics.latest_txn_per_account(star.fact(), star.accounts)
+    latest = analytics.latest_txn_per_account(star.fact, star.accounts)
     return _wall_clock(latest, "transaction_ts")
 
 
 @query
 def accounts_without_fraud(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.accounts_without_fraud(star.fact(), star.accounts, limit=None)
+    return analytics.accounts_without_fraud(star.fact, star.accounts, limit=None)
 
 
 @query
@@ -626,7 +603,7 @@ def not_in_null_trap(spark, sf_dir):
 @query
 def daily_activity(spark, sf_dir):
     star = _events(spark, sf_dir)
-    days = analytics.daily_activity(star.fact())
+    days = analytics.daily_activity(star.fact)
     return days.join(star.accounts.select("account_key", "account_id"), "account_key").select(
         "account_id", "full_date"
     )
@@ -635,19 +612,19 @@ def daily_activity(spark, sf_dir):
 @query
 def activity_streaks(spark, sf_dir):
     star = _events(spark, sf_dir)
-    return analytics.activity_streaks(star.fact(), star.accounts)
+    return analytics.activity_streaks(star.fact, star.accounts)
 
 
 @query
 def inactivity_gaps(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.inactivity_gaps(star.fact(), star.accounts, 90)
+    return analytics.inactivity_gaps(star.fact, star.accounts, 90)
 
 
 @query
 def dormant_accounts(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.dormant_accounts(star.fact(), star.accounts, date(2001, 12, 31), 180)
+    return analytics.dormant_accounts(star.fact, star.accounts, date(2001, 12, 31), 180)
 
 
 # --- loans --------------------------------------------------------------------------------------
@@ -655,7 +632,7 @@ def dormant_accounts(spark, sf_dir):
 
 @query
 def delinquency_roll_rate(spark, sf_dir):
-    return _double(analytics.delinquency_roll_rate(_loan_fact(spark, sf_dir)), "roll_rate_pct")
+    return _double(analytics.delinquency_roll_rate(_lineitem(spark, sf_dir).loan_months), "roll_rate_pct")
 
 
 @query
@@ -672,7 +649,7 @@ def vintage_analysis(spark, sf_dir):
 
 @query
 def vintage_curve(spark, sf_dir):
-    curve = analytics.vintage_curve(_loan_fact(spark, sf_dir), sample.loans(spark, sf_dir))
+    curve = analytics.vintage_curve(_lineitem(spark, sf_dir).loan_months, sample.loans(spark, sf_dir))
     return _double(curve, "cumulative_default_pct")
 
 
@@ -708,7 +685,7 @@ def check_scd2_overlap(spark, sf_dir):
 @query
 def check_validity_order(spark, sf_dir):
     """Versions cut off at the customer's joining date, which for many lies before their start."""
-    cut = sample.dim_customer(spark, sf_dir, "lineitem").withColumn(
+    cut = _lineitem(spark, sf_dir).customers.withColumn(
         "valid_to", F.least("valid_to", "join_date")
     )
     return quality.check_validity_order(cut)
@@ -748,14 +725,13 @@ def check_foreign_keys(spark, sf_dir):
 @query
 def check_not_null(spark, sf_dir):
     """The unknown member's empty attributes and the missing scores."""
-    dim = sample.dim_customer(spark, sf_dir, "events")
-    return quality.check_not_null(dim, CUSTOMER_COLUMNS)
+    return quality.check_not_null(_events(spark, sf_dir).customers, CUSTOMER_COLUMNS)
 
 
 @query
 def unknown_member_rate(spark, sf_dir):
     return quality.unknown_member_rate(
-        _lineitem(spark, sf_dir).fact(), ["account_key", "customer_key", "merchant_category_key"]
+        _lineitem(spark, sf_dir).fact, ["account_key", "customer_key", "merchant_category_key"]
     )
 
 
@@ -763,6 +739,6 @@ def unknown_member_rate(spark, sf_dir):
 def reconcile_totals(spark, sf_dir):
     """Everything staged against the fact: what differs is the repeated transaction ids."""
     star = _lineitem(spark, sf_dir)
-    return quality.reconcile_totals(star.staged, star.fact())
+    return quality.reconcile_totals(star.staged, star.fact)
 
 

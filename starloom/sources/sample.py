@@ -8,7 +8,7 @@ with repeated transaction ids).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import dimensions, facts, history
+from starloom.session import shared_dir
+from starloom.sources.store import Store
 
 # State of each nation number.
 NATION_STATES = [
@@ -250,19 +252,77 @@ def loan_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stars --------------------------------------------------------------------------------------
 
 
-@dataclass
+def dim_customer(spark: SparkSession, sf_dir: str, source: str, batches: int = 3) -> DataFrame:
+    """The customer dimension after the first ``batches`` merges, as one lazy plan."""
+    dim = dimensions.unknown_customer(spark)
+    for n, effective in enumerate(EFFECTIVE_DATES[source][:batches], start=1):
+        batch = customers(spark, sf_dir, n, first_orders=source == "lineitem")
+        dim = history.merge_dim_customer(dim, batch, effective, initial=n == 1)
+    return dim
+
+
+def dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimensions.merge_dim_account(dimensions.unknown_account(spark), accounts(spark, sf_dir))
+
+
 class Star:
-    """A star schema built lazily from one set of sample transactions."""
+    """A star schema of one set of sample transactions, published to the shared folder.
+
+    Each table is loaded and written when it is first asked for, as a warehouse load would, so the
+    queries read stored tables instead of repeating the load in every plan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, source: str):
+        self.spark, self.sf_dir, self.source = spark, sf_dir, source
+        self.store = Store(spark, shared_dir(spark, f"sample-{source}-{uuid.uuid4().hex[:8]}"))
+        self._tables: dict[str, DataFrame] = {}
+
+    def _stored(self, name: str, build, write=None) -> DataFrame:
+        if name not in self._tables:
+            (write or self.store.publish)(name, build())
+            self._tables[name] = self.store.read(name)
+        return self._tables[name]
+
+    @property
+    def staged(self) -> DataFrame:
+        read = event_transactions if self.source == "events" else lineitem_transactions
+        return read(self.spark, self.sf_dir)
+
+    @property
+    def dates(self) -> DataFrame:
+        return self._stored(
+            "dim_date", lambda: dimensions.dim_date(self.spark, *CALENDARS[self.source])
+        )
 
-    staged: DataFrame
-    dates: DataFrame
-    customers: DataFrame
-    accounts: DataFrame
-    categories: DataFrame
+    @property
+    def customers(self) -> DataFrame:
+        return self._stored(
+            "dim_customer", lambda: dim_customer(self.spark, self.sf_dir, self.source)
+        )
 
-    def fact(self, existing: DataFrame | None = None, load_id: int | None = None) -> DataFrame:
+    @property
+    def accounts(self) -> DataFrame:
+        return self._stored("dim_account", lambda: dim_account(self.spark, self.sf_dir))
+
+    @property
+    def categories(self) -> DataFrame:
+        return self._stored(
+            "dim_merchant_category", lambda: dimensions.merchant_category_seed(self.spark)
+        )
+
+    @property
+    def products(self) -> DataFrame:
+        return self._stored("dim_loan_product", lambda: dimensions.loan_product_seed(self.spark))
+
+    def load_fact(
+        self,
+        staged: DataFrame | None = None,
+        existing: DataFrame | None = None,
+        load_id: int | None = None,
+    ) -> DataFrame:
+        """The fact rows a load would append, not stored."""
         return facts.fact_transactions(
-            self.staged,
+            self.staged if staged is None else staged,
             self.dates,
             self.accounts,
             self.customers,
@@ -271,27 +331,31 @@ class Star:
             load_id,
         )
 
+    @property
+    def fact(self) -> DataFrame:
+        return self._stored(
+            "fact_transactions", lambda: self.load_fact(load_id=1), self.store.append
+        )
 
-def dim_customer(spark: SparkSession, sf_dir: str, source: str, batches: int = 3) -> DataFrame:
-    """The customer dimension after the first ``batches`` merges."""
-    dim = dimensions.unknown_customer(spark)
-    for n, effective in enumerate(EFFECTIVE_DATES[source][:batches], start=1):
-        batch = customers(spark, sf_dir, n, first_orders=source == "lineitem")
-        dim = history.merge_dim_customer(dim, batch, effective, initial=n == 1)
-    return dim
+    def load_loan_months(self) -> DataFrame:
+        return facts.fact_loan_monthly(
+            loan_snapshots(self.spark, self.sf_dir),
+            loans(self.spark, self.sf_dir),
+            self.customers,
+            self.products,
+        )
 
+    @property
+    def loan_months(self) -> DataFrame:
+        return self._stored("fact_loan_monthly", self.load_loan_months, self.store.append)
 
-def dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.merge_dim_account(dimensions.unknown_account(spark), accounts(spark, sf_dir))
+
+_STARS: dict[tuple[str, str, str], Star] = {}
 
 
 def star(spark: SparkSession, sf_dir: str, source: str) -> Star:
-    """``source`` is "events" or "lineitem"."""
-    read = event_transactions if source == "events" else lineitem_transactions
-    return Star(
-        staged=read(spark, sf_dir),
-        dates=dimensions.dim_date(spark, *CALENDARS[source]),
-        customers=dim_customer(spark, sf_dir, source),
-        accounts=dim_account(spark, sf_dir),
-        categories=dimensions.merchant_category_seed(spark),
-    )
+    """The star of "events" or "lineitem", loaded once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, source)
+    if key not in _STARS:
+        _STARS[key] = Star(spark, sf_dir, source)
+    return _STARS[key]

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,16 +29,14 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # An existing log is left alone; a new store starts with an empty one.
+        empty = spark.createDataFrame([], _LOG)
+        empty.write.mode("ignore").parquet(f"{self.root}/_published")
 
     # --- reading ------------------------------------------------------------------------------
 
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.root}/_published")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _LOG)
+        return self.spark.read.schema(_LOG).parquet(f"{self.root}/_published")
 
     def _entries(self, table: str) -> list:
         """Log rows of a table, oldest first: one per publication, never data."""
