@@ -60,10 +60,12 @@ def delinquency_bucket(days_past_due: Column, charge_off_at: int | None = 180) -
 
 
 def branch_region(state: Column) -> Column:
-    lookup = F.create_map(
-        *[F.lit(x) for region, states in REGION_STATES.items() for s in states for x in (s, region)]
-    )
-    return F.coalesce(F.try_element_at(lookup, state), F.lit(OTHER_REGION))
+    regions = iter(REGION_STATES.items())
+    region, states = next(regions)
+    chain = F.when(state.isin(states), region)
+    for region, states in regions:
+        chain = chain.when(state.isin(states), region)
+    return chain.otherwise(OTHER_REGION)
 
 
 def product_family(product_type: Column) -> Column:

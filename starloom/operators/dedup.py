@@ -36,11 +36,9 @@ def refuse_duplicates(df: DataFrame, key: str, what: str) -> DataFrame:
     group is buffered) and its sort is the one the following join on the key needs anyway.
     """
     second = F.row_number().over(W.partitionBy(key).orderBy(key)) > 1
-    message = F.concat(F.lit(f"duplicate {key} in {what}: "), F.col(key))
-    reserved = F.concat(F.lit(f"reserved {key} in {what}: "), F.col(key))
-    return df.withColumn("_second", second).withColumn(
-        key,
-        F.when(F.col("_second"), F.raise_error(message).cast("string"))
-        .when(F.col(key) == "-1", F.raise_error(reserved).cast("string"))
-        .otherwise(F.col(key)),
-    ).drop("_second")
+    checked = F.expr(
+        f"""CASE WHEN _second THEN CAST(raise_error(concat('duplicate {key} in {what}: ', {key})) AS STRING)
+                 WHEN {key} = '-1' THEN CAST(raise_error('reserved {key} in {what}') AS STRING)
+                 ELSE {key} END"""
+    )
+    return df.withColumn("_second", second).withColumn(key, checked).drop("_second")

@@ -15,7 +15,6 @@ from starloom.functions.keys import (
     UNKNOWN_CODE,
     UNKNOWN_ID,
     UNKNOWN_KEY,
-    hash_key,
 )
 from starloom.operators.dedup import insert_if_absent, refuse_duplicates
 
@@ -122,16 +121,12 @@ def loan_product_seed(spark: SparkSession) -> DataFrame:
 
 def _lookup(spark: SparkSession, schema, rows) -> DataFrame:
     key, code, *attrs, stamp = schema.fieldNames()
-    body = schemas.literal_table(
-        spark, type(schema)([f for f in schema.fields if f.name not in (key, stamp)]), rows
-    )
-    surrogate = F.when(F.col(code) == UNKNOWN_CODE, F.lit(UNKNOWN_KEY)).otherwise(hash_key(code))
-    return body.select(
-        surrogate.cast("bigint").alias(key),
-        code,
-        *attrs,
-        F.current_timestamp().alias(stamp),
-    )
+    table = []
+    for row in rows:
+        cells = {n: schemas.sql_literal(v) for n, v in zip([code, *attrs], row)}
+        cells[key] = str(UNKNOWN_KEY) if row[0] == UNKNOWN_CODE else f"xxhash64({cells[code]})"
+        table.append({**cells, stamp: "current_timestamp()"})
+    return schemas.literal_table(spark, schema, table)
 
 
 def seed_merchant_category(existing: DataFrame) -> DataFrame:
@@ -147,11 +142,9 @@ def seed_loan_product(existing: DataFrame) -> DataFrame:
 
 
 def _unknown(spark: SparkSession, schema, **values) -> DataFrame:
-    stamps = {f: F.current_timestamp() for f in ("created_at", "updated_at")}
-    cells = {**stamps, **{k: F.lit(v) for k, v in values.items()}}
-    return spark.range(0, 1, 1, 1).select(
-        *[cells.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    cells = {n: schemas.sql_literal(v) for n, v in values.items()}
+    stamps = {n: "current_timestamp()" for n in ("created_at", "updated_at")}
+    return schemas.literal_table(spark, schema, [{**stamps, **cells}])
 
 
 def unknown_customer(spark: SparkSession) -> DataFrame:
@@ -216,27 +209,29 @@ def merge_dim_account(dim: DataFrame, staged: DataFrame, load_ts: Column | None
 
 
 def _upsert(dim, incoming, natural, surrogate, schema, kept, load_ts) -> DataFrame:
-    """New snapshot of a Type 1 dimension: one full outer join, so one shuffle of each side."""
+    """New snapshot of a Type 1 dimension: one full outer join, so one shuffle of each side.
+
+    A row found on one side only is taken from there. Where both sides have it, the batch wins, except
+    for ``kept`` columns.
+    """
     stamp = F.current_timestamp() if load_ts is None else load_ts
-    incoming = refuse_duplicates(incoming, natural, "batch").withColumn("_in", F.lit(True))
-    d = dim.withColumn("_known", F.lit(True)).alias("d")
-    both = d.join(incoming.alias("i"), F.col(f"d.{natural}") == F.col(f"i.{natural}"), "full_outer")
-    staged, known = F.col("i._in").isNotNull(), F.col("d._known").isNotNull()
-    key = F.coalesce(f"d.{natural}", f"i.{natural}")
-
-    def cell(name: str) -> Column:
-        if name == natural:
-            return key
-        if name == surrogate:
-            return F.coalesce(F.col(f"d.{name}"), hash_key(key))
-        if name == "created_at":
-            return F.coalesce(F.col("d.created_at"), stamp)
-        if name == "updated_at":
-            return F.when(staged, stamp).otherwise(F.col("d.updated_at"))
-        if name in kept:
-            return F.when(known, F.col(f"d.{name}")).otherwise(F.col(f"i.{name}"))
-        return F.when(staged, F.col(f"i.{name}")).otherwise(F.col(f"d.{name}"))
-
-    return schemas.conform(
-        both.select(*[cell(f.name).alias(f.name) for f in schema.fields]), schema
+    batch = refuse_duplicates(incoming, natural, "batch").withColumns(
+        {"_staged": F.lit(True), "_stamp": stamp}
+    )
+    known = dim.withColumn("_known", F.lit(True))
+    both = known.alias("d").join(
+        batch.alias("i"), F.col(f"d.{natural}") == F.col(f"i.{natural}"), "full_outer"
+    )
+    cells = {
+        natural: f"coalesce(d.{natural}, i.{natural})",
+        surrogate: f"coalesce(d.{surrogate}, xxhash64(i.{natural}))",
+        "created_at": "if(d._known, d.created_at, i._stamp)",
+        "updated_at": "if(i._staged, i._stamp, d.updated_at)",
+        **{c: f"if(d._known, d.{c}, i.{c})" for c in kept},
+    }
+    return both.selectExpr(
+        *[
+            schemas.typed(cells.get(f.name, f"if(i._staged, i.{f.name}, d.{f.name})"), f)
+            for f in schema.fields
+        ]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.functions import attributes
-from starloom.functions.keys import BEGINNING_OF_HISTORY, END_OF_TIME, UNKNOWN_KEY, hash_key
+from starloom.functions.keys import BEGINNING_OF_HISTORY, END_OF_TIME, UNKNOWN_KEY
 from starloom.operators.dedup import refuse_duplicates
 
 _FIRST_DAY = "0001-01-01"
@@ -49,55 +49,37 @@ def merge_dim_customer(
     the job.
     """
     stamp = F.current_timestamp() if load_ts is None else load_ts
-    effective = F.lit(effective_date).cast("date")
-    first_open = F.lit(BEGINNING_OF_HISTORY).cast("date") if initial else effective
-
     batch = refuse_duplicates(incoming_customers(staged), "customer_id", "batch")
     d = dim.withColumn("_old", F.lit(True)).alias("d")
-    i = batch.withColumn("_new", F.lit(True)).alias("i")
+    i = batch.withColumns({"_new": F.lit(True), "_stamp": stamp}).alias("i")
     same_customer = F.col("d.customer_id") == F.col("i.customer_id")
     both = d.join(i, same_customer & F.col("d.is_current"), "full_outer")
 
-    old, new = F.col("d._old").isNotNull(), F.col("i._new").isNotNull()
-    changed = old & new & ~F.col("d.row_hash").eqNullSafe(F.col("i.row_hash"))
-    too_early = changed & (effective <= F.col("d.valid_from"))
-    closing_date = F.when(
-        too_early,
-        F.raise_error(
-            F.concat(F.lit("effective date not after valid_from of "), F.col("d.customer_id"))
-        ).cast("date"),
-    ).otherwise(effective)
-
+    day = f"DATE'{effective_date}'"
+    changed = "(_old AND _new AND NOT (d.row_hash <=> i.row_hash))"
+    refusal = "raise_error(concat('effective date not after valid_from of ', d.customer_id))"
+    closing_day = f"if({day} > d.valid_from, {day}, CAST({refusal} AS DATE))"
+    first_day = f"DATE'{BEGINNING_OF_HISTORY}'" if initial else day
+    opened_on = f"if(_old, {day}, {first_day})"
     closing = {
-        "valid_to": F.when(changed, closing_date).otherwise(F.col("d.valid_to")),
-        "is_current": F.col("d.is_current") & ~changed,
-        "updated_at": F.when(changed, stamp).otherwise(F.col("d.updated_at")),
+        "valid_to": f"if({changed}, {closing_day}, d.valid_to)",
+        "is_current": f"d.is_current AND NOT coalesce({changed}, false)",
+        "updated_at": f"if({changed}, _stamp, d.updated_at)",
     }
-    opened_on = F.when(old, effective).otherwise(first_open)
     opening = {
-        "customer_key": hash_key(F.col("i.customer_id"), opened_on),
+        "customer_key": f"xxhash64(i.customer_id, {opened_on})",
         "valid_from": opened_on,
-        "valid_to": F.lit(END_OF_TIME),
-        "is_current": F.lit(True),
-        "created_at": stamp,
-        "updated_at": stamp,
+        "valid_to": f"DATE'{END_OF_TIME}'",
+        "is_current": "true",
+        "created_at": "_stamp",
+        "updated_at": "_stamp",
     }
-
-    def version(side: str, replaced: dict[str, Column]) -> Column:
-        return F.struct(
-            *[
-                replaced.get(f.name, F.col(f"{side}.{f.name}")).cast(f.dataType).alias(f.name)
-                for f in schemas.DIM_CUSTOMER.fields
-            ]
-        )
-
-    versions = F.array_compact(
-        F.array(
-            F.when(old, version("d", closing)),
-            F.when(new & (changed | ~old), version("i", opening)),
-        )
-    )
-    return both.select(F.inline(versions))
+    old_row = schemas.struct_of(schemas.DIM_CUSTOMER, closing, "d.{name}")
+    new_row = schemas.struct_of(schemas.DIM_CUSTOMER, opening, "i.{name}")
+    versions = f"""array_compact(array(
+        if(_old, {old_row}, NULL),
+        if(_new AND (_old IS NULL OR {changed}), {new_row}, NULL)))"""
+    return both.selectExpr(f"inline({versions})")
 
 
 # --- point in time ------------------------------------------------------------------------------

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -98,13 +97,33 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Spark's ANSI casts raise on a value that does not fit, as a typed table would.
     """
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[typed(f"`{f.name}`", f) for f in schema.fields])
 
 
-def literal_table(spark, schema: T.StructType, rows: list[tuple]) -> DataFrame:
-    """A small constant table as one literal array, known to the optimizer to be tiny."""
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, row)])
-        for row in rows
+def typed(sql: str, field: T.StructField) -> str:
+    """SQL for an expression shown under a declared name and type."""
+    return f"CAST({sql} AS {field.dataType.simpleString()}) AS `{field.name}`"
+
+
+def struct_of(schema: T.StructType, cells: dict[str, str], otherwise: str = "NULL") -> str:
+    """SQL for a row of ``schema`` from SQL cells; ``otherwise`` may contain {name}."""
+    parts = [
+        f"'{f.name}', CAST({cells.get(f.name, otherwise.format(name=f.name))} AS "
+        f"{f.dataType.simpleString()})"
+        for f in schema.fields
     ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    return f"named_struct({', '.join(parts)})"
+
+
+def sql_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, (bool, int)):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_table(spark, schema: T.StructType, rows: list[dict[str, str]]) -> DataFrame:
+    """A small constant table from rows of SQL cells."""
+    structs = ", ".join(struct_of(schema, row) for row in rows)
+    return spark.range(0, 1, 1, 1).selectExpr(f"inline(array({structs}))")

@@ -56,15 +56,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _choose(column: str, values: dict[str, str]):
-    mapping = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-    return F.try_element_at(mapping, F.col(column))
+def _choose(column: str, values: dict[str, str]) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in values.items())
+    return f"CASE {column} {cases} END"
 
 
 def _staged(df: DataFrame, entity: str, columns: dict[str, str]) -> DataFrame:
     """Project SQL expressions and conform to the entity's schema."""
-    rows = df.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])
-    return schemas.conform(rows, schemas.STAGING[entity])
+    fields = schemas.STAGING[entity].fields
+    return df.selectExpr(*[schemas.typed(columns[f.name], f) for f in fields])
 
 
 CUSTOMER_ID = "concat('CUST_', c_custkey, if(c_custkey % 50 = 49, '_NEW', ''))"
@@ -141,12 +141,11 @@ def accounts_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def branches(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
     """Suppliers as branches; ``shift`` moves ids on and so renames branches and adds ``shift`` new."""
-    states = F.array(*[F.lit(s) for s in NATION_STATES])
+    states = ", ".join(map(schemas.sql_literal, NATION_STATES))
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = (
         table(spark, sf_dir, "supplier")
         .join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))
-        .withColumn("state", F.get(states, F.col("s_nationkey")))
     )
     return _staged(
         rows,
@@ -155,25 +154,22 @@ def branches(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
             "branch_id": f"concat('BR_', s_suppkey + {shift})",
             "branch_name": "s_name",
             "city": "n_name",
-            "state": "state",
+            "state": f"get(array({states}), s_nationkey)",
             "opened_date": "date_add(DATE'2000-01-01', cast(s_suppkey % 9000 as int))",
         },
     )
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").withColumn(
-        "category", _choose("event_type", EVENT_CATEGORIES)
-    )
     return _staged(
-        rows,
+        table(spark, sf_dir, "events"),
         "transactions",
         {
             "transaction_id": "concat('E', event_id)",
             "account_id": "concat('ACC_', user_id)",
             "timestamp": "ts",
             "amount": "value",
-            "merchant_category": "category",
+            "merchant_category": _choose("event_type", EVENT_CATEGORIES),
             "channel": "if(event_id % 2 = 0, 'online', 'in_person')",
             "is_fraud": "event_id % 37 = 0",
         },
@@ -182,15 +178,10 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = [code for code, *_ in dimensions.MERCHANT_CATEGORIES[:10]] + ["nope"]
-    rows = (
-        table(spark, sf_dir, "lineitem")
-        .join(
-            table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-        )
-        .withColumn(
-            "category", F.get(F.array(*[F.lit(c) for c in codes]), (F.col("l_partkey") % 11).cast("int"))
-        )
+    categories = ", ".join(map(schemas.sql_literal, codes))
+    rows = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
+        F.col("l_orderkey") == F.col("o_orderkey"),
     )
     return _staged(
         rows,
@@ -200,7 +191,7 @@ def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "account_id": "concat('ACC_', o_custkey)",
             "timestamp": "l_shipdate",
             "amount": "l_extendedprice",
-            "merchant_category": "category",
+            "merchant_category": f"get(array({categories}), cast(l_partkey % 11 as int))",
             "channel": "if(l_linestatus = 'O', 'online', 'in_person')",
             "is_fraud": "(l_orderkey * 7 + l_linenumber) % 667 = 0",
         },
@@ -208,11 +199,8 @@ def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").withColumns(
-        {
-            "loan_type": _choose("o_orderpriority", PRIORITY_LOAN_TYPES),
-            "principal": F.col("o_totalprice").cast("decimal(16,2)"),
-        }
+    rows = table(spark, sf_dir, "orders").withColumn(
+        "principal", F.col("o_totalprice").cast("decimal(16,2)")
     )
     return _staged(
         rows,
@@ -220,7 +208,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "loan_id": "concat('LN_', o_orderkey)",
             "customer_id": "concat('CUST_', o_custkey)",
-            "loan_type": "loan_type",
+            "loan_type": _choose("o_orderpriority", PRIORITY_LOAN_TYPES),
             "principal": "principal",
             "apr": "0.03 + cast(o_orderkey % 15 as decimal(6,4)) / 100",
             "term_months": "36",
