@@ -2,39 +2,56 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "smallint": T.ShortType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def columns(text: str) -> T.StructType:
+    """A schema from "name type, name decimal(p,s), ..."; needs no running session."""
+    schema = T.StructType()
+    for name, kind, size in re.findall(r"(\w+) (\w+)(?:\((\d+,\d+)\))?", text):
+        schema.add(name, T.DecimalType(*map(int, size.split(","))) if size else _TYPES[kind])
+    return schema
 
 
 STAGING = {
-    "branches": _schema(
+    "branches": columns(
         "branch_id string, branch_name string, city string, state string, opened_date date"
     ),
-    "customers": _schema(
+    "customers": columns(
         "customer_id string, first_name string, last_name string, age int, "
         "annual_income decimal(14,2), credit_score int, dti decimal(6,3), segment string, "
         "join_date date, home_branch_id string"
     ),
-    "accounts": _schema(
+    "accounts": columns(
         "account_id string, customer_id string, product_type string, apr decimal(6,4), "
         "open_date date, status string, initial_balance decimal(16,2)"
     ),
-    "transactions": _schema(
+    "transactions": columns(
         "transaction_id string, account_id string, timestamp timestamp, amount decimal(16,2), "
         "merchant_category string, channel string, is_fraud boolean"
     ),
-    "loans": _schema(
+    "loans": columns(
         "loan_id string, customer_id string, loan_type string, principal decimal(16,2), "
         "apr decimal(6,4), term_months int, origination_date date, monthly_payment decimal(16,2), "
         "credit_score_at_origination int, dti_at_origination decimal(6,3), defaulted boolean"
     ),
 }
 
-DIM_DATE = _schema(
+DIM_DATE = columns(
     "date_key int, full_date date, year smallint, quarter smallint, month smallint, "
     "month_name string, week_of_year smallint, day_of_month smallint, day_of_week smallint, "
     "day_name string, is_weekend boolean, is_business_day boolean, is_month_end boolean, "
@@ -42,7 +59,7 @@ DIM_DATE = _schema(
     "prior_year_date_key int, days_from_epoch int"
 )
 
-DIM_CUSTOMER = _schema(
+DIM_CUSTOMER = columns(
     "customer_key bigint, customer_id string, first_name string, last_name string, "
     "full_name string, age smallint, annual_income decimal(14,2), credit_score smallint, "
     "credit_band string, dti decimal(6,3), segment string, join_date date, "
@@ -50,41 +67,41 @@ DIM_CUSTOMER = _schema(
     "row_hash string, created_at timestamp, updated_at timestamp"
 )
 
-DIM_ACCOUNT = _schema(
+DIM_ACCOUNT = columns(
     "account_key bigint, account_id string, customer_id string, product_type string, "
     "product_family string, apr decimal(6,4), open_date date, status string, "
     "initial_balance decimal(16,2), created_at timestamp, updated_at timestamp"
 )
 
-DIM_BRANCH = _schema(
+DIM_BRANCH = columns(
     "branch_key bigint, branch_id string, branch_name string, city string, state string, "
     "region string, opened_date date, created_at timestamp, updated_at timestamp"
 )
 
-DIM_MERCHANT_CATEGORY = _schema(
+DIM_MERCHANT_CATEGORY = columns(
     "merchant_category_key bigint, category_code string, category_name string, "
     "is_discretionary boolean, fraud_risk_tier string, created_at timestamp"
 )
 
-DIM_LOAN_PRODUCT = _schema(
+DIM_LOAN_PRODUCT = columns(
     "loan_product_key bigint, loan_type string, product_name string, is_secured boolean, "
     "typical_term_months smallint, created_at timestamp"
 )
 
-FACT_TRANSACTIONS = _schema(
+FACT_TRANSACTIONS = columns(
     "transaction_key bigint, transaction_id string, date_key int, account_key bigint, "
     "customer_key bigint, merchant_category_key bigint, amount decimal(16,2), "
     "transaction_ts timestamp, hour_of_day smallint, channel string, is_fraud boolean, "
     "load_id bigint, created_at timestamp"
 )
 
-FACT_DAILY_BALANCES = _schema(
+FACT_DAILY_BALANCES = columns(
     "balance_key bigint, date_key int, account_key bigint, customer_key bigint, "
     "closing_balance decimal(16,2), total_debits decimal(16,2), total_credits decimal(16,2), "
     "transaction_count int, load_id bigint, created_at timestamp"
 )
 
-FACT_LOAN_MONTHLY = _schema(
+FACT_LOAN_MONTHLY = columns(
     "loan_month_key bigint, date_key int, loan_id string, customer_key bigint, "
     "loan_product_key bigint, outstanding_balance decimal(16,2), scheduled_payment decimal(16,2), "
     "principal_paid decimal(16,2), interest_paid decimal(16,2), days_past_due int, "

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import calendar
+from starloom.schemas import columns
 
-_LOG = T.StructType.fromDDL(
+_LOG = columns(
     "table string, kind string, version bigint, folder string, rows bigint, load_id bigint, "
     "published_at timestamp"
 )
@@ -85,9 +86,9 @@ class Store:
         layout(watched.write).parquet(f"{self.root}/{folder}")
         rows = counted.get["rows"]
         entry = [(table, kind, version, folder, rows, load_id)]
-        columns = [f for f in _LOG.fields if f.name != "published_at"]
+        stamped = [f for f in _LOG.fields if f.name != "published_at"]
         (
-            self.spark.createDataFrame(entry, T.StructType(columns))
+            self.spark.createDataFrame(entry, T.StructType(stamped))
             .withColumn("published_at", F.current_timestamp())
             .coalesce(1)
             .write.mode("append")
