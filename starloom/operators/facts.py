@@ -32,8 +32,8 @@ def or_unknown(key: Column | str) -> Column:
 
 
 def in_calendar(staged: DataFrame, dates: DataFrame) -> DataFrame:
-    """Rows whose day the calendar holds. A calendar is a few thousand days, so it is broadcast."""
-    day = F.broadcast(dates.select(F.col("full_date").alias("_day")))
+    """Rows whose day the calendar holds: a semi-join with a few thousand days."""
+    day = dates.select(F.col("full_date").alias("_day"))
     return staged.join(day, F.to_date("timestamp") == F.col("_day"), "left_semi")
 
 
@@ -65,7 +65,8 @@ def fact_transactions(
 
     Each row gets the account, the customer version valid on its day, and the category; what cannot
     be looked up points at the unknown member, so no row is lost. Account and customer come from one
-    join on account_id with a validity range; the category lookup is a handful of rows and broadcast.
+    join on account_id with a validity range. Joins carry no hints: the optimizer broadcasts what it
+    measures to be small (calendar and categories are) and splits hot accounts of a shuffled join.
     """
     rows = new_transactions(staged, dates, existing)
     periods = account_owner_periods(accounts, customers).alias("p")
@@ -76,10 +77,8 @@ def fact_transactions(
         & valid_on(day, F.col("p.valid_from"), F.col("p.valid_to")),
         "left",
     )
-    lookup = F.broadcast(categories.select("category_code", "merchant_category_key"))
-    priced = owned.join(
-        lookup, F.col("s.merchant_category") == F.col("category_code"), "left"
-    )
+    lookup = categories.select("category_code", "merchant_category_key")
+    named = owned.join(lookup, F.col("s.merchant_category") == F.col("category_code"), "left")
     columns = {
         "transaction_key": hash_key(F.col("s.transaction_id")),
         "transaction_id": F.col("s.transaction_id"),
@@ -96,7 +95,7 @@ def fact_transactions(
         "created_at": F.current_timestamp() if load_ts is None else load_ts,
     }
     return schemas.conform(
-        priced.select(*[c.alias(n) for n, c in columns.items()]), schemas.FACT_TRANSACTIONS
+        named.select(*[c.alias(n) for n, c in columns.items()]), schemas.FACT_TRANSACTIONS
     )
 
 
@@ -254,7 +253,7 @@ def fact_loan_monthly(
     }
     monthly = dense.withColumns({**paid, "day": day}).alias("m")
 
-    kinds = F.broadcast(products.select("loan_type", "loan_product_key"))
+    kinds = products.select("loan_type", "loan_product_key")
     owned = (
         loans.select("loan_id", "customer_id", "loan_type", "monthly_payment")
         .join(kinds, "loan_type", "left")

@@ -2,7 +2,7 @@
 
 A plain window puts every row of a key into one task. Here only *hot* keys are treated differently:
 their rows are cut into chunks by a monotone function of the ordering value (the hour of a timestamp,
-a logarithmic step of an amount), each chunk is windowed by itself, and what lies outside the chunk
+a logarithmic step of an amount; a step that is itself hot is cut by amount and hour), each chunk is windowed by itself, and what lies outside the chunk
 (rows and totals before it, the neighbouring values, the last few values) is carried in from a small
 table with one row per hot key and chunk. Results equal the plain window's; rows are never dropped.
 
@@ -26,7 +26,7 @@ _CHUNK = "_chunk"
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """The hot values of ``key``: at most 1 / HOT_SHARE rows, found by a map-side combined count."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    share = df.agg((F.count(F.lit(1)) * F.lit(HOT_SHARE)).alias("_share"))
+    share = counts.agg((F.sum("_rows") * F.lit(HOT_SHARE)).alias("_share"))
     return counts.where((F.col("_rows") > min_rows) & (F.col("_rows") > share.scalar())).select(key)
 
 
@@ -56,15 +56,18 @@ def ordered_windows(
     value: str,
     trailing: int | None = None,
     min_rows: int = HOT_ROWS,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """Add window columns over each ``key`` in (ts, tiebreak) order.
 
     seq, running, previous, following, first, last, total; with ``trailing`` also trailing_sum and
     trailing_rows over the current row and the ``trailing - 1`` rows before it. Columns not used by
-    the caller are pruned by the optimizer.
+    the caller are pruned by the optimizer. ``chunk`` may replace the hour of ``ts`` by another number
+    that never falls as (ts, tiebreak) rises, where hours are too coarse or too fine.
     """
     hot = hot_keys(df, key, min_rows)
-    rows = with_chunks(df, key, hour_chunk(ts), hot)
+    chunk = hour_chunk(ts) if chunk is None else chunk
+    rows = with_chunks(df, key, chunk, hot)
     order = W.partitionBy(key, _CHUNK).orderBy(ts, tiebreak)
     to_here = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
@@ -84,7 +87,7 @@ def ordered_windows(
         local["_near_sum"] = F.sum(v).over(near)
         local["_near_rows"] = F.count(v).over(near)
     rows = rows.withColumns(local)
-    carried = _ordered_carry(df, key, ts, tiebreak, value, trailing, hot)
+    carried = _ordered_carry(df, key, ts, tiebreak, value, trailing, hot, chunk)
     joined = rows.join(carried, [key, _CHUNK], "left")
 
     zero = F.lit(0)
@@ -112,12 +115,12 @@ def ordered_windows(
     return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in result.items()])
 
 
-def _ordered_carry(df, key, ts, tiebreak, value, trailing, hot) -> DataFrame:
+def _ordered_carry(df, key, ts, tiebreak, value, trailing, hot, chunk) -> DataFrame:
     """One row per (hot key, chunk): what the chunk's rows need to know about the other chunks."""
     hot_rows = (
-        df.select(key, ts, tiebreak, value)
-        .join(F.broadcast(hot), key, "left_semi")
-        .withColumn(_CHUNK, hour_chunk(ts).cast("bigint"))
+        df.join(F.broadcast(hot), key, "left_semi")
+        .withColumn(_CHUNK, chunk.cast("bigint"))
+        .select(key, _CHUNK, ts, tiebreak, value)
     )
     position = F.struct(ts, tiebreak)
     chunks = hot_rows.groupBy(key, _CHUNK).agg(
@@ -162,23 +165,49 @@ def value_windows(
     df: DataFrame,
     key: str,
     value: str,
-    tiebreak: list[str],
+    ts: str,
+    tiebreak: str,
     tiles: int = 4,
     min_rows: int = HOT_ROWS,
     source: DataFrame | None = None,
 ) -> DataFrame:
     """Add position (1 = highest value), value_rank, value_dense_rank and tile (1 = lowest values).
 
-    Equal values never straddle a chunk, so a rank is the chunk's own rank plus the rows (or distinct
-    values) of the chunks above it. ``source`` may name the plain rows ``df`` was derived from, so that
-    counting them does not repeat the derivation.
+    Equal values are ordered by (ts, tiebreak). A hot key is cut by steps of the value; a step with
+    many rows (say, the same fee over and over) is cut further by exact value and hour. A rank is
+    the piece's own rank plus the rows, or distinct values, of the pieces above. ``source`` may name
+    the plain rows ``df`` was derived from, so that counting them does not repeat the derivation.
     """
     source = df if source is None else source
     hot = hot_keys(source, key, min_rows)
-    rows = with_chunks(df, key, magnitude_chunk(value), hot)
-    by_value = W.partitionBy(key, _CHUNK).orderBy(F.desc(value))
-    descending = W.partitionBy(key, _CHUNK).orderBy(F.desc(value), *tiebreak)
-    ascending = W.partitionBy(key, _CHUNK).orderBy(F.asc(value), *tiebreak)
+    step = magnitude_chunk(value).cast("bigint")
+    steps = (
+        source.join(F.broadcast(hot), key, "left_semi")
+        .groupBy(key, step.alias(_CHUNK))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > min_rows)
+        .select(F.col(key).alias("_k"), F.col(_CHUNK).alias("_c"), F.lit(True).alias("_full"))
+    )
+    piece = [_CHUNK, "_value", "_hour"]
+
+    def cut(rows: DataFrame) -> DataFrame:
+        """Add the columns of ``piece``; only rows of full steps have a value and an hour there."""
+        full = (F.col(key) == F.col("_k")) & (F.col(_CHUNK) == F.col("_c"))
+        return (
+            rows.join(steps, full, "left")
+            .withColumns(
+                {
+                    "_value": F.when(F.col("_full"), F.col(value)),
+                    "_hour": F.when(F.col("_full"), hour_chunk(ts)),
+                }
+            )
+            .drop("_k", "_c", "_full")
+        )
+
+    rows = cut(with_chunks(df, key, step, hot))
+    by_value = W.partitionBy(key, *piece).orderBy(F.desc(value))
+    descending = W.partitionBy(key, *piece).orderBy(F.desc(value), ts, tiebreak)
+    ascending = W.partitionBy(key, *piece).orderBy(F.asc(value), ts, tiebreak)
     whole = ascending.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     rows = rows.withColumns(
         {
@@ -189,37 +218,63 @@ def value_windows(
             "_rows": F.count(F.lit(1)).over(whole),
         }
     )
-    chunks = (
-        source.select(key, value)
-        .join(F.broadcast(hot), key, "left_semi")
-        .groupBy(key, magnitude_chunk(value).cast("bigint").alias(_CHUNK))
+    hot_rows = source.join(F.broadcast(hot), key, "left_semi").withColumn(_CHUNK, step)
+    pieces = (
+        cut(hot_rows)
+        .groupBy(key, *piece)
         .agg(F.count(F.lit(1)).alias("_n"), F.countDistinct(value).alias("_d"))
     )
-    order = W.partitionBy(key).orderBy(_CHUNK)
-    below = order.rowsBetween(W.unboundedPreceding, -1)
-    above = order.rowsBetween(1, W.unboundedFollowing)
-    whole_key = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    carried = chunks.select(
-        key,
-        _CHUNK,
-        F.sum("_n").over(above).alias("c_rows_above"),
-        F.sum("_d").over(above).alias("c_distinct_above"),
-        F.sum("_n").over(below).alias("c_rows_below"),
-        F.sum("_n").over(whole_key).alias("c_rows"),
+    carried = _value_carry(pieces, key).select(
+        F.col(key).alias("_k"),
+        *[F.col(c).alias(f"_p{c}") for c in piece],
+        "c_rows_before",
+        "c_rows_above",
+        "c_distinct_above",
+        "c_rows_below",
+        "c_rows",
     )
-    joined = rows.join(carried, [key, _CHUNK], "left")
+    same = (F.col(key) == F.col("_k")) & (F.col(_CHUNK) == F.col(f"_p{_CHUNK}"))
+    for c in piece[1:]:
+        same &= F.col(c).eqNullSafe(F.col(f"_p{c}"))
+    joined = rows.join(carried, same, "left")
     zero = F.lit(0)
     ascending_row = F.col("_ascending") + F.coalesce("c_rows_below", zero)
     total = F.coalesce("c_rows", "_rows")
     return joined.select(
         *[F.col(c) for c in df.columns],
-        (F.col("_position") + F.coalesce("c_rows_above", zero)).alias("position"),
+        (F.col("_position") + F.coalesce("c_rows_before", zero)).alias("position"),
         (F.col("_rank") + F.coalesce("c_rows_above", zero)).alias("value_rank"),
         (F.col("_dense") + F.coalesce("c_distinct_above", zero)).alias("value_dense_rank"),
         _tile(ascending_row, total, tiles).alias("tile"),
     )
 
 
+def _value_carry(pieces: DataFrame, key: str) -> DataFrame:
+    """Rows and distinct values around each piece of a hot key.
+
+    Pieces of one value differ in their hour only: they share a rank, so what is above them is counted
+    by value, and their value counts once.
+    """
+    same_value = W.partitionBy(key, _CHUNK, "_value")
+    once = F.when(
+        F.col("_value").isNull() | (F.row_number().over(same_value.orderBy("_hour")) == 1), F.col("_d")
+    ).otherwise(0)
+    pieces = pieces.withColumn("_d", once)
+    down = W.partitionBy(key).orderBy(F.desc(_CHUNK), F.desc("_value"), F.asc("_hour"))
+    up = W.partitionBy(key).orderBy(F.asc(_CHUNK), F.asc("_value"), F.asc("_hour"))
+    values_down = W.partitionBy(key).orderBy(F.desc(_CHUNK), F.desc("_value"))
+    up_to_value = values_down.rangeBetween(W.unboundedPreceding, W.currentRow)
+    return pieces.withColumns(
+        {
+            "c_rows_before": F.sum("_n").over(down.rowsBetween(W.unboundedPreceding, -1)),
+            "c_rows_below": F.sum("_n").over(up.rowsBetween(W.unboundedPreceding, -1)),
+            "c_rows_above": F.sum("_n").over(up_to_value) - F.sum("_n").over(same_value),
+            "c_distinct_above": F.sum("_d").over(up_to_value) - F.sum("_d").over(same_value),
+            "c_rows": F.sum("_n").over(W.partitionBy(key)),
+        }
+    )
+
+
 def _tile(row: Column, total: Column, tiles: int) -> Column:
     """Bucket of a row when ``total`` rows fill ``tiles`` buckets, the first ones one row longer."""
     size = F.floor(total / tiles)

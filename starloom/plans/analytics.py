@@ -78,7 +78,7 @@ def fraud_rate_by_category(fact: DataFrame, categories: DataFrame) -> DataFrame:
         F.sum(F.when(~fraud, amount)).alias("normal_sum"),
     )
     named = sums.join(
-        F.broadcast(categories.select("merchant_category_key", "category_name", "fraud_risk_tier")),
+        categories.select("merchant_category_key", "category_name", "fraud_risk_tier"),
         "merchant_category_key",
     )
     totals = named.groupBy("category_name", "fraud_risk_tier").agg(
@@ -227,13 +227,13 @@ def window_tour(
     order = ["account_id", "transaction_ts", "transaction_id"]
     if limit is not None:
         first = _by_account(rows, accounts, key).orderBy(*order).limit(limit)
-        shown = F.broadcast(first.select("account_key").distinct())
+        shown = first.select("account_key").distinct()
         rows = rows.join(shown, "account_key", "left_semi")
     ordered = ordered_windows(
         rows, "account_key", "transaction_ts", "transaction_id", "amount", 7, hot_rows
     )
     windowed = value_windows(
-        ordered, "account_key", "amount", ["transaction_ts", "transaction_id"], 4, hot_rows, rows
+        ordered, "account_key", "amount", "transaction_ts", "transaction_id", 4, hot_rows, rows
     )
     answer = _by_account(
         windowed,
@@ -266,7 +266,8 @@ def ranking_ties(fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS)
         fact.select("account_key", "transaction_ts", "transaction_id", "amount"),
         "account_key",
         "amount",
-        ["transaction_ts", "transaction_id"],
+        "transaction_ts",
+        "transaction_id",
         min_rows=hot_rows,
     )
     return _by_account(
@@ -499,7 +500,7 @@ def third_highest_amount(
     nth = nth.where(F.col("_rank") == n).select("account_key", "amount")
     nth = nth.join(accounts.select("account_key", "account_id"), "account_key")
     if limit is not None:
-        nth = F.broadcast(nth.orderBy("account_id").limit(limit))
+        nth = nth.orderBy("account_id").limit(limit)
     ties = fact.select("account_key", "amount").join(nth, ["account_key", "amount"])
     answer = ties.select("account_id", "amount", F.lit(n).alias("dense_rank"))
     return answer if limit is None else _top(answer, ["account_id"], limit)

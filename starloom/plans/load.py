@@ -63,14 +63,13 @@ def load_warehouse(
 
 def append_transactions(store: Store, batch: DataFrame, load_id: int | None = None) -> int:
     """Append the batch's new transactions to the published fact; returns how many."""
-    existing = store.read("fact_transactions") if store.exists("fact_transactions") else None
     rows = facts.fact_transactions(
         batch,
         store.read("dim_date"),
         store.read("dim_account"),
         store.read("dim_customer"),
         store.read("dim_merchant_category"),
-        existing,
+        store.read_if_exists("fact_transactions"),
         load_id,
     )
     return store.append("fact_transactions", rows, load_id)
@@ -97,18 +96,19 @@ class Steps:
         self.report.append((table, self.store.publish(table, df)))
 
     def seed(self, table: str, rows: DataFrame, code: str) -> None:
-        if self.store.exists(table):
-            rows = dimensions.insert_if_absent(self.store.read(table), rows, code)
+        known = self.store.read_if_exists(table)
+        if known is not None:
+            rows = dimensions.insert_if_absent(known, rows, code)
         self.publish(table, rows)
 
     def merge(self, table: str, empty: DataFrame, batch: DataFrame | None, merge) -> None:
         """Merge a batch into the published dimension, which starts with its unknown member."""
-        known = self.store.read(table) if self.store.exists(table) else empty
+        known = self.store.read_if_exists(table)
         if batch is None:
-            if not self.store.exists(table):
+            if known is None:
                 self.publish(table, empty)
             return
-        self.publish(table, merge(known, batch))
+        self.publish(table, merge(empty if known is None else known, batch))
         self._refuse_shared_keys(table)
 
     def _refuse_shared_keys(self, table: str) -> None:

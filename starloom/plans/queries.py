@@ -58,7 +58,7 @@ def _with_natural_keys(fact: DataFrame, star: sample.Star) -> DataFrame:
     version = star.customers.select(
         "customer_key", "customer_id", F.col("valid_from").alias("customer_from")
     )
-    category = F.broadcast(star.categories.select("merchant_category_key", "category_code"))
+    category = star.categories.select("merchant_category_key", "category_code")
     return (
         fact.join(account, "account_key")
         .join(version, "customer_key")
@@ -332,7 +332,7 @@ def fact_daily_balances(spark, sf_dir):
 @query
 def fact_loan_monthly(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    products = F.broadcast(star.products.select("loan_product_key", "loan_type"))
+    products = star.products.select("loan_product_key", "loan_type")
     return (
         star.load_loan_months()
         .join(products, "loan_product_key")

@@ -56,22 +56,18 @@ def v_transaction_enriched(
 ) -> DataFrame:
     """The star joined flat; customer attributes are those of the transaction date.
 
-    Calendar and categories have a fixed size and are broadcast. Accounts and customers grow with the
-    business: the optimizer broadcasts them while they are below its threshold and otherwise shuffles
-    with skew splitting. A column not selected by the reader is never read.
+    No join is hinted: the optimizer broadcasts a dimension whose size it finds below its threshold
+    (calendar and categories always are) and otherwise shuffles with skew splitting. A column not
+    selected by the reader is never read.
     """
-    day = F.broadcast(
-        dates.select(
-            "date_key", "full_date", "year", "month", "month_name", "day_name", "is_weekend"
-        )
+    day = dates.select(
+        "date_key", "full_date", "year", "month", "month_name", "day_name", "is_weekend"
     )
-    category = F.broadcast(
-        categories.select(
-            "merchant_category_key",
-            F.col("category_name").alias("merchant_category"),
-            "is_discretionary",
-            "fraud_risk_tier",
-        )
+    category = categories.select(
+        "merchant_category_key",
+        F.col("category_name").alias("merchant_category"),
+        "is_discretionary",
+        "fraud_risk_tier",
     )
     account = accounts.select("account_key", "account_id", "product_type", "product_family")
     customer = customers.select(
@@ -132,8 +128,8 @@ def mv_monthly_transaction_summary(
         F.count(F.when(fraud, 1)).alias("fraud_n"),
         F.sum(F.when(fraud, F.col("amount"))).alias("fraud_total"),
     )
-    category = F.broadcast(
-        categories.select("merchant_category_key", F.col("category_name").alias("merchant_category"))
+    category = categories.select(
+        "merchant_category_key", F.col("category_name").alias("merchant_category")
     )
     named = partial.join(customers.select("customer_key", "segment"), "customer_key").join(
         category, "merchant_category_key"

@@ -145,7 +145,7 @@ def branches(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = (
         table(spark, sf_dir, "supplier")
-        .join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     )
     return _staged(
         rows,

@@ -41,16 +41,23 @@ class Store:
 
     def _entries(self, table: str) -> list:
         """Log rows of a table, oldest first: one per publication, never data."""
-        return self.log().where(F.col("table") == table).orderBy("version").collect()
+        rows = self.log().where(F.col("table") == table).collect()
+        return sorted(rows, key=lambda entry: entry.version)
 
     def exists(self, table: str) -> bool:
-        return any(e.kind == "snapshot" or e.rows for e in self._entries(table))
+        return _readable(self._entries(table))
 
     def read(self, table: str) -> DataFrame:
         """The newest snapshot, or all appended loads."""
-        if not self.exists(table):
+        found = self.read_if_exists(table)
+        if found is None:
             raise LookupError(f"{table} has not been published")
+        return found
+
+    def read_if_exists(self, table: str) -> DataFrame | None:
         entries = self._entries(table)
+        if not _readable(entries):
+            return None
         if entries[-1].kind == "snapshot":
             return self.spark.read.parquet(f"{self.root}/{entries[-1].folder}")
         folders = [f"{self.root}/{e.folder}" for e in entries if e.rows]
@@ -95,3 +102,8 @@ class Store:
             .parquet(f"{self.root}/_published")
         )
         return rows
+
+
+def _readable(entries: list) -> bool:
+    """A load without rows wrote no files, so a fact exists from its first row on."""
+    return any(e.kind == "snapshot" or e.rows for e in entries)

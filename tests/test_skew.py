@@ -22,7 +22,7 @@ def rows(spark):
     for i in range(900):
         key = 1 if i % 3 == 0 else rng.randrange(2, 40)
         ts = start + timedelta(minutes=20 * rng.randrange(0, 90))
-        amount = Decimal(rng.choice([5, 5, 7, rng.randrange(-3000, 900_000)])) / 100
+        amount = Decimal(rng.choice([999, 999, 1001, rng.randrange(-3000, 900_000)])) / 100
         data.append((key, ts, f"t{i:04d}", amount))
     return spark.createDataFrame(data, "key bigint, ts timestamp, id string, amount decimal(16,2)").cache()
 
@@ -61,13 +61,20 @@ def test_ordered_windows_equal_plain_windows(rows, min_rows):
     assert sorted(got.select(keep).collect()) == sorted(plain(rows).select(keep).collect())
 
 
-@pytest.mark.parametrize("min_rows", [0, 100, 10**6])
+@pytest.mark.parametrize("min_rows", [0, 30, 100, 10**6])
 def test_value_windows_equal_plain_windows(rows, min_rows):
-    got = value_windows(rows, "key", "amount", ["ts", "id"], min_rows=min_rows)
+    got = value_windows(rows, "key", "amount", "ts", "id", min_rows=min_rows)
     keep = ["id", *VALUED]
     assert sorted(got.select(keep).collect()) == sorted(plain(rows).select(keep).collect())
 
 
+def test_a_finer_chunk_gives_the_same_answer(rows):
+    minute = F.floor(F.unix_seconds("ts") / 60)
+    got = ordered_windows(rows, "key", "ts", "id", "amount", trailing=7, min_rows=0, chunk=minute)
+    keep = ["id", *ORDERED]
+    assert sorted(got.select(keep).collect()) == sorted(plain(rows).select(keep).collect())
+
+
 def test_only_the_busy_key_is_hot(rows):
     assert [r.key for r in hot_keys(rows, "key", 100).collect()] == [1]
 
