@@ -99,6 +99,17 @@ def fact_transactions(
     )
 
 
+def _in_days(fact: DataFrame, start: date | None, end: date) -> DataFrame:
+    """Fact rows of a range of days; a stored fact reads only the months it touches."""
+    bounds = [("date_key", int(f"{end:%Y%m%d}")), ("month_key", int(f"{end:%Y%m}"))]
+    if start is not None:
+        bounds += [("date_key", -int(f"{start:%Y%m%d}")), ("month_key", -int(f"{start:%Y%m}"))]
+    for column, bound in bounds:
+        if column in fact.columns:
+            fact = fact.where(F.col(column) <= bound if bound > 0 else F.col(column) >= -bound)
+    return fact
+
+
 def fact_daily_balances(
     fact: DataFrame,
     accounts: DataFrame,
@@ -106,6 +117,7 @@ def fact_daily_balances(
     end: date,
     start: date | None = None,
     signed_amount: Column | None = None,
+    opening: DataFrame | None = None,
     load_id: int | None = None,
     load_ts: Column | None = None,
 ) -> DataFrame:
@@ -115,12 +127,16 @@ def fact_daily_balances(
     earlier days off, their movements staying in the balance. A positive ``signed_amount`` (default:
     the amount) is a credit, a negative one a debit.
 
+    To build period by period pass ``opening``, the rows of this fact on the day before ``start``:
+    their balances are carried on and only transactions from ``start`` to ``end`` are read.
+
     Only active days are shuffled, after map-side sums per (account, day); an account has at most one
     row per calendar day there, so no window group is unbounded. Quiet days are produced locally by
     expanding each active day up to the next one, and the customer join runs before that expansion.
     """
     signed = F.col("amount") if signed_amount is None else signed_amount
     zero = F.lit(0).cast("decimal(26,2)")
+    fact = _in_days(fact, start if opening is not None else None, end)
     movements = (
         fact.withColumn("_signed", signed)
         .groupBy("account_key", calendar.key_to_date("date_key").alias("day"))
@@ -135,6 +151,13 @@ def fact_daily_balances(
         "account_key", "customer_id", "open_date", F.coalesce("initial_balance", zero).alias("opening")
     ).join(first_active, "account_key", "left")
     first_day = F.coalesce("open_date", "first_active")
+    if opening is not None:
+        carried = opening.select("account_key", F.col("closing_balance").alias("_carried"))
+        known = F.col("_carried").isNotNull()
+        opened = opened.join(carried, "account_key", "left").withColumn(
+            "opening", F.coalesce("_carried", "opening")
+        )
+        first_day = F.when(known, F.lit(start).cast("date")).otherwise(first_day)
     if start is not None:
         first_day = F.greatest(first_day, F.lit(start).cast("date"))
     opened = opened.withColumn("first_day", first_day).where(
@@ -152,7 +175,6 @@ def fact_daily_balances(
     counted = F.col("day") >= F.col("first_day")
     moved = (
         movements.join(opened.select("account_key", "first_day"), "account_key")
-        .where(F.col("day") <= F.lit(end).cast("date"))
         .select(
             "account_key",
             F.greatest("day", "first_day").alias("day"),

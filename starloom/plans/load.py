@@ -26,13 +26,14 @@ def load_warehouse(
 ) -> DataFrame:
     """Run one load and return its report (step, rows).
 
-    Every dimension is published before the facts read it, so keys are settled, and every step can be
-    repeated: merges of an unchanged batch change nothing and loaded transactions are skipped.
+    Every dimension is written before the facts read it, so keys are settled. All tables become
+    visible together at the end; a load that fails shows nothing. A load can be repeated: merges of an
+    unchanged batch change nothing and loaded transactions are skipped.
     """
     report: list[tuple[str, int]] = []
     steps = Steps(store, report)
 
-    steps.publish("dim_date", dimensions.dim_date(spark, *calendar_range))
+    steps.write("dim_date", dimensions.dim_date(spark, *calendar_range))
     steps.seed("dim_merchant_category", dimensions.merchant_category_seed(spark), "category_code")
     steps.seed("dim_loan_product", dimensions.loan_product_seed(spark), "loan_type")
 
@@ -53,26 +54,47 @@ def load_warehouse(
         dimensions.merge_dim_account,
     )
     if staged["loans"] is not None:
-        steps.publish("stg_loans", staged["loans"])
+        steps.write("stg_loans", staged["loans"])
     if staged["transactions"] is not None:
         report.append(
-            ("fact_transactions", append_transactions(store, staged["transactions"], load_id))
+            ("fact_transactions", write_transactions(store, staged["transactions"], load_id))
         )
+    store.commit()
     return spark.createDataFrame(report, "step string, rows bigint")
 
 
-def append_transactions(store: Store, batch: DataFrame, load_id: int | None = None) -> int:
-    """Append the batch's new transactions to the published fact; returns how many."""
+def write_transactions(
+    store: Store, batch: DataFrame, load_id: int | None = None, ids_keep_their_month: bool = False
+) -> int:
+    """Write the batch's new transactions for the next commit; returns how many.
+
+    Ids loaded before are skipped, which takes the ids of the whole fact. Where the source never
+    reuses an id in another month, ``ids_keep_their_month`` reads only the months of the batch.
+    """
+    existing = store.read_if_exists("fact_transactions")
+    if existing is not None and ids_keep_their_month:
+        month = F.year("timestamp") * 100 + F.month("timestamp")
+        first, last = batch.agg(F.min(month), F.max(month)).first()
+        existing = existing.where(F.col("month_key").between(first or 0, last or 0))
     rows = facts.fact_transactions(
         batch,
         store.read("dim_date"),
         store.read("dim_account"),
         store.read("dim_customer"),
         store.read("dim_merchant_category"),
-        store.read_if_exists("fact_transactions"),
+        existing,
         load_id,
     )
-    return store.append("fact_transactions", rows, load_id)
+    return store.write_load("fact_transactions", rows, load_id)
+
+
+def append_transactions(
+    store: Store, batch: DataFrame, load_id: int | None = None, ids_keep_their_month: bool = False
+) -> int:
+    """Append the batch's new transactions to the published fact; returns how many."""
+    rows = write_transactions(store, batch, load_id, ids_keep_their_month)
+    store.commit()
+    return rows
 
 
 def refresh_monthly_summary(store: Store) -> int:
@@ -86,29 +108,29 @@ def refresh_monthly_summary(store: Store) -> int:
 
 
 class Steps:
-    """Publish tables in order and note their row counts."""
+    """Write tables in order and note their row counts."""
 
     def __init__(self, store: Store, report: list[tuple[str, int]]):
         self.store = store
         self.report = report
 
-    def publish(self, table: str, df: DataFrame) -> None:
-        self.report.append((table, self.store.publish(table, df)))
+    def write(self, table: str, df: DataFrame) -> None:
+        self.report.append((table, self.store.write_snapshot(table, df)))
 
     def seed(self, table: str, rows: DataFrame, code: str) -> None:
         known = self.store.read_if_exists(table)
         if known is not None:
             rows = dimensions.insert_if_absent(known, rows, code)
-        self.publish(table, rows)
+        self.write(table, rows)
 
     def merge(self, table: str, empty: DataFrame, batch: DataFrame | None, merge) -> None:
         """Merge a batch into the published dimension, which starts with its unknown member."""
         known = self.store.read_if_exists(table)
         if batch is None:
             if known is None:
-                self.publish(table, empty)
+                self.write(table, empty)
             return
-        self.publish(table, merge(empty if known is None else known, batch))
+        self.write(table, merge(empty if known is None else known, batch))
         self._refuse_shared_keys(table)
 
     def _refuse_shared_keys(self, table: str) -> None:

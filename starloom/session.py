@@ -36,9 +36,11 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder every executor can reach: under ``spark.checkpoint.dir`` where the cluster sets it.
 
-    Only where it is unset (tests, a laptop) a local scratch folder stands in.
+    Where it is unset a scratch folder stands in, but only for a session that runs in one process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="starloom-")
     return os.path.join(base, name)

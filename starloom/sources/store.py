@@ -1,10 +1,10 @@
 """Published tables as plain Parquet folders and a log of what was published.
 
 Without a table format there is no MERGE and no atomic overwrite, so nothing is ever overwritten:
-a dimension is published as a whole new folder, a fact load as one more folder, and a one-row append
-to the log makes it visible. A reader resolves the log once and then reads folders that never change,
-so a refresh does not disturb it; a load that dies before its log entry leaves an unlisted folder and
-is simply run again. One writer at a time is assumed.
+a dimension is written as a whole new folder, a fact load as one more folder, and one append to the
+log makes everything written since the last commit visible at once. A reader resolves the log once
+and then reads folders that never change, so a refresh does not disturb it; a load that dies before
+its commit leaves unlisted folders and is simply run again. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ from pyspark.sql import types as T
 from starloom.functions import calendar
 from starloom.schemas import columns
 
-_LOG = columns(
-    "table string, kind string, version bigint, folder string, rows bigint, load_id bigint, "
-    "published_at timestamp"
+# Rows of a published table, and which writing they belong to.
+_ENTRY = columns(
+    "table string, kind string, version bigint, folder string, rows bigint, load_id bigint"
 )
+_LOG = T.StructType([*_ENTRY.fields, T.StructField("published_at", T.TimestampType())])
 
 
 class Store:
@@ -31,21 +32,23 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
         # An existing log is left alone; a new store starts with an empty one.
-        empty = spark.createDataFrame([], _LOG)
-        empty.write.mode("ignore").parquet(f"{self.root}/_published")
+        spark.createDataFrame([], _LOG).write.mode("ignore").parquet(f"{self.root}/_published")
+        self.refresh()
 
     # --- reading ------------------------------------------------------------------------------
 
     def log(self) -> DataFrame:
         return self.spark.read.schema(_LOG).parquet(f"{self.root}/_published")
 
-    def _entries(self, table: str) -> list:
-        """Log rows of a table, oldest first: one per publication, never data."""
-        rows = self.log().where(F.col("table") == table).collect()
-        return sorted(rows, key=lambda entry: entry.version)
+    def refresh(self) -> None:
+        """Look again at what other sessions published; uncommitted writings are forgotten."""
+        self._listed = [tuple(r) for r in self.log().select(*_ENTRY.fieldNames()).collect()]
+        self._written: list[tuple] = []
 
-    def exists(self, table: str) -> bool:
-        return _readable(self._entries(table))
+    def _entries(self, table: str) -> list[dict]:
+        """Log rows of a table, oldest first: one per publication, never data."""
+        named = [dict(zip(_ENTRY.fieldNames(), e)) for e in self._listed + self._written]
+        return sorted((e for e in named if e["table"] == table), key=lambda e: e["version"])
 
     def read(self, table: str) -> DataFrame:
         """The newest snapshot, or all appended loads."""
@@ -56,22 +59,23 @@ class Store:
 
     def read_if_exists(self, table: str) -> DataFrame | None:
         entries = self._entries(table)
-        if not _readable(entries):
+        if entries and entries[-1]["kind"] == "snapshot":
+            return self.spark.read.parquet(f"{self.root}/{entries[-1]['folder']}")
+        # A load without rows wrote no files, so a fact exists from its first row on.
+        folders = [f"{self.root}/{e['folder']}" for e in entries if e["rows"]]
+        if not folders:
             return None
-        if entries[-1].kind == "snapshot":
-            return self.spark.read.parquet(f"{self.root}/{entries[-1].folder}")
-        folders = [f"{self.root}/{e.folder}" for e in entries if e.rows]
         base = f"{self.root}/{table}"
         return self.spark.read.option("basePath", base).parquet(*folders).drop("load")
 
     # --- writing ------------------------------------------------------------------------------
 
-    def publish(self, table: str, df: DataFrame) -> int:
-        """Write a whole new snapshot and make it the current one; returns its row count."""
-        return self._write(table, "snapshot", df, None, lambda w: w)
+    def write_snapshot(self, table: str, df: DataFrame) -> int:
+        """Write a whole new version, seen by this store only until the commit; returns its rows."""
+        return self._write(table, "snapshot", df, None, [])
 
-    def append(self, table: str, df: DataFrame, load_id: int | None = None) -> int:
-        """Add one load to a fact stored by month.
+    def write_load(self, table: str, df: DataFrame, load_id: int | None = None) -> int:
+        """Write one load of a fact stored by month, to be added at the commit.
 
         The rebalance hint gives each month its own files and splits a month too big for one task;
         sorting within files keeps their statistics narrow, so day ranges skip row groups.
@@ -81,29 +85,38 @@ class Store:
             .hint("rebalance", "month_key")
             .sortWithinPartitions("month_key", "date_key")
         )
-        return self._write(table, "load", monthly, load_id, lambda w: w.partitionBy("month_key"))
+        return self._write(table, "load", monthly, load_id, ["month_key"])
+
+    def commit(self) -> None:
+        """Make everything written visible with one append of one file."""
+        if self._written:
+            (
+                self.spark.createDataFrame(self._written, _ENTRY)
+                .coalesce(1)
+                .withColumn("published_at", F.current_timestamp())
+                .write.mode("append")
+                .parquet(f"{self.root}/_published")
+            )
+            self._listed += self._written
+            self._written = []
 
-    def _write(self, table, kind, df, load_id, layout) -> int:
-        entries = self._entries(table)
-        version = entries[-1].version + 1 if entries else 1
+    def publish(self, table: str, df: DataFrame) -> int:
+        rows = self.write_snapshot(table, df)
+        self.commit()
+        return rows
+
+    def append(self, table: str, df: DataFrame, load_id: int | None = None) -> int:
+        rows = self.write_load(table, df, load_id)
+        self.commit()
+        return rows
+
+    def _write(self, table, kind, df, load_id, partitions) -> int:
+        version = max((e["version"] for e in self._entries(table)), default=0) + 1
         prefix = "load=" if kind == "load" else "v"
         folder = f"{table}/{prefix}{version:06d}-{uuid.uuid4().hex[:8]}"
         counted = Observation()
         watched = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        layout(watched.write).parquet(f"{self.root}/{folder}")
+        watched.write.partitionBy(*partitions).parquet(f"{self.root}/{folder}")
         rows = counted.get["rows"]
-        entry = [(table, kind, version, folder, rows, load_id)]
-        stamped = [f for f in _LOG.fields if f.name != "published_at"]
-        (
-            self.spark.createDataFrame(entry, T.StructType(stamped))
-            .withColumn("published_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.root}/_published")
-        )
+        self._written.append((table, kind, version, folder, rows, load_id))
         return rows
-
-
-def _readable(entries: list) -> bool:
-    """A load without rows wrote no files, so a fact exists from its first row on."""
-    return any(e.kind == "snapshot" or e.rows for e in entries)

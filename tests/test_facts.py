@@ -203,6 +203,29 @@ def test_daily_balances_from_a_start_day(spark, star):
     ]
 
 
+def test_daily_balances_period_by_period(spark, star):
+    staged = transactions(
+        spark,
+        *[
+            (f"t{n}", a, datetime(2024, 1, 5) + timedelta(days=3 * n), (-1) ** n * n, "gas", False)
+            for n, a in enumerate(["A1", "A2", "A404", "A1"] * 6)
+        ],
+    )
+    fact = facts.fact_transactions(staged, **star)
+    parts = (star["accounts"], star["customers"])
+    keep = ["date_key", "account_key", "customer_key", "closing_balance", "total_debits", "transaction_count"]
+    january = facts.fact_daily_balances(fact, *parts, date(2024, 1, 31))
+    later = facts.fact_daily_balances(
+        fact,
+        *parts,
+        date(2024, 3, 20),
+        start=date(2024, 2, 1),
+        opening=january.where("date_key = 20240131"),
+    )
+    whole = facts.fact_daily_balances(fact, *parts, date(2024, 3, 20))
+    assert sorted(january.unionByName(later).select(keep).collect()) == sorted(whole.select(keep).collect())
+
+
 def test_loan_months_are_dense(spark, star):
     loans = spark.createDataFrame(
         [

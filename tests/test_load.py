@@ -108,6 +108,25 @@ def test_read_staged_takes_all_files_columns_and_limit(spark, staged):
     assert read_staged(spark, f"{staged}/nowhere", "branches") is None
 
 
+def test_ids_that_keep_their_month(spark, store, staged):
+    load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
+    again = spark.createDataFrame(
+        [*ROWS["transactions"][:3], ("new", "A1", datetime(2024, 2, 7), D(1), "gas", "online", False)],
+        schemas.STAGING["transactions"],
+    )
+    assert load.append_transactions(store, again, 2, ids_keep_their_month=True) == 1
+    assert store.read("fact_transactions").count() == 10
+
+
+def test_uncommitted_writings_are_seen_by_nobody_else(spark, store):
+    store.publish("t", spark.range(3))
+    store.write_snapshot("t", spark.range(9))
+    assert store.read("t").count() == 9
+    assert Store(spark, store.root).read("t").count() == 3
+    store.commit()
+    assert Store(spark, store.root).read("t").count() == 9
+
+
 def test_unlisted_folder_is_ignored(spark, store):
     store.publish("t", spark.range(3))
     spark.range(50).write.parquet(f"{store.root}/t/v000002-dead")
