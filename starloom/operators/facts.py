@@ -101,12 +101,11 @@ def fact_transactions(
 
 def _in_days(fact: DataFrame, start: date | None, end: date) -> DataFrame:
     """Fact rows of a range of days; a stored fact reads only the months it touches."""
-    bounds = [("date_key", int(f"{end:%Y%m%d}")), ("month_key", int(f"{end:%Y%m}"))]
-    if start is not None:
-        bounds += [("date_key", -int(f"{start:%Y%m%d}")), ("month_key", -int(f"{start:%Y%m}"))]
-    for column, bound in bounds:
+    for column, pattern in [("date_key", "%Y%m%d"), ("month_key", "%Y%m")]:
         if column in fact.columns:
-            fact = fact.where(F.col(column) <= bound if bound > 0 else F.col(column) >= -bound)
+            fact = fact.where(F.col(column) <= int(end.strftime(pattern)))
+            if start is not None:
+                fact = fact.where(F.col(column) >= int(start.strftime(pattern)))
     return fact
 
 
@@ -247,7 +246,9 @@ def fact_loan_monthly(
     ``snapshot`` holds loan_id, snapshot_date, outstanding_balance, days_past_due and is_defaulted,
     and may hold principal_paid and interest_paid. Months missing between two snapshots of a loan
     repeat the earlier one at their month end, with nothing paid, so the fact is dense. Loans are
-    joined to their customers' versions first; the snapshot itself takes part in one join.
+    joined to their customers' versions first; the snapshot itself takes part in one join. That join
+    is a merge on loan_id, by which the snapshot is partitioned already; the optimizer cannot know how
+    many months the expansion makes and might otherwise broadcast them.
     """
     optional = [
         F.coalesce(F.col(c) if c in snapshot.columns else F.lit(None), F.lit(0)).alias(c)
@@ -280,6 +281,7 @@ def fact_loan_monthly(
         loans.select("loan_id", "customer_id", "loan_type", "monthly_payment")
         .join(kinds, "loan_type", "left")
         .join(gapless_versions(customers), "customer_id", "left")
+        .hint("merge")
         .alias("l")
     )
     rows = monthly.join(

@@ -50,6 +50,9 @@ class Store:
         named = [dict(zip(_ENTRY.fieldNames(), e)) for e in self._listed + self._written]
         return sorted((e for e in named if e["table"] == table), key=lambda e: e["version"])
 
+    def tables(self) -> list[str]:
+        return sorted({e[0] for e in self._listed + self._written})
+
     def read(self, table: str) -> DataFrame:
         """The newest snapshot, or all appended loads."""
         found = self.read_if_exists(table)

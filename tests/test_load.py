@@ -108,6 +108,24 @@ def test_read_staged_takes_all_files_columns_and_limit(spark, staged):
     assert read_staged(spark, f"{staged}/nowhere", "branches") is None
 
 
+def test_sql_over_published_tables(spark, store, staged):
+    from starloom.plans.catalog import register_views
+
+    load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
+    names = register_views(store)
+    assert {"fact_transactions", "dim_branch", "v_current_customers", "v_transaction_enriched"} <= set(names)
+    rows = spark.sql(
+        "SELECT segment_at_txn_time AS segment, count(*) AS n, sum(amount) AS total "
+        "FROM v_transaction_enriched GROUP BY 1"
+    ).collect()
+    assert {(r.segment, r.n, r.total) for r in rows} == {("mass", 6, D(21)), (None, 3, D(15))}
+    one = spark.sql(
+        "SELECT segment FROM dim_customer WHERE customer_id = :id AND :day >= valid_from AND :day < valid_to",
+        args={"id": "C1", "day": date(2024, 6, 1)},
+    ).collect()
+    assert [r.segment for r in one] == ["mass"]
+
+
 def test_ids_that_keep_their_month(spark, store, staged):
     load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
     again = spark.createDataFrame(
