@@ -52,13 +52,13 @@ def run(spark, name: str) -> float:
 
 
 def load_star(spark) -> float:
-    """Load and publish every table of both stars."""
+    """Load and write every table of two stars: dimensions, transactions, loan months."""
     start = time.perf_counter()
     for source in ("events", "lineitem"):
-        star = sample.star(spark, SF_DIR, source)
-        star.fact
+        star = sample.Star(spark, SF_DIR, source)
+        star.fact  # noqa: B018 - asking for a table loads it
         if source == "lineitem":
-            star.loan_months
+            star.loan_months  # noqa: B018
     return time.perf_counter() - start
 
 
@@ -73,6 +73,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    cold = round(load_star(spark), 3)
     seconds = {"load_star": round(load_star(spark), 3)}
     rates = {}
     rows = {t: sample.table(spark, SF_DIR, t).count() for t in set(HEADLINE.values())}
@@ -88,6 +89,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "rows_per_sec": rates,
+                "load_star_cold": cold,
                 "sf": os.path.basename(SF_DIR.rstrip("/")),
                 "cpus": int(CPUS),
             }

@@ -14,8 +14,9 @@ _CHUNK = "_chunk"
 
 
 def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
-    """How often each value occurs in each group; combined map-side, so copies cost nothing."""
-    return df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    """How often each value (NULLs aside) occurs in each group; combined map-side."""
+    present = df.where(F.col(value).isNotNull())
+    return present.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def exact_percentiles(
@@ -30,7 +31,7 @@ def exact_percentiles(
     """
     ranged = counts.withColumn(_CHUNK, magnitude_chunk(value).cast("bigint"))
     ranges = ranged.groupBy(group, _CHUNK).agg(F.sum("_n").alias("_in_range"))
-    order = W.partitionBy(group).orderBy(F.asc_nulls_last(_CHUNK))
+    order = W.partitionBy(group).orderBy(_CHUNK)
     total = F.sum("_in_range").over(W.partitionBy(group))
     before = F.sum("_in_range").over(order.rowsBetween(W.unboundedPreceding, -1))
     wanted = F.array(
@@ -40,9 +41,9 @@ def exact_percentiles(
         ]
     )
     targets = (
-        ranges.where(F.col(_CHUNK).isNotNull())
-        .select(group, _CHUNK, "_in_range", F.coalesce(before, F.lit(0)).alias("_before"), total.alias("_total"))
-        .select("*", F.inline(wanted))
+        ranges.select(
+            group, _CHUNK, "_in_range", F.coalesce(before, F.lit(0)).alias("_before"), total.alias("_total")
+        ).select("*", F.inline(wanted))
     )
     if kind == "cont":
         place = F.col("p") * (F.col("_total") - 1).cast("decimal(20,0)")
@@ -84,7 +85,11 @@ def exact_percentiles(
 
 
 def _join_groups(left: DataFrame, right: DataFrame, group: str) -> DataFrame:
-    """Join on (group, range) where a NULL group is a group like any other."""
+    """Join on (group, range) where a NULL group is a group like any other.
+
+    Null-safe on the range too: a plain equality would push a NOT NULL test below the counting on
+    this branch only, and the counts would no longer be shared with the other branches.
+    """
     r = right.withColumnRenamed(group, "_group").withColumnRenamed(_CHUNK, "_range")
-    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col(_CHUNK) == F.col("_range"))
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(_CHUNK).eqNullSafe(F.col("_range"))
     return left.join(r, same).drop("_group", "_range")

@@ -254,10 +254,11 @@ def dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Star:
-    """A star schema of one set of sample transactions, published to the shared folder.
+    """A star schema of one set of sample transactions, written to the shared folder.
 
     Each table is loaded and written when it is first asked for, as a warehouse load would, so the
-    queries read stored tables instead of repeating the load in every plan.
+    queries read stored tables instead of repeating the load in every plan. The folder belongs to this
+    session, hence nothing is committed for others.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, source: str):
@@ -267,7 +268,7 @@ class Star:
 
     def _stored(self, name: str, build, write=None) -> DataFrame:
         if name not in self._tables:
-            (write or self.store.publish)(name, build())
+            (write or self.store.write_snapshot)(name, build())
             self._tables[name] = self.store.read(name)
         return self._tables[name]
 
@@ -322,7 +323,7 @@ class Star:
     @property
     def fact(self) -> DataFrame:
         return self._stored(
-            "fact_transactions", lambda: self.load_fact(load_id=1), self.store.append
+            "fact_transactions", lambda: self.load_fact(load_id=1), self.store.write_load
         )
 
     def load_loan_months(self) -> DataFrame:
@@ -335,7 +336,7 @@ class Star:
 
     @property
     def loan_months(self) -> DataFrame:
-        return self._stored("fact_loan_monthly", self.load_loan_months, self.store.append)
+        return self._stored("fact_loan_monthly", self.load_loan_months, self.store.write_load)
 
 
 _STARS: dict[tuple[str, str, str], Star] = {}
