@@ -91,6 +91,7 @@ def test_join_date_alone_is_not_a_change(spark):
         ([ADA_2], date(1900, 1, 1), "effective date not after valid_from"),
         ([ADA_1, ADA_2], date(2024, 5, 1), "duplicate customer_id"),
         ([("-1", *ADA_1[1:])], date(2024, 5, 1), "reserved customer_id"),
+        ([(None, *ADA_1[1:])], date(2024, 5, 1), "missing customer_id"),
     ],
 )
 def test_refused_batches(spark, rows, day, message):

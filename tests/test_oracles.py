@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from starloom.operators import quality
+from starloom.plans import analytics
 from starloom.schemas import FACT_TRANSACTIONS
 from starloom.sources import sample
 
@@ -59,6 +60,14 @@ def test_loaded_star_passes_every_check(spark, source):
     assert {name: df.count() for name, df in checks.items() if df.count()} == {}
 
 
+def test_hot_accounts_change_no_answer(spark):
+    """The whole window tour with every account cut into chunks, against the registered query."""
+    star = sample.star(spark, SF_DIR, "lineitem")
+    hot = analytics.window_tour(star.fact, star.accounts, limit=None, hot_rows=0)
+    plain = analytics.window_tour(star.fact, star.accounts, limit=None)
+    assert hot.exceptAll(plain).count() == 0 and hot.count() == plain.count()
+
+
 def test_loan_and_balance_grain(spark):
     star = sample.star(spark, SF_DIR, "lineitem")
     assert quality.check_unique(star.loan_months, ["date_key", "loan_id"]).count() == 0
