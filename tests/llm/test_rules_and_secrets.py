@@ -1,0 +1,108 @@
+import math
+
+import pytest
+from brute import base_spans, listed, rules, sha
+from pyspark.sql import functions as F
+
+from starloom.llm import queries, quality_rules, secrets
+
+
+def measured(docs):
+    return quality_rules.ledger(docs).select("doc.text", *quality_rules.MEASURES, quality_rules.rejected("base-1").alias("base_failed")).collect()
+
+
+@pytest.mark.parametrize("source", ["odd", "documents"])
+def test_rules_equal_plain_counts(source, request):
+    rows = measured(request.getfixturevalue(source))
+    assert len(rows) == request.getfixturevalue(source).count()
+    for r in rows:
+        want = rules(r["text"])
+        assert {k: r[k] for k in want} == want, r["text"]
+
+
+def test_policies_read_the_bits(documents, spark):
+    rows = quality_rules.ledger(documents)
+    kept = quality_rules.applied(documents)
+    assert kept.columns == documents.columns
+    assert kept.count() == rows.filter(~quality_rules.rejected()).count()
+    bits = {r["rule"]: r for r in quality_rules.ablations(rows).collect()}
+    failed = [r["failures"] for r in rows.collect()]
+    for k, rule in enumerate(quality_rules.RULES):
+        assert bits[rule.name]["failed"] == sum(f >> k & 1 for f in failed)
+        assert bits[rule.name]["only_here"] == sum(f == 1 << k for f in failed)
+    empty = documents.limit(0)
+    assert quality_rules.applied(empty).count() == 0
+    assert {r["failed"] for r in quality_rules.ablations(quality_rules.ledger(empty)).collect()} == {0}
+
+
+def test_rules_keep_good_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    good = spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").select("doc_id")
+    rows = queries.QUERIES["op9_quality_rules"](spark, sf).filter("NOT base_failed").join(good, "doc_id")
+    assert rows.filter("NOT kept").count() == 0
+
+
+def test_no_shuffle_and_no_python(documents):
+    for df in (quality_rules.ledger(documents), secrets.scanned(documents)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def entropy_spans(text):
+    """Windows counted anew at every place."""
+    import re
+
+    base, found = base_spans(text), []
+    for m in re.finditer(secrets.CANDIDATE, text or ""):
+        c = m[0]
+        if any(s < m.end() and m.start() < e for _, s, e in base):
+            continue
+        if not (re.search("[0-9]", c) and re.search("[A-Za-z]", c)) or any(re.search(p, c) for p in secrets.ALLOWED):
+            continue
+        limit = secrets.LIMITS["hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", c) else "mixed"]
+        rich = []
+        for i in range(len(c) - secrets.WINDOW + 1):
+            w = c[i : i + secrets.WINDOW]
+            if -sum(w.count(x) / len(w) * math.log2(w.count(x) / len(w)) for x in set(w)) >= limit - 1e-6:
+                rich.append(i)
+        if rich:
+            found.append(("entropy", m.start() + rich[0], m.start() + rich[-1] + secrets.WINDOW))
+    order = {k: i for i, k in enumerate(secrets.KINDS)}
+    return sorted(base + found, key=lambda s: (s[1], order[s[0]], s[2]))
+
+
+def made_up():
+    import random
+
+    r, texts = random.Random(5), []
+    for _ in range(60):
+        n = r.choice([20, 25, 40, 300])
+        letters = r.choice(["0123456789abcdef", "ab1", secrets.ALPHABET, "aA0bB1cC2dD3", "aaaaab7"])
+        texts.append("é🙂 " + "".join(r.choice(letters) for _ in range(n)) + " und " + "".join(r.choice(letters) for _ in range(n)))
+    return texts
+
+
+@pytest.mark.parametrize("source", ["odd", "documents", "made up"])
+def test_spans_equal_plain_scan(source, request, spark):
+    docs = spark.createDataFrame([(t,) for t in made_up()], "text string") if source == "made up" else request.getfixturevalue(source)
+    rows = secrets.scanned(docs).select("doc.text", secrets.listed("base").alias("base"), secrets.listed("spans").alias("spans")).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r["base"] == listed(base_spans(r["text"])), r["text"]
+        assert r["spans"] == listed(entropy_spans(r["text"])), r["text"]
+    if source != "documents":
+        assert any("entropy" in r["spans"] for r in rows)
+
+
+def test_digest_query_and_redaction(odd, spark):
+    rows = queries.QUERIES["op5_secrets"](spark, "/root/testdata/sf0.01")
+    assert rows.filter(F.col("n_assign") + F.col("n_access") + F.col("n_hex") > 0).count() > 0
+    assert rows.filter("spans = ''").select("base_sha256").distinct().first()[0] == sha("")
+    clean = secrets.redacted(odd)
+    assert clean.columns == odd.columns and clean.count() == odd.count()
+    again = secrets.scanned(clean).filter(F.size("base") > 0)
+    assert again.count() == 0
+    for r in secrets.scanned(odd).select("doc.doc_id", "doc.text", "spans").collect():
+        if r["text"] is not None and not r["spans"]:
+            assert clean.filter(F.col("doc_id").eqNullSafe(r["doc_id"])).filter(F.col("text") == r["text"]).count() >= 1
+    assert secrets.redacted(odd.limit(0)).count() == 0
