@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe_words, mixing, near_dup, quality_rules, secrets, token_files
+from starloom.llm import bpe_words, compression_quality, html_blocks, licenses, mixing, near_dup, quality_rules, secrets, token_files, vector_search
 from starloom.llm.common import find_package, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,27 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.words_taken(mix).select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query
+def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = vector_search.scaled(table(spark, sf_dir, "embeddings"))
+    return vector_search.top_k(vectors, vectors.filter("vec_id % 100 = 0"), 10)
+
+
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = compression_quality.fitted(docs.filter(~held_out).join(labels, "doc_id"))
+    rows = compression_quality.scored(docs, model)
+    return rows.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scanned(table(spark, sf_dir, "documents"))
@@ -42,6 +63,13 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.groups(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+@query
+def op7_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rows = html_blocks.extracted(pages, html_blocks.fitted(pages))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op8_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -65,3 +93,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
