@@ -23,8 +23,10 @@ from starloom.llm.common import text_or_empty
 from starloom.llm.pretokens import coded, gathered, split_columns
 
 CHUNK = 1 << 16
-# Words whose ids a worker remembers between batches.
-KNOWN = 200_000
+# Words whose ids a worker remembers between batches: so many of the latest, and as many of those before.
+KNOWN = 250_000
+# Documents of an Arrow batch: what a task holds at once.
+BATCH = 2000
 SCHEMA = "shard int, chunk int, first long, n int, kind string, planes array<binary>, crc32 long, doc_id array<long>, doc_first array<long>, doc_n array<long>"
 
 
@@ -56,20 +58,27 @@ def _tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
-_KNOWN: dict[str, dict[str, bytes]] = {}
+_KNOWN: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 
 
 def _encoded(words: list[str], path: str) -> list[bytes]:
-    """Ids of each word as bytes; words seen before are not encoded again."""
-    known = _KNOWN.setdefault(path, {})
-    if len(known) > KNOWN:
-        known.clear()
-    new = [w for w in words if w not in known]
+    """Ids of each word as bytes; words seen lately are not encoded again."""
+    late, early = _KNOWN.get(path, ({}, {}))
+    if len(late) > KNOWN:
+        late, early = {}, late
+    _KNOWN[path] = late, early
+    new = []
+    for word in words:
+        if word not in late:
+            if word in early:
+                late[word] = early[word]
+            else:
+                new.append(word)
     for start in range(0, len(new), 10_000):
         part = new[start : start + 10_000]
         for word, out in zip(part, _tokenizer(path).encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[word] = np.array(out.ids, dtype=np.uint32).tobytes()
-    return [known[w] for w in words]
+            late[word] = np.array(out.ids, dtype=np.uint32).tobytes()
+    return [late[w] for w in words]
 
 
 def _ids(batch: pa.RecordBatch, path: str, pattern: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +128,13 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id:
         if len(held):
             yield row(held, begun)
 
-    placed.mapInArrow(chunks, SCHEMA).write.option("compression", "none").parquet(path)
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(BATCH))
+    try:
+        placed.mapInArrow(chunks, SCHEMA).write.option("compression", "none").parquet(path)
+    finally:
+        conf.set(key, before)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -158,4 +173,5 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     ordered = table.repartition("shard").sortWithinPartitions("shard", "chunk")
     rows = ordered.mapInArrow(documents, "shard int, doc_id long, first long, n_tokens long, ids binary")
-    return rows.join(bases, F.col("shard") == F.col("_shard")).select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
+    # A row per shard, that is per writing task: small whatever the corpus, so the ids need not be shuffled for it.
+    return rows.join(F.broadcast(bases), F.col("shard") == F.col("_shard")).select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
