@@ -246,7 +246,8 @@ def fact_loan_monthly(
     ``snapshot`` holds loan_id, snapshot_date, outstanding_balance, days_past_due and is_defaulted,
     and may hold principal_paid and interest_paid. Months missing between two snapshots of a loan
     repeat the earlier one at their month end, with nothing paid, so the fact is dense. Loans are
-    joined to their customers' versions first; the snapshot itself takes part in one join. That join
+    joined to their customers' versions first; the snapshot itself takes part in one join. A loan that
+    is not among the loans keeps its months, with the unknown customer and product. That join
     is a merge on loan_id, by which the snapshot is partitioned already; the optimizer cannot know how
     many months the expansion makes and might otherwise broadcast them.
     """
@@ -288,6 +289,7 @@ def fact_loan_monthly(
         owned,
         (F.col("m.loan_id") == F.col("l.loan_id"))
         & (F.col("l.customer_key").isNull() | valid_on(F.col("m.day"), "l.valid_from", "l.valid_to")),
+        "left",
     )
     key = calendar.date_key(F.col("day"))
     columns = {

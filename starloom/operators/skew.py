@@ -21,6 +21,13 @@ HOT_ROWS = 1_000_000
 HOT_SHARE = 1e-5
 
 _CHUNK = "_chunk"
+# The chunk of hot rows without an ordering value: below all others, as NULL is in an ascending order.
+_LOWEST = -(2**63)
+
+
+def _added(here: Column, before: Column) -> Column:
+    """A sum over two parts, NULL only where neither part has a value."""
+    return F.when(here.isNull(), before).otherwise(here + F.coalesce(before, F.lit(0)))
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
@@ -44,7 +51,7 @@ def with_chunks(df: DataFrame, key: str, chunk: Column, hot: DataFrame) -> DataF
     """Add ``_chunk``: NULL for cold keys, the chunk for hot ones. Broadcasts hot keys only."""
     hot = hot.withColumn("_hot", F.lit(True))
     return df.join(F.broadcast(hot), key, "left").withColumn(
-        _CHUNK, F.when(F.col("_hot"), chunk).cast("bigint")
+        _CHUNK, F.when(F.col("_hot"), F.coalesce(chunk.cast("bigint"), F.lit(_LOWEST)))
     ).drop("_hot")
 
 
@@ -95,7 +102,7 @@ def ordered_windows(
     chunk_end = F.col("_seq") == F.col("_rows")
     result = {
         "seq": F.col("_seq") + F.coalesce("c_rows_before", zero),
-        "running": F.col("_running") + F.coalesce("c_sum_before", zero),
+        "running": _added(F.col("_running"), F.col("c_sum_before")),
         "previous": F.when(chunk_start, F.col("c_previous")).otherwise(F.col("_previous")),
         "following": F.when(chunk_end, F.col("c_following")).otherwise(F.col("_following")),
         "first": F.when(F.col(_CHUNK).isNull(), F.col("_first")).otherwise(F.col("c_first")),
@@ -107,11 +114,15 @@ def ordered_windows(
         from_before = F.when(
             F.col("c_tail").isNotNull() & (missing > 0), F.slice("c_tail", F.lit(1), missing)
         )
+        # Sums and counts pass over NULL, as those of a window do.
+        known = F.filter(from_before, lambda x: x.isNotNull())
         carried_sum = F.aggregate(
-            from_before, F.lit(0).cast("decimal(38,2)"), lambda a, x: (a + x).cast("decimal(38,2)")
+            known, F.lit(0).cast("decimal(38,2)"), lambda a, x: (a + x).cast("decimal(38,2)")
+        )
+        result["trailing_sum"] = _added(
+            F.col("_near_sum"), F.when(F.size(known) > 0, carried_sum)
         )
-        result["trailing_sum"] = F.col("_near_sum") + F.coalesce(carried_sum, zero)
-        result["trailing_rows"] = F.col("_near_rows") + F.coalesce(F.size(from_before), zero)
+        result["trailing_rows"] = F.col("_near_rows") + F.coalesce(F.size(known), zero)
     return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in result.items()])
 
 
@@ -119,7 +130,7 @@ def _ordered_carry(df, key, ts, tiebreak, value, trailing, hot, chunk) -> DataFr
     """One row per (hot key, chunk): what the chunk's rows need to know about the other chunks."""
     hot_rows = (
         df.join(F.broadcast(hot), key, "left_semi")
-        .withColumn(_CHUNK, chunk.cast("bigint"))
+        .withColumn(_CHUNK, F.coalesce(chunk.cast("bigint"), F.lit(_LOWEST)))
         .select(key, _CHUNK, ts, tiebreak, value)
     )
     position = F.struct(ts, tiebreak)
@@ -145,7 +156,7 @@ def _ordered_carry(df, key, ts, tiebreak, value, trailing, hot, chunk) -> DataFr
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     columns = {
         "c_rows_before": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-        "c_sum_before": F.coalesce(F.sum("_s").over(before), F.lit(0)),
+        "c_sum_before": F.sum("_s").over(before),
         "c_previous": F.lag("_l").over(order),
         "c_following": F.lead("_f").over(order),
         "c_first": F.first("_f").over(whole),
@@ -180,7 +191,7 @@ def value_windows(
     """
     source = df if source is None else source
     hot = hot_keys(source, key, min_rows)
-    step = magnitude_chunk(value).cast("bigint")
+    step = F.coalesce(magnitude_chunk(value).cast("bigint"), F.lit(_LOWEST))
     steps = (
         source.join(F.broadcast(hot), key, "left_semi")
         .groupBy(key, step.alias(_CHUNK))

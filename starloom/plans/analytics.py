@@ -215,7 +215,7 @@ def running_balance(fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_RO
 
 
 def window_tour(
-    fact: DataFrame, accounts: DataFrame, limit: int | None = 20, hot_rows: int = HOT_ROWS
+    fact: DataFrame, accounts: DataFrame, limit: int | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Rank, neighbour, running, moving and share columns of each transaction in its account.
 
@@ -402,7 +402,7 @@ def segment_migration(dim: DataFrame) -> DataFrame:
     )
 
 
-def first_last_txn(fact: DataFrame, customers: DataFrame, limit: int | None = 10) -> DataFrame:
+def first_last_txn(fact: DataFrame, customers: DataFrame, limit: int | None = None) -> DataFrame:
     """First and last transaction of each customer, busiest customers first."""
     partial = fact.groupBy("customer_key").agg(
         F.min("transaction_ts").alias("first_ts"),
@@ -432,7 +432,7 @@ def cohort_retention(
     fact: DataFrame,
     customers: DataFrame,
     max_offset: int = 12,
-    limit: int | None = 30,
+    limit: int | None = None,
     by: str = "customer_key",
 ) -> DataFrame:
     """Share of each join-month cohort still transacting 0..max_offset months later.
@@ -487,7 +487,7 @@ def cohort_retention(
 
 
 def third_highest_amount(
-    fact: DataFrame, accounts: DataFrame, n: int = 3, limit: int | None = 10
+    fact: DataFrame, accounts: DataFrame, n: int = 3, limit: int | None = None
 ) -> DataFrame:
     """Every transaction whose amount is its account's n-th highest distinct amount.
 
@@ -522,7 +522,7 @@ def latest_txn_per_account(fact: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def accounts_without_fraud(
-    fact: DataFrame, accounts: DataFrame, limit: int | None = 10
+    fact: DataFrame, accounts: DataFrame, limit: int | None = None
 ) -> DataFrame:
     """Accounts that never had a fraudulent transaction."""
     touched = fact.where("is_fraud").select("account_key").distinct()
@@ -536,7 +536,7 @@ def daily_activity(fact: DataFrame) -> DataFrame:
 
 
 def activity_streaks(
-    fact: DataFrame, accounts: DataFrame, min_days: int = 5, limit: int | None = 15
+    fact: DataFrame, accounts: DataFrame, min_days: int = 5, limit: int | None = None
 ) -> DataFrame:
     """Runs of consecutive active days, longest first.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from starloom.plans import views
+from starloom.session import use_utc
 from starloom.sources.store import Store
 
 
@@ -11,6 +12,7 @@ def register_views(store: Store) -> list[str]:
 
     Names point at the versions current now; call again after a load.
     """
+    use_utc(store.spark)
     tables = {
         name: found for name in store.tables() if (found := store.read_if_exists(name)) is not None
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom import schemas
 from starloom.operators import dimensions, facts, history, quality
 from starloom.plans import views
+from starloom.session import use_utc
 from starloom.sources.staged import read_staged
 from starloom.sources.store import Store
 
@@ -20,24 +21,31 @@ def load_warehouse(
     source_dir: str,
     effective_date: date,
     initial: bool = False,
-    limit: int | None = None,
     load_id: int | None = None,
     calendar_range: tuple[date, date] = (dimensions.CALENDAR_START, dimensions.CALENDAR_END),
 ) -> DataFrame:
     """Run one load and return its report (step, rows).
 
     Every dimension is written before the facts read it, so keys are settled. All tables become
-    visible together at the end; a load that fails shows nothing. A load can be repeated: merges of an
-    unchanged batch change nothing and loaded transactions are skipped.
+    visible together at the end; a load that fails shows nothing, neither then nor later. A load can
+    be repeated: merges of an unchanged batch change nothing and loaded transactions are skipped. What
+    became of every staged transaction is published as ``load_accounting``. Days and hours are those of
+    UTC whatever the session's zone.
     """
+    use_utc(spark)
     report: list[tuple[str, int]] = []
-    steps = Steps(store, report)
+    with store.load():
+        _load(spark, store, source_dir, effective_date, initial, load_id, calendar_range, report)
+    return spark.createDataFrame(report, "step string, rows bigint")
+
 
+def _load(spark, store, source_dir, effective_date, initial, load_id, calendar_range, report) -> None:
+    steps = Steps(store, report)
     steps.write("dim_date", dimensions.dim_date(spark, *calendar_range))
     steps.seed("dim_merchant_category", dimensions.merchant_category_seed(spark), "category_code")
     steps.seed("dim_loan_product", dimensions.loan_product_seed(spark), "loan_type")
 
-    staged = {e: read_staged(spark, source_dir, e, limit) for e in schemas.STAGING}
+    staged = {e: read_staged(spark, source_dir, e) for e in schemas.STAGING}
     steps.merge(
         "dim_branch", dimensions.unknown_branch(spark), staged["branches"], dimensions.merge_dim_branch
     )
@@ -56,11 +64,34 @@ def load_warehouse(
     if staged["loans"] is not None:
         steps.write("stg_loans", staged["loans"])
     if staged["transactions"] is not None:
-        report.append(
-            ("fact_transactions", write_transactions(store, staged["transactions"], load_id))
-        )
-    store.commit()
-    return spark.createDataFrame(report, "step string, rows bigint")
+        found = transactions_found(store, staged["transactions"])
+        inserted = write_transactions(store, staged["transactions"], load_id)
+        report.append(("fact_transactions", inserted))
+        found["loaded_before"] = found["staged"] - found["out_of_calendar"] - found["duplicate"] - inserted
+        found["inserted"] = inserted
+        accounting = spark.createDataFrame(list(found.items()), "outcome string, rows bigint")
+        store.write_snapshot("load_accounting", accounting)
+
+
+def transactions_found(store: Store, batch: DataFrame) -> dict[str, int]:
+    """Staged rows, and those of them that a load leaves out; a NULL measure or flag is refused.
+
+    Staged rows are the inserted, out-of-calendar, duplicate and loaded-before ones together.
+    """
+    days = store.read("dim_date").select(F.col("full_date").alias("_day"), F.lit(True).alias("_known"))
+    rows = batch.join(days, F.to_date("timestamp") == F.col("_day"), "left")
+    inside = F.coalesce("_known", F.lit(False))
+    required = ("transaction_id", "amount", "is_fraud")
+    found = rows.agg(
+        F.count(F.lit(1)).alias("staged"),
+        F.count_if(~inside).alias("out_of_calendar"),
+        (F.count_if(inside) - F.count_distinct(F.when(inside, F.col("transaction_id")))).alias("duplicate"),
+        *[F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in required],
+    ).first()
+    missing = {c: found[f"no_{c}"] for c in required if found[f"no_{c}"]}
+    if missing:
+        raise ValueError(f"staged transactions without a value: {missing}")
+    return {name: found[name] for name in ("staged", "out_of_calendar", "duplicate")}
 
 
 def write_transactions(
@@ -92,9 +123,10 @@ def append_transactions(
     store: Store, batch: DataFrame, load_id: int | None = None, ids_keep_their_month: bool = False
 ) -> int:
     """Append the batch's new transactions to the published fact; returns how many."""
-    rows = write_transactions(store, batch, load_id, ids_keep_their_month)
-    store.commit()
-    return rows
+    use_utc(store.spark)
+    transactions_found(store, batch)
+    with store.load():
+        return write_transactions(store, batch, load_id, ids_keep_their_month)
 
 
 def refresh_monthly_summary(store: Store) -> int:

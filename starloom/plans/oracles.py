@@ -584,7 +584,7 @@ ORACLES: dict[str, str] = {
     WITH {_L}
     SELECT customer_id, min(transaction_ts) AS first_txn, max(transaction_ts) AS last_txn,
            CAST(max(full_date) - min(full_date) AS INTEGER) AS days_active, count(*) AS total_txns
-    FROM fact WHERE customer_id <> '-1' GROUP BY 1 ORDER BY total_txns DESC, customer_id LIMIT 10""",
+    FROM fact WHERE customer_id <> '-1' GROUP BY 1 ORDER BY total_txns DESC, customer_id""",
     "cohort_retention": _retention("AND f.customer_from = c.valid_from"),
     "cohort_retention_by_id": _retention(""),
     "third_highest_amount": f"""
@@ -624,7 +624,7 @@ ORACLES: dict[str, str] = {
     SELECT account_id, min(d) AS streak_start, max(d) AS streak_end, count(*) AS consecutive_days,
            CAST(max(d) - min(d) + 1 AS INTEGER) AS span_check
     FROM runs GROUP BY account_id, run HAVING count(*) >= 5
-    ORDER BY consecutive_days DESC, account_id, streak_start LIMIT 15""",
+    ORDER BY consecutive_days DESC, account_id, streak_start""",
     "inactivity_gaps": f"""
     WITH {_L}, days AS (SELECT DISTINCT account_id, full_date AS d FROM fact)
     SELECT account_id, lag(d) OVER w AS last_active, d AS active_again,

@@ -483,7 +483,7 @@ def window_tour(spark, sf_dir):
 def window_tour_report(spark, sf_dir):
     """The first twenty rows, as the report shows them."""
     star = _lineitem(spark, sf_dir)
-    tour = analytics.window_tour(star.fact, star.accounts)
+    tour = analytics.window_tour(star.fact, star.accounts, limit=20)
     return _wall_clock(_double(tour, "moving_avg_7", "pct_of_account_total"), "transaction_ts")
 
 

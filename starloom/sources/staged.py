@@ -14,13 +14,11 @@ logger = logging.getLogger(__name__)
 ENTITIES = list(schemas.STAGING)
 
 
-def read_staged(
-    spark: SparkSession, source_dir: str, entity: str, limit: int | None = None
-) -> DataFrame | None:
+def read_staged(spark: SparkSession, source_dir: str, entity: str) -> DataFrame | None:
     """The current batch of an entity: every Parquet file below ``source_dir/entity``.
 
-    Only the declared columns are read, in their declared order and types. ``limit`` caps the rows
-    of a trial load. A missing entity gives None and a warning, and its merge is to be skipped.
+    Only the declared columns are read, in their declared order and types. A missing entity gives
+    None and a warning, and its merge is to be skipped.
     """
     path = f"{source_dir.rstrip('/')}/{entity}"
     try:
@@ -30,5 +28,4 @@ def read_staged(
             raise
         logger.warning("no parquet found for %s, skipping", entity)
         return None
-    batch = schemas.conform(found, schemas.STAGING[entity])
-    return batch if limit is None else batch.limit(limit)
+    return schemas.conform(found, schemas.STAGING[entity])

@@ -4,12 +4,15 @@ Without a table format there is no MERGE and no atomic overwrite, so nothing is
 a dimension is written as a whole new folder, a fact load as one more folder, and one append to the
 log makes everything written since the last commit visible at once. A reader resolves the log once
 and then reads folders that never change, so a refresh does not disturb it; a load that dies before
-its commit leaves unlisted folders and is simply run again. One writer at a time is assumed.
+its commit leaves unlisted folders and is simply run again. A commit is refused where another writer
+has published since this store last looked.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -90,9 +93,25 @@ class Store:
         )
         return self._write(table, "load", monthly, load_id, ["month_key"])
 
+    @contextmanager
+    def load(self) -> Iterator[None]:
+        """What is written inside becomes visible together at the end, or, after any error, never."""
+        self._written = []
+        try:
+            yield
+            self.commit()
+        finally:
+            self._written = []
+
     def commit(self) -> None:
-        """Make everything written visible with one append of one file."""
+        """Make everything written visible with one append of one file.
+
+        Versions were numbered after what this store has seen, so a log that has moved is refused.
+        """
         if self._written:
+            if self.log().count() != len(self._listed):
+                self._written = []
+                raise RuntimeError("another writer has published meanwhile: refresh and run again")
             (
                 self.spark.createDataFrame(self._written, _ENTRY)
                 .coalesce(1)
@@ -104,14 +123,12 @@ class Store:
             self._written = []
 
     def publish(self, table: str, df: DataFrame) -> int:
-        rows = self.write_snapshot(table, df)
-        self.commit()
-        return rows
+        with self.load():
+            return self.write_snapshot(table, df)
 
     def append(self, table: str, df: DataFrame, load_id: int | None = None) -> int:
-        rows = self.write_load(table, df, load_id)
-        self.commit()
-        return rows
+        with self.load():
+            return self.write_load(table, df, load_id)
 
     def _write(self, table, kind, df, load_id, partitions) -> int:
         version = max((e["version"] for e in self._entries(table)), default=0) + 1

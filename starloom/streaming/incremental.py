@@ -25,6 +25,7 @@ def load_arriving_transactions(
     )
 
     def load(batch, batch_id: int) -> None:
+        store.refresh()  # dimensions published since the last micro-batch
         append_transactions(store, batch, batch_id)
 
     return (

@@ -54,6 +54,22 @@ ORDERED = ["seq", "running", "previous", "following", "first", "last", "total",
 VALUED = ["position", "value_rank", "value_dense_rank", "tile"]
 
 
+@pytest.fixture(scope="module")
+def gaps(rows):
+    """The same rows with every fifth amount missing, one key without any, and times missing."""
+    n = F.substring("id", 2, 4).cast("int")
+    amount = F.when((n % 5 != 2) & (F.col("key") != 7), F.col("amount"))
+    return rows.withColumns({"amount": amount, "ts": F.when(n % 50 != 9, F.col("ts"))}).cache()
+
+
+@pytest.mark.parametrize("min_rows", [0, 3, 10**6])
+def test_windows_over_missing_values_equal_plain_windows(gaps, min_rows):
+    want = sorted(map(tuple, plain(gaps).select("id", *ORDERED, *VALUED).collect()))
+    ordered = ordered_windows(gaps, "key", "ts", "id", "amount", trailing=7, min_rows=min_rows)
+    both = value_windows(ordered, "key", "amount", "ts", "id", min_rows=min_rows, source=gaps)
+    assert sorted(map(tuple, both.select("id", *ORDERED, *VALUED).collect())) == want
+
+
 @pytest.mark.parametrize("min_rows", [0, 100, 10**6])
 def test_ordered_windows_equal_plain_windows(rows, min_rows):
     got = ordered_windows(rows, "key", "ts", "id", "amount", trailing=7, min_rows=min_rows)
