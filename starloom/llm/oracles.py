@@ -3,11 +3,11 @@
 ORACLES = {
     "op2_vector_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS vector FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS vector FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scores AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                list_sum(list_transform(range(1, len(q.vector) + 1), i -> q.vector[i] * c.vector[i]))::BIGINT AS score
+                list_sum(list_transform(range(1, len(q.vector) + 1), lambda i: q.vector[i] * c.vector[i]))::BIGINT AS score
             FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
         ), ranked AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores
@@ -18,14 +18,14 @@ ORACLES = {
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
         ), sets AS (
-            SELECT doc_id, CASE WHEN len(w) >= 2 THEN list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) ELSE w END AS s FROM words
+            SELECT doc_id, CASE WHEN len(w) >= 2 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS s FROM words
         ), entries AS (
             SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
         ), pairs AS (
-            SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS both
+            SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS shared
             FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.doc_id < b.doc_id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) GROUP BY 1, 2
         ), links AS (
-            SELECT a, b FROM pairs WHERE 100 * both >= 80 * (n + m - both)
+            SELECT a, b FROM pairs WHERE 100 * shared >= 80 * (n + m - shared)
         ), edges AS (
             SELECT a, b FROM links UNION ALL SELECT b, a FROM links
         ), reach AS (
@@ -38,7 +38,7 @@ ORACLES = {
     "op9_quality_rules": """
         WITH w AS (
             SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
-                list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents
         ), grams AS (
             SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)
         ), twice AS (
@@ -46,7 +46,7 @@ ORACLES = {
         ), covered AS (
             SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id
         ), m AS (
-            SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+            SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
                 (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
                 (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
                 (length(t) - length(regexp_replace(t, '\\p{L}', '', 'g')))::BIGINT AS n_letters,
