@@ -1,8 +1,9 @@
 """Byte-level BPE with every distinct word encoded once for the whole table.
 
 Texts are split into words; a block of documents keeps its distinct words and, per document, the words' codes by
-position. The words of all blocks are shuffled by word, so each is encoded in one place; the ids go back to their block
-and take the places of the codes. What moves is a word per block, not a word per position, and one code per position.
+position. The words of all blocks are shuffled by word, in packs of a hash bucket of words, so each is encoded in one
+place; the ids go back to their block and take the places of the codes. What moves is a word per block, not a word per
+position, and one code per position.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import tiktoken
 import zstandard
@@ -24,6 +26,8 @@ from starloom.llm.pretokens import coded, gathered, split_columns
 
 # Pieces after which a block is closed: bounds what a task holds.
 BLOCK_PIECES = 4_000_000
+# Hash buckets of words: a word's bucket is in one task, and a block's words of a bucket move as one row.
+BUCKETS = 512
 
 
 @cache
@@ -55,11 +59,40 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
-BLOCKS = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("codes", pa.binary()), ("words", pa.list_(pa.string()))])
+def _pack_words(words: list[str], places: np.ndarray) -> bytes:
+    raw = [w.encode() for w in words]
+    sizes = np.array([len(r) for r in raw], dtype="<u4")
+    head = np.array([len(raw)], dtype="<u4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + sizes.tobytes() + places.astype("<u4").tobytes() + b"".join(raw))
+
+
+def _unpack_words(data: bytes) -> tuple[list[str], np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(data)
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    sizes, places = np.frombuffer(data, "<u4", 2 * n, 4).reshape(2, n)
+    ends = 4 + 8 * n + np.cumsum(sizes, dtype=np.int64)
+    return [data[e - z : e].decode() for e, z in zip(ends.tolist(), sizes.tolist(), strict=True)], places
+
+
+def _pack_ids(places: np.ndarray, ids: list[bytes]) -> bytes:
+    """Places, ids per place, and all ids, each as planes of bytes."""
+    many = np.array([len(i) // 4 for i in ids], dtype="<u4")
+    numbers = np.concatenate((np.array([len(ids)], dtype="<u4"), places, many, np.frombuffer(b"".join(ids), dtype="<u4")))
+    return _packed(numbers)
+
+
+def _unpack_ids(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    numbers = _unpacked(data)
+    n = int(numbers[0])
+    return numbers[1 : n + 1], numbers[n + 1 : 2 * n + 1], numbers[2 * n + 1 :]
+
+
+PACK = pa.struct([("bucket", pa.int32()), ("data", pa.binary())])
+BLOCKS = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("codes", pa.binary()), ("packs", pa.list_(PACK))])
 
 
 def _block(number: int, parts: list[tuple]) -> pa.RecordBatch:
-    """One row: documents, their piece counts, codes by falling frequency, and the words in the order of codes."""
+    """One row: documents, their piece counts, codes by falling frequency, and the words with their codes, by bucket."""
     ids = pa.concat_arrays([p[0] for p in parts])
     counts = np.concatenate([np.diff(p[3]) for p in parts])
     words = pa.chunked_array([p[1] for p in parts]).combine_chunks()
@@ -70,10 +103,17 @@ def _block(number: int, parts: list[tuple]) -> pa.RecordBatch:
     often = np.argsort(-np.bincount(codes, minlength=len(merged.dictionary)), kind="stable")
     place = np.empty(len(often), dtype=np.int64)
     place[often] = np.arange(len(often))
-    in_order = merged.dictionary.take(pa.array(often))
+    in_order = merged.dictionary.take(pa.array(often)).to_pylist()
+    bucket = pd.util.hash_array(np.array([*in_order, None], dtype=object)[:-1], categorize=False) % BUCKETS
+    by_bucket = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[by_bucket], np.arange(BUCKETS + 1))
+    packs = []
+    for i in range(BUCKETS):
+        if len(part := by_bucket[cuts[i] : cuts[i + 1]]):
+            packs.append({"bucket": i, "data": _pack_words([in_order[k] for k in part], part)})
     one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(kind))
     return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int64()), one(ids, pa.int64()), one(pa.array(counts.astype(np.int32)), pa.int32()), pa.array([_packed(place[codes])], pa.binary()), one(in_order, pa.string())], schema=BLOCKS
+        [pa.array([number], pa.int64()), one(ids, pa.int64()), one(pa.array(counts.astype(np.int32)), pa.int32()), pa.array([_packed(place[codes])], pa.binary()), pa.array([packs], pa.list_(PACK))], schema=BLOCKS
     )
 
 
@@ -100,34 +140,35 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
             yield _block(number, parts)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), pieces, whole)
-    table = written(rows.mapInArrow(blocks, "block long, doc_id array<long>, counts array<int>, codes binary, words array<string>"), "blocks")
+    table = written(rows.mapInArrow(blocks, "block long, doc_id array<long>, counts array<int>, codes binary, packs array<struct<bucket:int,data:binary>>"), "blocks")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, known = encoding(ranks_path, pattern), {}
         for batch in batches:
-            words = batch.column(2).dictionary_encode()
-            ids = []
-            for word in words.dictionary.to_pylist():
-                found = known.get(word)
-                if found is None:
-                    found = known[word] = np.array(codec.encode_ordinary(word), dtype=np.int32).tobytes()
-                ids.append(found)
-            if len(known) > 500_000:  # words come in hash order: the same word may come again, and is then encoded again
-                known.clear()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()).take(words.indices)], ["block", "place", "ids"])
-
-    entries = table.select("block", F.posexplode("words").alias("place", "word")).select("block", "place", "word")
-    found = entries.repartition("word").mapInArrow(encode, "block long, place int, ids binary")
+            out = []
+            for data in batch.column(1).to_pylist():
+                words, places = _unpack_words(data)
+                for word in words:
+                    if word not in known:
+                        known[word] = np.array(codec.encode_ordinary(word), dtype="<u4").tobytes()
+                out.append(_pack_ids(places, [known[w] for w in words]))
+                if len(known) > 500_000:  # bounds memory: a word that comes again is then encoded again
+                    known.clear()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["block", "ids"])
+
+    entries = table.select("block", F.explode("packs").alias("pack")).select("block", "pack.bucket", "pack.data")
+    found = entries.repartition("bucket").select("block", "data").mapInArrow(encode, "block long, ids binary")
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0:
             return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
         out = []
-        back = right.take(pa.compute.sort_indices(right["place"])) if right.num_rows else right
-        words = back["ids"].combine_chunks()
-        lengths = np.asarray(pa.compute.binary_length(words), dtype=np.int64) // 4 if len(words) else np.zeros(0, np.int64)
-        starts = np.concatenate(([0], np.cumsum(lengths)))
-        values = np.frombuffer(b"".join(words.to_pylist()), dtype=np.int32)
+        packs = [_unpack_ids(data) for data in right["ids"].to_pylist()] or [(np.zeros(0, np.int64),) * 3]
+        places, many, flat = (np.concatenate(part) for part in zip(*packs, strict=True))
+        order = np.argsort(places, kind="stable")
+        begin = np.concatenate(([0], np.cumsum(many)))
+        values, _ = gathered(flat, begin, order)
+        values, starts = values.astype(np.int32), np.concatenate(([0], np.cumsum(many[order])))
         for row in range(left.num_rows):
             counts = np.asarray(left["counts"][row].values, dtype=np.int64)
             ids, many = gathered(values, starts, _unpacked(left["codes"][row].as_py()))
