@@ -25,7 +25,9 @@ from starloom.llm.common import text_or_empty, written
 from starloom.llm.pretokens import coded, gathered, split_columns
 
 # Pieces after which a block is closed: bounds what a task holds.
-BLOCK_PIECES = 4_000_000
+BLOCK_PIECES = 3_000_000
+# Pieces whose places are worked out at once.
+SLICE = 250_000
 # Hash buckets of words: a word's bucket is in one task, and a block's words of a bucket move as one row.
 BUCKETS = 512
 
@@ -56,7 +58,7 @@ def _packed(codes: np.ndarray, level: int = 3) -> bytes:
 
 def _unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
 def _pack_words(words: list[str], places: np.ndarray) -> bytes:
@@ -84,7 +86,7 @@ def _pack_ids(places: np.ndarray, ids: list[bytes]) -> bytes:
 def _unpack_ids(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     numbers = _unpacked(data)
     n = int(numbers[0])
-    return numbers[1 : n + 1], numbers[n + 1 : 2 * n + 1], numbers[2 * n + 1 :]
+    return numbers[1 : n + 1], numbers[n + 1 : 2 * n + 1].astype(np.int64), numbers[2 * n + 1 :]
 
 
 PACK = pa.struct([("bucket", pa.int32()), ("data", pa.binary())])
@@ -98,10 +100,10 @@ def _block(number: int, parts: list[tuple]) -> pa.RecordBatch:
     words = pa.chunked_array([p[1] for p in parts]).combine_chunks()
     shift = np.concatenate(([0], np.cumsum([len(p[1]) for p in parts])))[:-1]
     merged = words.dictionary_encode()
-    local = np.asarray(merged.indices, dtype=np.int64)
-    codes = np.concatenate([local[p[2].astype(np.int64) + s] for p, s in zip(parts, shift, strict=True)])
+    local = np.asarray(merged.indices, dtype=np.int32)
+    codes = np.concatenate([local[s : s + len(p[1])][p[2]] for p, s in zip(parts, shift, strict=True)])
     often = np.argsort(-np.bincount(codes, minlength=len(merged.dictionary)), kind="stable")
-    place = np.empty(len(often), dtype=np.int64)
+    place = np.empty(len(often), dtype=np.uint32)
     place[often] = np.arange(len(often))
     in_order = merged.dictionary.take(pa.array(often)).to_pylist()
     bucket = pd.util.hash_array(np.array([*in_order, None], dtype=object)[:-1], categorize=False) % BUCKETS
@@ -170,10 +172,16 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
         values, _ = gathered(flat, begin, order)
         values, starts = values.astype(np.int32), np.concatenate(([0], np.cumsum(many[order])))
         for row in range(left.num_rows):
-            counts = np.asarray(left["counts"][row].values, dtype=np.int64)
-            ids, many = gathered(values, starts, _unpacked(left["codes"][row].as_py()))
-            ends = np.concatenate(([0], np.cumsum(many)))[np.concatenate(([0], np.cumsum(counts)))]
-            out.append(pa.table({"doc_id": left["doc_id"][row].values, "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))}))
+            ids, codes = left["doc_id"][row].values, _unpacked(left["codes"][row].as_py())
+            ends = np.concatenate(([0], np.cumsum(np.asarray(left["counts"][row].values, dtype=np.int64))))
+            first = 0
+            while first < len(ids):  # some documents at a time, so that no array holds the whole block's places
+                end = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE, side="right")) - 1)
+                some, each = gathered(values, starts, codes[ends[first] : ends[end]])
+                cuts = np.concatenate(([0], np.cumsum(each)))[ends[first : end + 1] - ends[first]]
+                lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(some))
+                out.append(pa.table({"doc_id": ids.slice(first, end - first), "ids": lists}))
+                first = end
         return pa.concat_tables(out)
 
     by_block = table.select("block", "doc_id", "counts", "codes").groupBy("block")
