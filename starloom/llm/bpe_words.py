@@ -25,7 +25,7 @@ from starloom.llm.common import text_or_empty, written
 from starloom.llm.pretokens import coded, gathered, split_columns
 
 # Pieces after which a block is closed: bounds what a task holds.
-BLOCK_PIECES = 3_000_000
+BLOCK_PIECES = 1_000_000
 # Pieces whose places are worked out at once.
 SLICE = 250_000
 # Hash buckets of words: a word's bucket is in one task, and a block's words of a bucket move as one row.
