@@ -21,11 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import text_or_empty, written
+from starloom.llm.common import batch_rows, text_or_empty, written
 from starloom.llm.pretokens import coded, gathered, split_columns
 
 # Pieces after which a block is closed: bounds what a task holds.
-BLOCK_PIECES = 1_000_000
+BLOCK_PIECES = 2_000_000
+# Documents of an Arrow batch.
+BATCH = 1000
 # Pieces whose places are worked out at once.
 SLICE = 250_000
 # Hash buckets of words: a word's bucket is in one task, and a block's words of a bucket move as one row.
@@ -142,7 +144,8 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
             yield _block(number, parts)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), pieces, whole)
-    table = written(rows.mapInArrow(blocks, "block long, doc_id array<long>, counts array<int>, codes binary, packs array<struct<bucket:int,data:binary>>"), "blocks")
+    with batch_rows(docs.sparkSession, BATCH):
+        table = written(rows.mapInArrow(blocks, "block long, doc_id array<long>, counts array<int>, codes binary, packs array<struct<bucket:int,data:binary>>"), "blocks")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, known = encoding(ranks_path, pattern), {}

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +60,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Rows of an Arrow batch for what runs inside: bounds the texts that a Python worker holds at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def find_package(spark: SparkSession) -> None:
     """Let Python workers that see this folder import the package from it; elsewhere ship it with --py-files."""
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.common import text_or_empty
+from starloom.llm.common import batch_rows, text_or_empty
 from starloom.llm.pretokens import coded, gathered, split_columns
 
 CHUNK = 1 << 16
@@ -128,13 +128,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id:
         if len(held):
             yield row(held, begun)
 
-    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(key)
-    conf.set(key, str(BATCH))
-    try:
+    with batch_rows(docs.sparkSession, BATCH):
         placed.mapInArrow(chunks, SCHEMA).write.option("compression", "none").parquet(path)
-    finally:
-        conf.set(key, before)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
