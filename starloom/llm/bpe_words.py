@@ -28,6 +28,8 @@ from starloom.llm.pretokens import coded, gathered, split_columns
 BLOCK_PIECES = 2_000_000
 # Documents of an Arrow batch.
 BATCH = 1000
+# Words whose ids a task remembers.
+KNOWN = 150_000
 # Pieces whose places are worked out at once.
 SLICE = 250_000
 # Hash buckets of words: a word's bucket is in one task, and a block's words of a bucket move as one row.
@@ -142,6 +144,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                 number, parts, size = number + 1, [], 0
         if parts:
             yield _block(number, parts)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), pieces, whole)
     with batch_rows(docs.sparkSession, BATCH):
@@ -157,7 +160,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                     if word not in known:
                         known[word] = np.array(codec.encode_ordinary(word), dtype="<u4").tobytes()
                 out.append(_pack_ids(places, [known[w] for w in words]))
-                if len(known) > 500_000:  # bounds memory: a word that comes again is then encoded again
+                if len(known) > KNOWN:  # bounds memory: a word that comes again is then encoded again
                     known.clear()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["block", "ids"])
 
