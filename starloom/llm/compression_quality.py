@@ -76,7 +76,10 @@ def fitted(labelled: DataFrame, text: str = "text", label: str = "label", doc_id
     fit = labelled.filter(F.col(label).isin(0, 1) & F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
     parts = {}
     for value in (0, 1):
-        rows = fit.filter(F.col(label) == value).select(F.col(text).alias("text"), F.xxhash64(F.col(doc_id)).alias("mark")).orderBy("mark", "text").limit(SAMPLE).collect()
+        rows = fit.filter(F.col(label) == value).select(F.col(text).alias("text"), F.xxhash64(F.col(doc_id)).alias("mark"))
+        # Marks first, so that only texts of the sample are shuffled and sent.
+        last = rows.select("mark").orderBy("mark").limit(SAMPLE).agg(F.max("mark")).first()[0]
+        rows = rows.filter(F.col("mark") <= F.lit(last)).orderBy("mark", "text").limit(SAMPLE).collect() if last is not None else []
         parts[value] = [r["text"].encode() for r in rows]
     bad, good = _dictionary(parts[0][::2]), _dictionary(parts[1][::2])
     if not parts[0] or not parts[1]:
