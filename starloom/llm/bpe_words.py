@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 import xxhash
@@ -114,7 +113,7 @@ def _block(number: int, parts: list[tuple]) -> pa.RecordBatch:
     place = np.empty(len(often), dtype=np.uint32)
     place[often] = np.arange(len(often))
     in_order = merged.dictionary.take(pa.array(often)).to_pylist()
-    bucket = pd.util.hash_array(np.array([*in_order, None], dtype=object)[:-1], categorize=False) % BUCKETS
+    bucket = np.array([xxhash.xxh3_64_intdigest(w) % BUCKETS for w in in_order], dtype=np.uint32)
     by_bucket = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[by_bucket], np.arange(BUCKETS + 1))
     packs = []
@@ -130,7 +129,7 @@ def _block(number: int, parts: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([name], pa.int64()), one(ids, pa.int64()), one(pa.array(counts.astype(np.int32)), pa.int32()), pa.array([packed], pa.binary()),
-            pa.array([_packed(bucket.astype(np.uint32))], pa.binary()), pa.array([packs], pa.list_(PACK)),
+            pa.array([_packed(bucket)], pa.binary()), pa.array([packs], pa.list_(PACK)),
         ],
         schema=BLOCKS,
     )

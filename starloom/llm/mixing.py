@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,9 +137,9 @@ def _slots(spark, lines: list[Source], seed: int) -> DataFrame:
     counts, blocks = [s.slots for s in lines], [s.blocks for s in lines]
     shards = max(1, math.ceil(sum(counts) / SHARD_SLOTS))
 
-    def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for shard in frame["id"]:
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
                 for _, have, before in draws(counts, shards, SHARD_SLOTS, seed, range(shard, shard + 1)):
                     place = np.repeat(np.arange(len(have)), have)
                     number = np.arange(len(place)) - np.repeat(np.cumsum(have) - have, have) + np.repeat(before, have)
@@ -149,10 +149,11 @@ def _slots(spark, lines: list[Source], seed: int) -> DataFrame:
                         at = (place == p) & (turn == t)
                         block[at] = permuted(number[at] % blocks[p], blocks[p], (seed, p, t))
                     slot = permuted(np.arange(len(place)), max(len(place), 1), (seed, shard))
-                    yield pd.DataFrame({"shard": shard, "slot": slot, "place": place, "pass": turn, "block": block})
+                    columns = [np.full(len(slot), shard, dtype=np.int64), slot, place.astype(np.int32), turn.astype(np.int32), block]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shard", "slot", "place", "pass", "block"])
 
     rows = spark.range(shards, numPartitions=max(1, math.ceil(shards / 32)))
-    return rows.mapInPandas(fill, "shard long, slot long, place int, pass int, block long")
+    return rows.mapInArrow(fill, "shard long, slot long, place int, pass int, block long")
 
 
 @dataclass(frozen=True)
