@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import text_or_empty
+from starloom.llm.common import give_back, text_or_empty
 from starloom.llm.pretokens import coded, gathered, split_columns
 
 # Pieces after which a block is closed: bounds what a task holds.
@@ -156,7 +156,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                 number, parts, size = number + 1, [], 0
         if parts:
             yield _block(number, parts)
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        give_back()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), pieces, whole)
     # One shuffle for both readers: each takes whole rows, so that the plans below are the same and Spark reuses it.
@@ -181,6 +181,8 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                 if len(known) > KNOWN:  # bounds memory: a word that comes again is then encoded again
                     known.clear()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["block", "bucket", "ids"])
+        del known
+        give_back()
 
     entries = table.mapInArrow(unpack, "block long, bucket int, data binary")
     found = entries.repartition("bucket").mapInArrow(encode, "block long, bucket int, ids binary")
@@ -237,6 +239,7 @@ def decoded(rows: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
                 whole = pa.compute.if_else(lists.is_valid(), whole, pa.scalar(None, pa.large_binary())).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, whole], [*batch.schema.names, "bytes"])
                 first = end
+        give_back()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(decode, f"{fields}, bytes binary")

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system; called at the end of tasks, as the worker lives on."""
+    pa.default_memory_pool().release_unused()
+
+
 @contextmanager
 def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Rows of an Arrow batch for what runs inside: bounds the texts that a Python worker holds at once."""
@@ -72,9 +78,18 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+# Python workers outlive their tasks, and Spark keeps idle ones: large arrays go back to the system when they are freed.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_ARENA_MAX": "2"}
+
+
 def find_package(spark: SparkSession) -> None:
-    """Let Python workers that see this folder import the package from it; elsewhere ship it with --py-files."""
+    """Let Python workers that see this folder import the package from it; elsewhere ship it with --py-files.
+
+    Settings of WORKER_MEMORY hold for these workers where the session sets none of its own.
+    """
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
