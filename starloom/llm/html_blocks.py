@@ -28,6 +28,8 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 PART = re.compile(r"[a-z0-9]+")
 # Content of these is no text of the page.
 SILENT = frozenset("script style noscript template head title svg math iframe object textarea select".split())
+# Of these, those in which nothing is markup but their own end tag.
+RAW_ENDS = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in "script style noscript title iframe textarea".split()}
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # A start tag that ends an open element of the same kind.
@@ -66,7 +68,7 @@ def blocks(page: str) -> list[Block]:
             out.append(Block(path, text, min(linked, len(text)), body is not None, bool(AWAY & set(names)) and not _header_of_article(stack)))
         held, linked = [], 0
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if silent is None and m.start() > at:
             part = page[at : m.start()]
             held.append(part)
@@ -78,6 +80,8 @@ def blocks(page: str) -> list[Block]:
         if silent is not None:
             if m[1] and tag == silent:
                 silent = None
+            elif not m[1] and tag in ("script", "style") and not m[3].endswith("/") and (end := RAW_ENDS[tag].search(page, at)):
+                at = end.start()
             continue
         if m[1]:
             if tag in INLINE:
@@ -87,6 +91,10 @@ def blocks(page: str) -> list[Block]:
                 while stack and stack.pop().tag != tag:
                     pass
             continue
+        if tag in RAW_ENDS:
+            end = RAW_ENDS[tag].search(page, at)
+            at = end.start() if end else len(page)
+            continue
         if tag in SILENT:
             if tag != "head":
                 silent = tag

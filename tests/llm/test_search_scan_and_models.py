@@ -207,3 +207,15 @@ def test_odd_pages(spark):
     read = html_blocks.blocks(texts[4])
     assert [b.text for b in read] == ["x <b> é y", "z"] and all(b.inside for b in read)
     assert html_blocks.extracted(pages.limit(0), model).count() == 0
+
+
+def test_unspaced_comparisons_in_scripts_keep_the_page():
+    code = "for(i=0;i<n;i++){f()}"
+    for page in (
+        f"<script>{code}</script><article><p>Main text</p></article>",
+        f"<SCRIPT>{code}</Script ><article><p>Main text</p></article>",
+        f"<style>/* a<b */</style><svg><script>{code}</script><style/></svg><article><p>Main text</p></article>",
+        "<script><!-- if(a<b)</script><article><p>Main text</p></article><!-- end -->",
+        f"<title>a<b</title><textarea>a<b</scripted></textarea><article><p>Main text</p></article><script>{code}",
+    ):
+        assert [(b.text, b.inside) for b in html_blocks.blocks(page)] == [("Main text", True)], page
