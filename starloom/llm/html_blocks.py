@@ -37,6 +37,8 @@ ENDS = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr":
 # Names in tags, classes, ids and roles that mark what is not the article, and what is.
 AWAY = frozenset("nav header footer aside form menu ad ads advert advertisement banner sidebar notice cookie consent comment comments reply breadcrumb breadcrumbs share social related promo newsletter login search button navigation complementary contentinfo".split())
 INSIDE = frozenset("article main".split())
+# Tags that are furniture whatever they hold.
+APART = frozenset("nav aside footer".split())
 
 
 @dataclass
@@ -48,24 +50,44 @@ class Block:
     away: bool
 
 
-@dataclass
+@dataclass(eq=False)
 class _Open:
     tag: str
     names: frozenset[str] = field(default_factory=frozenset)
+    # Holds the article, or is it: names of furniture say nothing of what stands in it.
+    wraps: bool = False
+
+    @property
+    def away(self) -> frozenset[str]:
+        return frozenset() if self.wraps or self.tag in ("html", "body") else self.names & AWAY
+
+
+def _mark_wrappers(found: list[tuple[list[_Open], str, int]]) -> None:
+    """Choose the article among the elements named so, by the text that is in no other of them, and mark what holds it.
+
+    One that is furniture by its own names or stands in some by tag is chosen only where no other is; one that is named
+    so by class or id alone, and as furniture as well (main-menu), never.
+    """
+    chars: dict[_Open, list] = {}
+    for stack, text, _ in found:
+        at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].names & INSIDE and (stack[i].tag in INSIDE or not stack[i].names & AWAY) and stack[i].tag not in ("html", "body")), None)
+        if at is not None:
+            clean = not stack[at].names & AWAY and not any(o.tag in APART for o in stack[:at])
+            chars.setdefault(stack[at], [clean, 0, stack[: at + 1]])[1] += len(text)
+    if chars:
+        for o in max(chars.values(), key=lambda c: c[:2])[2]:
+            o.wraps = o.tag not in APART
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: runs of text between the borders of block elements, references decoded."""
-    stack, out, held, linked, at, silent, links = [], [], [], 0, 0, None, 0
+    stack, found, held, linked, at, silent, links = [], [], [], 0, 0, None, 0
 
     def close() -> None:
         nonlocal held, linked
         text = " ".join(html.unescape("".join(held)).split())
         if text:
-            names = [n for o in stack if o.tag not in INLINE for n in o.names]
-            path = tuple(n for o in stack if o.tag not in INLINE for n in sorted(o.names))
-            body = next((o for o in reversed(stack) if o.names & INSIDE), None)
-            out.append(Block(path, text, min(linked, len(text)), body is not None, bool(AWAY & set(names)) and not _header_of_article(stack)))
+            found.append((stack.copy(), text, min(linked, len(text))))
         held, linked = [], 0
 
     while m := TOKEN.search(page, at):
@@ -116,12 +138,17 @@ def blocks(page: str) -> list[Block]:
     if silent is None and at < len(page):
         held.append(page[at:])
     close()
+    _mark_wrappers(found)
+    out = []
+    for around, text, in_links in found:
+        path = tuple(n for o in around for n in sorted(o.names - AWAY | o.away))
+        out.append(Block(path, text, in_links, any(o.names & INSIDE for o in around), any(o.away for o in around) and not _header_of_article(around)))
     return out
 
 
 def _header_of_article(stack: list[_Open]) -> bool:
     """A header element inside the article holds its title."""
-    away = [o for o in stack if o.names & AWAY]
+    away = [o for o in stack if o.away]
     inside = next((i for i, o in enumerate(stack) if o.names & INSIDE), None)
     return inside is not None and all(o.tag == "header" and stack.index(o) > inside and not (o.names - {"header"}) & AWAY for o in away)
 
@@ -253,6 +280,12 @@ def furnished(page: str, seed: int) -> str:
             page = page.replace(mark, mark + shape(), 1)
         elif mark:
             page = page.replace(mark, shape() + mark, 1)
+    # Around all of it, names that sound like furniture and are none.
+    name = r.choice(["single no-sidebar", "has-header", "search-results", "with-comments nav-open"])
+    if "<body>" in page and r.random() < 0.5:
+        page = page.replace("<body>", f'<body class="{name}">', 1)
+    elif "<article>" in page and "</article>" in page:
+        page = page.replace("<article>", f'<div class="{name}"><article>', 1).replace("</article>", "</article></div>", 1)
     return page
 
 

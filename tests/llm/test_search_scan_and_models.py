@@ -219,3 +219,31 @@ def test_unspaced_comparisons_in_scripts_keep_the_page():
         f"<title>a<b</title><textarea>a<b</scripted></textarea><article><p>Main text</p></article><script>{code}",
     ):
         assert [(b.text, b.inside) for b in html_blocks.blocks(page)] == [("Main text", True)], page
+
+
+def test_wrappers_named_like_furniture_keep_the_article(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(250).collect()]
+    model = html_blocks.trained(pages[:180])
+    wrapped = (
+        lambda p: p.replace("<body>", '<body class="single no-sidebar">', 1),
+        lambda p: p.replace("<article>", '<div class="has-header"><article>', 1),
+        lambda p: p.replace("<body>", '<body><div id="search-results"><div class="has-header with-sidebar">', 1),
+        lambda p: p.replace("<article>", '<article class="post share">', 1),
+    )
+    for wrap in wrapped:
+        for page in pages[180:200]:
+            plain, read = html_blocks.blocks(page), html_blocks.blocks(wrap(page))
+            assert [(b.text, b.inside, b.away) for b in read] == [(b.text, b.inside, b.away) for b in plain]
+            (score,) = model.scores([html_blocks.vectors(read)])
+            assert [s >= 0.5 for s in score] == [b.inside and not b.away for b in plain]
+
+
+def test_furniture_stays_furniture_where_it_holds_articles():
+    page = (
+        '<body class="has-sidebar"><div class="main-menu">menu</div><main class="no-sidebar"><div class="has-comments"><article><header><h1>Title</h1></header><p>Long text of the article.</p>'
+        '<section class="comments"><article class="comment"><p>A comment longer than the whole article it stands under.</p></article></section></article></div>'
+        '<div class="related"><article><p>Teaser</p></article></div></main><aside><article><p>Also a teaser, and a long one, longer than the article.</p></article></aside>'
+    )
+    kept = [b.text for b in html_blocks.blocks(page) if b.inside and not b.away]
+    assert kept == ["Title", "Long text of the article."]
+    assert [b.away for b in html_blocks.blocks('<div class="main-menu">menu</div><p>text')] == [True, False]
