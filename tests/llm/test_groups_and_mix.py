@@ -63,6 +63,14 @@ def test_empty_table_and_kept_columns(documents, odd):
     assert out.filter("doc_id = 3 AND text = 'one'").count() == 3
 
 
+def test_a_copy_takes_no_other_text_of_its_id_along(spark):
+    copy, near, one, two, three = "a b c d e f g", "A b c  d e f g", "unique text beside a copy here", "another unique text of a null id", "third text that nobody else has"
+    rows = [(1, copy), (None, copy), (None, near), (None, one), (None, two), (None, None), (5, copy), (5, three), (5, three), (5, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("digest", F.lit("x")).repartition(3)
+    left = sorted(((r["doc_id"], r["text"]) for r in near_dup.deduplicated(docs).collect()), key=str)
+    assert left == sorted([(1, copy), (None, one), (None, two), (None, None), (5, three), (5, three), (5, None), (7, "")], key=str)
+
+
 def test_components_by_stars(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100), (7, 7)] + [(200, 200 + i) for i in range(1, 50)]
     rows = cc.components(spark.createDataFrame(path, "a long, b long")).collect()
