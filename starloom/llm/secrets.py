@@ -23,13 +23,21 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 # Character class of a candidate -> bits a character that a window must reach.
 LIMITS = {"hex": 3.0, "mixed": 3.7}
-# Strings that look random and are no secrets: UUIDs, integrity hashes, worked examples.
+# Strings that look random and are no secrets: UUIDs, integrity hashes, worked examples. STRETCHES is how far each goes
+# in a text: what stands beside it in the same candidate is looked at by itself.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^sha(1|256|384|512)-",
     r"(?i)example",
     r"(?i)abcdefghij|0123456789",
 )
+SIDE = r"[A-Za-z0-9+/_=-]"
+STRETCHES = (
+    rf"(?<!{SIDE})[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}(?!{SIDE})",
+    rf"(?<!{SIDE})sha(?:1-[A-Za-z0-9+/_-]{{0,27}}|256-[A-Za-z0-9+/_-]{{0,43}}|384-[A-Za-z0-9+/_-]{{0,64}}|512-[A-Za-z0-9+/_-]{{0,86}})={{0,2}}",
+    r"(?i:example)",
+    r"(?i:abcdefghij)|0123456789",
+)
 SCALE = 1 << 20
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -96,17 +104,31 @@ def _rich_range(candidate: Column) -> Column:
 
 
 def _suspect(candidate: Column) -> Column:
-    """Worth a closer look: digits and letters both, and on no allow list."""
-    mixed = candidate.rlike(r"[0-9]") & candidate.rlike(r"[A-Za-z]")
-    return mixed & ~candidate.rlike("|".join(f"(?:{p})" for p in ALLOWED))
+    """Worth a closer look: digits and letters both."""
+    return candidate.rlike(r"[0-9]") & candidate.rlike(r"[A-Za-z]")
+
+
+def _blanked(text: str, spans: Column) -> Column:
+    """The text with blanks for what the spans hold, place by place; spans in the order of their starts."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, s):
+        gap = F.substring(F.col(text), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(gap, blank)).alias("out"))
+
+    def finish(acc):
+        return F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text), acc["at"] + 1, F.length(text)))
+
+    return F.when(F.size(spans) == 0, F.col(text)).otherwise(F.aggregate(spans, state, step, finish))
 
 
 def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per row of `docs`: `doc`, a struct of all its columns, `base` and `spans`, arrays of (start, kind, end).
 
     `kind` is a place in KINDS. `base` holds the pattern kinds, leftmost and not overlapping within a kind; `spans` has
-    these and, outside of them, ranges of candidate strings whose windows are rich in entropy. Null and empty texts
-    have empty arrays, repeated rows are scanned each on its own, extra columns stay inside `doc`.
+    these and, outside of them, ranges of candidate strings whose windows are rich in entropy. Where a pattern kind or a
+    stretch of the allow list takes a part of a candidate, the rest of it is looked at. Null and empty texts have empty arrays, repeated rows are scanned each on its own, extra columns stay inside `doc`.
     """
     kept = docs.select(F.struct("*").alias("doc"), text_or_empty(text).alias("t"))
     values = F.regexp_extract_all(F.col("t"), F.lit(ASSIGN), F.lit(2))
@@ -117,22 +139,21 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
         F.when(F.col("t").rlike(ASSIGN), values).alias("values"),
         _spans("t", ACCESS, 1).alias("access"),
         _spans("t", HEX, 2).alias("hex"),
-        _spans("t", CANDIDATE, 3).alias("candidates"),
+        _spans("t", "|".join(STRETCHES), 3).alias("allowed"),
     )
     long_enough = F.filter("assign", lambda s, i: F.length(F.get("values", i)) >= 8)
-    based = found.select("doc", "t", F.array_sort(F.concat(long_enough, "access", "hex")).alias("base"), "candidates")
+    based = found.select("doc", "t", F.array_sort(F.concat(long_enough, "access", "hex")).alias("base"), "allowed")
+    rest = based.select("doc", "t", "base", _blanked("t", F.array_sort(F.concat("base", "allowed"))).alias("rest"))
+    pieces = rest.select("doc", "t", "base", "rest", _spans("rest", CANDIDATE, 3).alias("pieces"))
 
     def closer(span):
-        candidate = F.substring(F.col("t"), span["start"] + 1, span["end"] - span["start"])
+        candidate = F.substring(F.col("rest"), span["start"] + 1, span["end"] - span["start"])
         rich = F.when(_suspect(candidate), _rich_range(candidate))
         return F.struct((span["start"] + rich["first"]).alias("start"), F.lit(3).alias("kind"), (span["start"] + rich["last"]).alias("end"))
 
-    def new(span):
-        return ~F.exists("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-
-    looked = F.transform(F.filter("candidates", new), closer)
+    looked = F.transform("pieces", closer)
     rich = F.filter(looked, lambda s: s["start"].isNotNull())
-    return based.select("doc", "t", "base", F.array_sort(F.concat("base", rich)).alias("spans"))
+    return pieces.select("doc", "t", "base", F.array_sort(F.concat("base", rich)).alias("spans"))
 
 
 def listed(spans: str) -> Column:
