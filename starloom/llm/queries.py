@@ -91,7 +91,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
-    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2, added=True)
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -52,12 +52,18 @@ def from_planes(planes: list[bytes], n: int, kind: str = "byte") -> np.ndarray:
 
 
 @cache
-def _tokenizer(path: str) -> Tokenizer:
+def _tokenizer(path: str, added: bool = False) -> Tokenizer:
+    """With `added`, as the library has it: literals of added tokens in a text become their ids."""
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    if not added:
+        tokenizer.encode_special_tokens = True
     return tokenizer
 
 
+def _literals(path: str) -> list[str]:
+    return [t.content for t in _tokenizer(path, True).get_added_tokens_decoder().values() if t.content]
+
+
 _KNOWN: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 
 
@@ -82,24 +88,34 @@ def _encoded(words: list[str], path: str) -> list[bytes]:
 
 
 def _ids(batch: pa.RecordBatch, path: str, pattern: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a batch, the end id behind each row's, and the ids per row."""
+    """All ids of a batch, the end id behind each row's, and the ids per row. A text of column 3 is encoded by the library."""
     words, codes, begins = coded(batch.column(1), batch.column(2), pattern)
     each = _encoded(words.to_pylist(), path)
     starts = np.concatenate(([0], np.cumsum([len(e) // 4 for e in each]))).astype(np.int64)
     ids, many = gathered(np.frombuffer(b"".join(each), dtype=np.uint32), starts, codes)
     ends = np.concatenate(([0], np.cumsum(many)))[begins]
-    return np.insert(ids, ends[1:], np.uint32(end_id)), np.diff(ends) + 1
+    literal = batch.column(3)
+    if literal.null_count == len(literal):
+        return np.insert(ids, ends[1:], np.uint32(end_id)), np.diff(ends) + 1
+    # Such a row has no pieces: its ids go in before the end id.
+    tails = [[end_id] if t is None else [*_tokenizer(path, True).encode(t, add_special_tokens=False).ids, end_id] for t in literal.to_pylist()]
+    sizes = np.array([len(t) for t in tails])
+    return np.insert(ids, np.repeat(ends[1:], sizes), np.concatenate(tails).astype(np.uint32)), np.diff(ends) + sizes
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id: int = 2, kind: str = "byte", text: str = "text", doc_id: str = "doc_id") -> None:
+def write(docs: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id: int = 2, kind: str = "byte", text: str = "text", doc_id: str = "doc_id", added: bool = False) -> None:
     """Encode every whole text with the tokenizer, put `end_id` behind each, and write the shards to a new folder.
 
+    Literals of the tokenizer's added tokens are plain text; with `added` they become the tokens' ids, as by the library.
     Null and empty texts give the end id alone. Rows of one doc_id stand next to each other; their order among
     themselves is that of their texts. No rows give no chunks.
     """
-    pieces, whole = split_columns(F.col("text"), pattern)
+    # A text with a literal in it goes to the library whole, as splitting at the token changes the pieces beside it.
+    literals = _literals(tokenizer_path) if added else []
+    special = F.exists(F.array(*map(F.lit, literals)), lambda x: F.contains(F.col("text"), x)) if literals else F.lit(False)
+    pieces, whole = split_columns(F.when(~special, F.col("text")), pattern)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    placed = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").select("doc_id", pieces, whole)
+    placed = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").select("doc_id", pieces, whole, F.when(special, F.col("text")).alias("literal"))
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, chunk, first, held, begun, total = TaskContext.get().partitionId(), 0, 0, [], [], 0

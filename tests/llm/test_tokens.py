@@ -90,3 +90,20 @@ def test_damaged_chunk_fails(spark, documents, tmp_path):
     spark.read.parquet(str(tmp_path / "f")).withColumn("crc32", F.lit(1).cast("long")).write.parquet(str(tmp_path / "g"))
     with pytest.raises(Exception, match="damaged"):
         token_files.read(spark, str(tmp_path / "g")).count()
+
+
+LITERALS = [(1, "a <|endoftext|> b"), (2, "plain  text\n\n x"), (2, "  <|endoftext|>\n\n<|endoftext|><|endoftext|>  x"), (3, None), (4, "<|endoftext|>"), (None, "it's <|endoftext|"), (7, "\U00031350 <|endoftext|> \U0001c7ff"), (8, "\U00031350 y")]
+
+
+def test_literals_of_added_tokens_get_the_library_s_ids(spark, tmp_path):
+    docs = spark.createDataFrame(LITERALS, "doc_id long, text string").repartition(3)
+    folder = str(tmp_path / "sf")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    tokenizer = Tokenizer.from_file(JSON)
+    want, at = [], 0
+    for i, t in sorted(texts(docs), key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], dtype="<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    rows = queries.QUERIES["op10_token_files"](spark, folder).orderBy("start").collect()
+    assert [tuple(r) for r in rows] == want
