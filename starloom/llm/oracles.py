@@ -60,4 +60,51 @@ ORACLES = {
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
     """,
+    "op11_url_reputation": """
+        WITH cut AS (
+            SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+        ), p AS (
+            SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+                try_cast(regexp_extract(url, '://[^/?#]*/[^/?#]*/([0-9]{1,18})(?:[/.?#]|$)', 1) AS BIGINT) AS document FROM cut
+        ), known AS (
+            SELECT doc_id AS document, max(CASE WHEN coalesce(quality = 0, false) OR coalesce(toxic = 1, false) THEN 1 ELSE 0 END) AS bad
+            FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id
+        ), hosts AS (
+            SELECT host, count(k.bad) AS n, coalesce(sum(k.bad), 0)::BIGINT AS bad, regexp_extract(host, '([^.]*[.])?[^.]*$') AS domain, string_split(host, '.')[-1] AS suffix
+            FROM (SELECT DISTINCT host, document FROM p) LEFT JOIN known k USING (document) GROUP BY host
+        ), domains AS (
+            SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts WHERE host <> '' GROUP BY ALL
+        ), suffixes AS (
+            SELECT suffix, sum(n) AS n, sum(bad) AS bad, (sum(sum(bad)) OVER () + 1)::DOUBLE / (sum(sum(n)) OVER () + 2)::DOUBLE AS m FROM domains GROUP BY suffix
+        ), s1 AS (
+            SELECT sum(round((bad - n * m) * (bad - n * m), 9)::DECIMAL(38,9))::DOUBLE AS seen, sum(round(n * (m * (1 - m)), 9)::DECIMAL(38,9))::DOUBLE AS chance, sum(round(n * (n - 1) * (m * (1 - m)), 9)::DECIMAL(38,9))::DOUBLE AS pairs FROM suffixes
+        ), m1 AS (
+            SELECT 1 / greatest(0.0001::DOUBLE, least(0.5::DOUBLE, CASE WHEN pairs > 0 THEN (seen - chance) / pairs ELSE 0.5::DOUBLE END)) - 1 AS strength FROM s1
+        ), d AS (
+            SELECT domain, d.n, d.bad, (strength * m + s.bad) / ((strength * m + s.bad) + (strength * (1 - m) + s.n - s.bad)) AS m FROM domains d JOIN suffixes s USING (suffix), m1
+        ), s2 AS (
+            SELECT sum(round((bad - n * m) * (bad - n * m), 9)::DECIMAL(38,9))::DOUBLE AS seen, sum(round(n * (m * (1 - m)), 9)::DECIMAL(38,9))::DOUBLE AS chance, sum(round(n * (n - 1) * (m * (1 - m)), 9)::DECIMAL(38,9))::DOUBLE AS pairs FROM d
+        ), m2 AS (
+            SELECT 1 / greatest(0.0001::DOUBLE, least(0.5::DOUBLE, CASE WHEN pairs > 0 THEN (seen - chance) / pairs ELSE 0.5::DOUBLE END)) - 1 AS strength FROM s2
+        ), h AS (
+            SELECT host, h.n, h.bad, (strength * m + d.bad) / ((strength * m + d.bad) + (strength * (1 - m) + d.n - d.bad)) AS m FROM hosts h JOIN d USING (domain), m2 WHERE host <> ''
+        ), s3 AS (
+            SELECT sum(round((bad - n * m) * (bad - n * m), 9)::DECIMAL(38,9))::DOUBLE AS seen, sum(round(n * (m * (1 - m)), 9)::DECIMAL(38,9))::DOUBLE AS chance, sum(round(n * (n - 1) * (m * (1 - m)), 9)::DECIMAL(38,9))::DOUBLE AS pairs FROM h
+        ), m3 AS (
+            SELECT 1 / greatest(0.0001::DOUBLE, least(0.5::DOUBLE, CASE WHEN pairs > 0 THEN (seen - chance) / pairs ELSE 0.5::DOUBLE END)) - 1 AS strength FROM s3
+        ), post AS (
+            SELECT host, n, bad, strength * m + bad AS a, strength * (1 - m) + n - bad AS b FROM h, m3
+        ), rep AS (
+            SELECT host, n, bad, round(a / (a + b), 6) AS rate, round(a / (a + b) - 1.645::DOUBLE * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 6) AS bound FROM post
+            UNION ALL SELECT host, n, bad, (SELECT round(any_value(m), 6) FROM suffixes), 0.0::DOUBLE FROM hosts WHERE host = ''
+        ), fits AS (
+            SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM p LEFT JOIN rep USING (host)
+        )
+        SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN bound > 0.5::DOUBLE THEN 'block' ELSE 'allow' END AS verdict,
+            n::BIGINT AS n_labelled, bad::BIGINT AS n_bad, rate AS bad_rate, bound AS bad_bound FROM fits
+    """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe_words, compression_quality, html_blocks, licenses, mixing, near_dup, quality_rules, secrets, token_files, vector_search
+from starloom.llm import bpe_words, compression_quality, html_blocks, licenses, mixing, near_dup, quality_rules, secrets, token_files, url_filters, vector_search
 from starloom.llm.common import find_package, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op11_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    # A page shows the document whose number ends its path: /en/853, /en/853/ or /en/853.html.
+    number = F.expr("try_cast(regexp_extract(url, '://[^/?#]*/[^/?#]*/([0-9]{1,18})(?:[/.?#]|$)', 1) AS BIGINT)")
+    rows = url_filters.judged(pages, url_filters.outcomes(pages, labels, number))
+    return rows.select(F.col("page.page_id").alias("page_id"), "host", "path", "rule", "verdict", "n_labelled", "n_bad", "bad_rate", "bad_bound")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
