@@ -1,16 +1,21 @@
 """Window functions that keep working when one key holds a large share of all rows.
 
-A plain window puts every row of a key into one task. Here only *hot* keys are treated differently:
-their rows are cut into chunks by a monotone function of the ordering value (the hour of a timestamp,
-a logarithmic step of an amount; a step that is itself hot is cut by amount and hour), each chunk is windowed by itself, and what lies outside the chunk
-(rows and totals before it, the neighbouring values, the last few values) is carried in from a small
-table with one row per hot key and chunk. Results equal the plain window's; rows are never dropped.
-
-Cold keys get a NULL chunk, so for them the plan is the plain window: one shuffle by (key, chunk).
+A plain window puts every row of a key into one task. Here the rows of *hot* keys are cut into pieces of about equal
+size by split points: places in the order of the window, taken from a sample of the key's rows, so that a key whose rows
+all have one timestamp or one amount is cut as well (by what breaks the tie). Each piece is windowed by itself; what lies
+outside it (rows, totals and values before it, the neighbours, the last few values) comes from one scan over the pieces
+of a key, a table of one row per piece. Results equal the plain window's; rows are never dropped.
+
+Cold keys have no points and a NULL piece, so for them the plan is the plain window: one shuffle by (key, piece).
+Split points depend on the rows, not on the query: ``window_points`` finds them once, a load publishes them beside its
+fact, and the queries read them. Points of an older state of the rows still give right answers, only less even pieces.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,26 +24,21 @@ from pyspark.sql import functions as F
 # 1 / HOT_SHARE keys can pass the second test whatever the data, which bounds what is broadcast.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 1e-5
-
-_CHUNK = "_chunk"
-# The chunk of hot rows without an ordering value: below all others, as NULL is in an ascending order.
-_LOWEST = -(2**63)
-
-
-def _added(here: Column, before: Column) -> Column:
-    """A sum over two parts, NULL only where neither part has a value."""
-    return F.when(here.isNull(), before).otherwise(here + F.coalesce(before, F.lit(0)))
+# Pieces have about HOT_ROWS rows, or the MAX_PIECES-th part of all rows where that is more; so all hot keys together
+# have at most MAX_PIECES + 1 / HOT_SHARE pieces.
+MAX_PIECES = 20_000
+# Sampled rows for each piece, and points in a group: a row is compared with the groups, then with the points of one.
+SAMPLED = 64
+GROUP = 64
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The hot values of ``key``: at most 1 / HOT_SHARE rows, found by a map-side combined count."""
+    """The hot values of ``key`` with their rows and pieces: at most 1 / HOT_SHARE of them, by a map-side combined count."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    share = counts.agg((F.sum("_rows") * F.lit(HOT_SHARE)).alias("_share"))
-    return counts.where((F.col("_rows") > min_rows) & (F.col("_rows") > share.scalar())).select(key)
-
-
-def hour_chunk(ts: str) -> Column:
-    return F.floor(F.unix_seconds(F.col(ts)) / 3600)
+    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("double")).scalar()
+    size = F.greatest(F.lit(float(max(min_rows, 1))), total / MAX_PIECES)
+    hot = (F.col("_rows") > min_rows) & (F.col("_rows") > total * HOT_SHARE)
+    return counts.where(hot).select(key, "_rows", F.ceil(F.col("_rows") / size).alias("_pieces"))
 
 
 def magnitude_chunk(value: str) -> Column:
@@ -47,12 +47,119 @@ def magnitude_chunk(value: str) -> Column:
     return F.floor(F.signum(v) * F.log1p(F.abs(v)) * 256)
 
 
-def with_chunks(df: DataFrame, key: str, chunk: Column, hot: DataFrame) -> DataFrame:
-    """Add ``_chunk``: NULL for cold keys, the chunk for hot ones. Broadcasts hot keys only."""
-    hot = hot.withColumn("_hot", F.lit(True))
-    return df.join(F.broadcast(hot), key, "left").withColumn(
-        _CHUNK, F.when(F.col("_hot"), F.coalesce(chunk.cast("bigint"), F.lit(_LOWEST)))
-    ).drop("_hot")
+def split_points(df: DataFrame, key: str, places: dict[str, Column], min_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, one column of points for each place): where the rows of each hot key are to be cut, in ascending order.
+
+    A place is a struct that ascends along a window and ends in a unique column. The sample is chosen by hash, so the
+    points are the same on every run; it has about SAMPLED rows a piece, which bounds the rows of a key in one task by
+    SAMPLED * MAX_PIECES. Points are grouped: an array of (first, points) with up to GROUP points each.
+    """
+    hot = hot_keys(df, key, min_rows)
+    every = F.greatest(F.lit(1), F.floor(F.col("_rows") / F.col("_pieces") / SAMPLED)).cast("bigint")
+    sample = df.join(F.broadcast(hot), key).where(F.pmod(F.xxhash64(*places.values()), every) == 0)
+    cuts = []
+    for name, place in places.items():
+        rows = sample.select(key, "_pieces", place.alias("_place"))
+        order = W.partitionBy(key).orderBy("_place")
+        step = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)).over(W.partitionBy(key)) / F.col("_pieces"))).cast("bigint")
+        ranked = rows.withColumns({"_n": F.row_number().over(order), "_step": step})
+        picked = ranked.where(F.col("_n") % F.col("_step") == 0).withColumn("_group", F.expr(f"(_n div _step - 1) div {GROUP}"))
+        groups = picked.groupBy(key, "_group").agg(F.array_sort(F.collect_list("_place")).alias("points"))
+        first = F.struct(F.element_at("points", 1).alias("first"), "points")
+        cuts.append(groups.groupBy(key).agg(F.array_sort(F.collect_list(first)).alias(name)))
+    return reduce(lambda a, b: a.join(b, key), cuts)
+
+
+def _piece(points: Column, place: Column) -> Column:
+    """How many points are at or below a place; NULL without points."""
+    upto = F.size(F.filter(points, lambda g: g["first"] <= place))
+    here = F.size(F.filter(F.get(points, upto - 1)["points"], lambda p: p <= place))
+    return F.when(points.isNull(), None).when(upto == 0, 0).otherwise((upto - 1) * GROUP + here)
+
+
+def with_pieces(
+    df: DataFrame, key: str, points: DataFrame, pieces: dict[str, tuple[str, Column]], how: str = "left"
+) -> DataFrame:
+    """Add a column for each (points, place): the piece of the row, from 0, and NULL for cold keys.
+
+    Only the points are broadcast, whose number is bounded whatever the data. ``how="inner"`` keeps hot keys alone.
+    """
+    named = points.select(F.col(key).alias("_key"), *[F.col(column).alias(f"_points_{n}") for n, (column, _) in pieces.items()])
+    joined = df.join(F.broadcast(named), F.col(key) == F.col("_key"), how)
+    found = {n: _piece(F.col(f"_points_{n}"), place) for n, (_, place) in pieces.items()}
+    return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in found.items()])
+
+
+# --- windows in the order of time and of value --------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Columns:
+    """The columns a window is about: rows of ``key`` in (ts, tiebreak) order, and their ``value``."""
+
+    key: str
+    ts: str
+    tiebreak: str
+    value: str
+
+    def by_time(self) -> Column:
+        return F.struct(F.col(self.ts), F.col(self.tiebreak))
+
+    def by_value(self) -> Column:
+        """Highest value first, missing ones last, equal ones in time order."""
+        value = F.col(self.value)
+        return F.struct(value.isNull().alias("missing"), (-value).alias("value"), F.col(self.ts), F.col(self.tiebreak))
+
+
+def window_points(df: DataFrame, columns: Columns, min_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, by_time, by_value): the split points of all windows over these columns."""
+    return split_points(df, columns.key, {"by_time": columns.by_time(), "by_value": columns.by_value()}, min_rows)
+
+
+def _added(here: Column, before: Column) -> Column:
+    """A sum over two parts, NULL only where neither part has a value."""
+    return F.when(here.isNull(), before).otherwise(here + F.coalesce(before, F.lit(0)))
+
+
+def windows(
+    df: DataFrame,
+    columns: Columns,
+    points: DataFrame | None = None,
+    ordered: bool = True,
+    valued: bool = False,
+    trailing: int | None = None,
+    tiles: int = 4,
+    min_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Add window columns over each key.
+
+    ``ordered``: seq, running, previous, following, first, last, total in (ts, tiebreak) order; with ``trailing`` also
+    trailing_sum and trailing_rows over the current row and the ``trailing - 1`` rows before it. ``valued``: position
+    (1 = highest value), value_rank, value_dense_rank and tile (1 = lowest values), equal values in (ts, tiebreak) order.
+    Columns the caller does not use are pruned by the optimizer. ``points`` are those of ``window_points``, found here
+    if not given. The rows are read once, those of hot keys once more for the table of pieces (twice with ``trailing``).
+    """
+    key = columns.key
+    points = window_points(df, columns, min_rows) if points is None else points
+    places = {}
+    if ordered:
+        places["_time"] = ("by_time", columns.by_time())
+    if valued:
+        places["_rank"] = ("by_value", columns.by_value())
+    rows = with_pieces(df, key, points, places)
+    if ordered:
+        rows = _local_ordered(rows, columns, trailing)
+    if valued:
+        rows = _local_valued(rows, columns)
+    hot = with_pieces(df, key, points, places, "inner")
+    carried = _carried(hot, columns, points, ordered, valued, trailing).withColumnRenamed(key, "_hot")
+    joined = rows.join(F.broadcast(carried), F.col(key) == F.col("_hot"), "left")
+    result = {}
+    if ordered:
+        result |= _whole_ordered(trailing)
+    if valued:
+        result |= _whole_valued(columns, tiles)
+    return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in result.items()])
 
 
 def ordered_windows(
@@ -63,22 +170,31 @@ def ordered_windows(
     value: str,
     trailing: int | None = None,
     min_rows: int = HOT_ROWS,
-    chunk: Column | None = None,
+    points: DataFrame | None = None,
 ) -> DataFrame:
-    """Add window columns over each ``key`` in (ts, tiebreak) order.
+    """The columns of ``windows`` in (ts, tiebreak) order."""
+    return windows(df, Columns(key, ts, tiebreak, value), points, trailing=trailing, min_rows=min_rows)
 
-    seq, running, previous, following, first, last, total; with ``trailing`` also trailing_sum and
-    trailing_rows over the current row and the ``trailing - 1`` rows before it. Columns not used by
-    the caller are pruned by the optimizer. ``chunk`` may replace the hour of ``ts`` by another number
-    that never falls as (ts, tiebreak) rises, where hours are too coarse or too fine.
-    """
-    hot = hot_keys(df, key, min_rows)
-    chunk = hour_chunk(ts) if chunk is None else chunk
-    rows = with_chunks(df, key, chunk, hot)
-    order = W.partitionBy(key, _CHUNK).orderBy(ts, tiebreak)
+
+def value_windows(
+    df: DataFrame,
+    key: str,
+    value: str,
+    ts: str,
+    tiebreak: str,
+    tiles: int = 4,
+    min_rows: int = HOT_ROWS,
+    points: DataFrame | None = None,
+) -> DataFrame:
+    """The columns of ``windows`` in the order of value."""
+    return windows(df, Columns(key, ts, tiebreak, value), points, ordered=False, valued=True, tiles=tiles, min_rows=min_rows)
+
+
+def _local_ordered(rows: DataFrame, columns: Columns, trailing: int | None) -> DataFrame:
+    order = W.partitionBy(columns.key, "_time").orderBy(columns.ts, columns.tiebreak)
     to_here = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    v = F.col(value)
+    v = F.col(columns.value)
     local = {
         "_seq": F.row_number().over(order),
         "_running": F.sum(v).over(to_here),
@@ -93,197 +209,166 @@ def ordered_windows(
         near = order.rowsBetween(-(trailing - 1), W.currentRow)
         local["_near_sum"] = F.sum(v).over(near)
         local["_near_rows"] = F.count(v).over(near)
-    rows = rows.withColumns(local)
-    carried = _ordered_carry(df, key, ts, tiebreak, value, trailing, hot, chunk)
-    joined = rows.join(carried, [key, _CHUNK], "left")
-
-    zero = F.lit(0)
-    chunk_start = F.col("_seq") == 1
-    chunk_end = F.col("_seq") == F.col("_rows")
-    result = {
-        "seq": F.col("_seq") + F.coalesce("c_rows_before", zero),
-        "running": _added(F.col("_running"), F.col("c_sum_before")),
-        "previous": F.when(chunk_start, F.col("c_previous")).otherwise(F.col("_previous")),
-        "following": F.when(chunk_end, F.col("c_following")).otherwise(F.col("_following")),
-        "first": F.when(F.col(_CHUNK).isNull(), F.col("_first")).otherwise(F.col("c_first")),
-        "last": F.when(F.col(_CHUNK).isNull(), F.col("_last")).otherwise(F.col("c_last")),
-        "total": F.when(F.col(_CHUNK).isNull(), F.col("_total")).otherwise(F.col("c_total")),
-    }
-    if trailing:
-        missing = F.greatest(F.lit(trailing) - F.col("_seq"), zero)
-        from_before = F.when(
-            F.col("c_tail").isNotNull() & (missing > 0), F.slice("c_tail", F.lit(1), missing)
-        )
-        # Sums and counts pass over NULL, as those of a window do.
-        known = F.filter(from_before, lambda x: x.isNotNull())
-        carried_sum = F.aggregate(
-            known, F.lit(0).cast("decimal(38,2)"), lambda a, x: (a + x).cast("decimal(38,2)")
-        )
-        result["trailing_sum"] = _added(
-            F.col("_near_sum"), F.when(F.size(known) > 0, carried_sum)
-        )
-        result["trailing_rows"] = F.col("_near_rows") + F.coalesce(F.size(known), zero)
-    return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in result.items()])
+    return rows.withColumns(local)
 
 
-def _ordered_carry(df, key, ts, tiebreak, value, trailing, hot, chunk) -> DataFrame:
-    """One row per (hot key, chunk): what the chunk's rows need to know about the other chunks."""
-    hot_rows = (
-        df.join(F.broadcast(hot), key, "left_semi")
-        .withColumn(_CHUNK, F.coalesce(chunk.cast("bigint"), F.lit(_LOWEST)))
-        .select(key, _CHUNK, ts, tiebreak, value)
-    )
-    position = F.struct(ts, tiebreak)
-    chunks = hot_rows.groupBy(key, _CHUNK).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(value).alias("_s"),
-        F.min_by(value, position).alias("_f"),
-        F.max_by(value, position).alias("_l"),
+def _local_valued(rows: DataFrame, columns: Columns) -> DataFrame:
+    place = W.partitionBy(columns.key, "_rank").orderBy(F.desc(columns.value), columns.ts, columns.tiebreak)
+    by_value = W.partitionBy(columns.key, "_rank").orderBy(F.desc(columns.value))
+    equal = by_value.rangeBetween(W.currentRow, W.currentRow)
+    whole = place.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return rows.withColumns(
+        {
+            "_position": F.row_number().over(place),
+            "_number": F.count(F.lit(1)).over(whole),
+            "_value_rank": F.rank().over(by_value),
+            "_value_dense": F.dense_rank().over(by_value),
+            "_equal": F.count(F.lit(1)).over(equal),
+        }
     )
-    if trailing:
-        # Rows keep their rank from the chunk's end, so only trailing - 1 rows per chunk are gathered.
-        newest = W.partitionBy(key, _CHUNK).orderBy(F.desc(ts), F.desc(tiebreak))
-        tails = (
-            hot_rows.withColumn("_rank", F.row_number().over(newest))
-            .where(F.col("_rank") < trailing)
-            .groupBy(key, _CHUNK)
-            .agg(F.array_sort(F.collect_list(F.struct("_rank", value))).alias("_tail"))
-            .withColumn("_tail", F.col(f"_tail.{value}"))
-        )
-        chunks = chunks.join(tails, [key, _CHUNK])
-    order = W.partitionBy(key).orderBy(_CHUNK)
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    columns = {
-        "c_rows_before": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-        "c_sum_before": F.sum("_s").over(before),
-        "c_previous": F.lag("_l").over(order),
-        "c_following": F.lead("_f").over(order),
-        "c_first": F.first("_f").over(whole),
-        "c_last": F.last("_l").over(whole),
-        "c_total": F.sum("_s").over(whole),
-    }
-    if trailing:
-        # Newest value first; every chunk has a row, so trailing - 1 chunks always hold enough.
-        back = order.rowsBetween(-(trailing - 1), -1)
-        columns["c_tail"] = F.slice(
-            F.flatten(F.reverse(F.collect_list("_tail").over(back))), 1, trailing - 1
-        )
-    return chunks.select(key, _CHUNK, *[c.alias(n) for n, c in columns.items()])
 
 
-def value_windows(
-    df: DataFrame,
-    key: str,
-    value: str,
-    ts: str,
-    tiebreak: str,
-    tiles: int = 4,
-    min_rows: int = HOT_ROWS,
-    source: DataFrame | None = None,
+def _carried(
+    hot: DataFrame, columns: Columns, points: DataFrame, ordered: bool, valued: bool, trailing: int | None
 ) -> DataFrame:
-    """Add position (1 = highest value), value_rank, value_dense_rank and tile (1 = lowest values).
+    """(key, _timed, _valued): for each hot key, what its pieces need to know of the others, an entry for each piece.
 
-    Equal values are ordered by (ts, tiebreak). A hot key is cut by steps of the value; a step with
-    many rows (say, the same fee over and over) is cut further by exact value and hour. A rank is
-    the piece's own rank plus the rows, or distinct values, of the pieces above. ``source`` may name
-    the plain rows ``df`` was derived from, so that counting them does not repeat the derivation.
+    Both tables of pieces come from one aggregation, combined map-side: rows count once for their piece in time and once
+    for their piece in value, there by exact value.
     """
-    source = df if source is None else source
-    hot = hot_keys(source, key, min_rows)
-    step = F.coalesce(magnitude_chunk(value).cast("bigint"), F.lit(_LOWEST))
-    steps = (
-        source.join(F.broadcast(hot), key, "left_semi")
-        .groupBy(key, step.alias(_CHUNK))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > min_rows)
-        .select(F.col(key).alias("_k"), F.col(_CHUNK).alias("_c"), F.lit(True).alias("_full"))
-    )
-    piece = [_CHUNK, "_value", "_hour"]
-
-    def cut(rows: DataFrame) -> DataFrame:
-        """Add the columns of ``piece``; only rows of full steps have a value and an hour there."""
-        full = (F.col(key) == F.col("_k")) & (F.col(_CHUNK) == F.col("_c"))
-        return (
-            rows.join(steps, full, "left")
-            .withColumns(
-                {
-                    "_value": F.when(F.col("_full"), F.col(value)),
-                    "_hour": F.when(F.col("_full"), hour_chunk(ts)),
-                }
-            )
-            .drop("_k", "_c", "_full")
+    key, value = columns.key, F.col(columns.value)
+    kind = hot.schema[columns.value].dataType
+    entries = []
+    if ordered:
+        entries.append(F.struct(F.lit(True).alias("timed"), F.col("_time").alias("piece"), F.lit(None).cast(kind).alias("exact")))
+    if valued:
+        entries.append(F.struct(F.lit(False).alias("timed"), F.col("_rank").alias("piece"), value.alias("exact")))
+    place = columns.by_time()
+    counted = (
+        hot.select(key, value.alias("_v"), place.alias("_place"), F.inline(F.array(*entries)))
+        .groupBy(key, "timed", "piece", "exact")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("_v").alias("s"),
+            F.min_by("_v", "_place").alias("first"),
+            F.max_by("_v", "_place").alias("last"),
         )
-
-    rows = cut(with_chunks(df, key, step, hot))
-    by_value = W.partitionBy(key, *piece).orderBy(F.desc(value))
-    descending = W.partitionBy(key, *piece).orderBy(F.desc(value), ts, tiebreak)
-    ascending = W.partitionBy(key, *piece).orderBy(F.asc(value), ts, tiebreak)
-    whole = ascending.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    rows = rows.withColumns(
+    )
+    at = F.struct(F.col("exact").alias("v"))
+    pieces = counted.groupBy(key, "timed", "piece").agg(
+        F.sum("n").alias("n"),
+        F.sum("s").alias("s"),
+        F.max("first").alias("first"),
+        F.max("last").alias("last"),
+        F.count(F.lit(1)).alias("distinct"),
+        F.max(at).alias("highest"),
+        F.min(at).alias("lowest"),
+        F.max_by("n", at).alias("n_highest"),
+        F.min_by("n", at).alias("n_lowest"),
+    )
+    tail = []
+    if ordered and trailing:
+        # Rows keep their rank from the end of the piece, so only trailing - 1 rows a piece are gathered.
+        newest = W.partitionBy(key, "_time").orderBy(F.desc(columns.ts), F.desc(columns.tiebreak))
+        ranked = hot.withColumn("_rank_", F.row_number().over(newest)).where(F.col("_rank_") < trailing)
+        tails = ranked.groupBy(key, F.col("_time").alias("piece")).agg(F.array_sort(F.collect_list(F.struct("_rank_", value.alias("v")))).alias("tail"))
+        tails = tails.select(key, "piece", F.lit(True).alias("timed"), F.col("tail.v").alias("tail"))
+        pieces = pieces.join(tails, [key, "timed", "piece"], "left")
+        tail = [F.slice(F.flatten(F.reverse(F.collect_list("tail").over(W.partitionBy(key, "timed").orderBy("piece").rowsBetween(-(trailing - 1), -1)))), 1, trailing - 1).alias("tail")]
+
+    # Along the pieces of a key: sums before, neighbours, and where the run of equal values at each border starts and ends.
+    along = W.partitionBy(key, "timed").orderBy("piece")
+    before, upto, after = (along.rowsBetween(a, b) for a, b in ((W.unboundedPreceding, -1), (W.unboundedPreceding, 0), (1, W.unboundedFollowing)))
+    whole = along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    pieces = pieces.withColumns({"rows": F.coalesce(F.sum("n").over(before), F.lit(0)), "above": F.lag("lowest").over(along)})
+    pieces = pieces.withColumn("goes_on", F.col("above").isNotNull() & F.col("highest").eqNullSafe(F.col("above")))
+    many = F.col("distinct") > 1
+    pieces = pieces.withColumns(
         {
-            "_position": F.row_number().over(descending),
-            "_rank": F.rank().over(by_value),
-            "_dense": F.dense_rank().over(by_value),
-            "_ascending": F.row_number().over(ascending),
-            "_rows": F.count(F.lit(1)).over(whole),
+            "starts": F.when(many, F.col("rows") + F.col("n") - F.col("n_lowest") + 1).when(~F.col("goes_on"), F.col("rows") + 1),
+            "ends": F.when(~F.col("goes_on"), F.col("rows")).when(many, F.col("rows") + F.col("n_highest")),
         }
     )
-    hot_rows = source.join(F.broadcast(hot), key, "left_semi").withColumn(_CHUNK, step)
-    pieces = (
-        cut(hot_rows)
-        .groupBy(key, *piece)
-        .agg(F.count(F.lit(1)).alias("_n"), F.countDistinct(value).alias("_d"))
-    )
-    carried = _value_carry(pieces, key).select(
-        F.col(key).alias("_k"),
-        *[F.col(c).alias(f"_p{c}") for c in piece],
-        "c_rows_before",
-        "c_rows_above",
-        "c_distinct_above",
-        "c_rows_below",
-        "c_rows",
+    pieces = pieces.withColumn("lowest_rank", F.last("starts", ignorenulls=True).over(upto))
+    timed = F.struct(
+        "piece",
+        "rows",
+        F.sum("s").over(before).alias("sum"),
+        F.lag("last").over(along).alias("previous"),
+        F.lead("first").over(along).alias("following"),
+        F.first("first").over(whole).alias("first"),
+        F.last("last").over(whole).alias("last"),
+        F.sum("s").over(whole).alias("total"),
+        *tail,
     )
-    same = (F.col(key) == F.col("_k")) & (F.col(_CHUNK) == F.col(f"_p{_CHUNK}"))
-    for c in piece[1:]:
-        same &= F.col(c).eqNullSafe(F.col(f"_p{c}"))
-    joined = rows.join(carried, same, "left")
-    zero = F.lit(0)
-    ascending_row = F.col("_ascending") + F.coalesce("c_rows_below", zero)
-    total = F.coalesce("c_rows", "_rows")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        (F.col("_position") + F.coalesce("c_rows_before", zero)).alias("position"),
-        (F.col("_rank") + F.coalesce("c_rows_above", zero)).alias("value_rank"),
-        (F.col("_dense") + F.coalesce("c_distinct_above", zero)).alias("value_dense_rank"),
-        _tile(ascending_row, total, tiles).alias("tile"),
+    ranked = F.struct(
+        "piece",
+        "rows",
+        "n_highest",
+        F.col("highest.v").alias("highest"),
+        F.col("lowest.v").alias("lowest"),
+        F.when(F.col("goes_on"), F.lag("lowest_rank").over(along)).otherwise(F.col("rows") + 1).alias("highest_rank"),
+        "lowest_rank",
+        F.coalesce(F.first("ends", ignorenulls=True).over(after), F.sum("n").over(whole)).alias("lowest_end"),
+        (1 + F.coalesce(F.sum("distinct").over(before), F.lit(0)) - F.sum(F.col("goes_on").cast("int")).over(upto)).alias("dense"),
+        F.sum("n").over(whole).alias("total"),
     )
+    # Pieces without rows get an empty entry, so that a piece is found by its number.
+    named = pieces.select(key, "timed", "piece", timed.alias("_t"), ranked.alias("_v"))
+    slots = [
+        points.select(key, F.lit(is_timed).alias("timed"), F.explode(F.sequence(F.lit(0), _number_of(name))).alias("piece"))
+        for is_timed, name, used in ((True, "by_time", ordered), (False, "by_value", valued))
+        if used
+    ]
+    every = reduce(DataFrame.unionByName, slots).join(named, [key, "timed", "piece"], "left")
+    return every.groupBy(key).agg(_by_piece("_t", F.col("timed")).alias("_timed"), _by_piece("_v", ~F.col("timed")).alias("_valued"))
 
 
-def _value_carry(pieces: DataFrame, key: str) -> DataFrame:
-    """Rows and distinct values around each piece of a hot key.
+def _number_of(points: str) -> Column:
+    return (F.size(points) - 1) * GROUP + F.size(F.element_at(points, -1)["points"])
 
-    Pieces of one value differ in their hour only: they share a rank, so what is above them is counted
-    by value, and their value counts once.
-    """
-    same_value = W.partitionBy(key, _CHUNK, "_value")
-    once = F.when(
-        F.col("_value").isNull() | (F.row_number().over(same_value.orderBy("_hour")) == 1), F.col("_d")
-    ).otherwise(0)
-    pieces = pieces.withColumn("_d", once)
-    down = W.partitionBy(key).orderBy(F.desc(_CHUNK), F.desc("_value"), F.asc("_hour"))
-    up = W.partitionBy(key).orderBy(F.asc(_CHUNK), F.asc("_value"), F.asc("_hour"))
-    values_down = W.partitionBy(key).orderBy(F.desc(_CHUNK), F.desc("_value"))
-    up_to_value = values_down.rangeBetween(W.unboundedPreceding, W.currentRow)
-    return pieces.withColumns(
-        {
-            "c_rows_before": F.sum("_n").over(down.rowsBetween(W.unboundedPreceding, -1)),
-            "c_rows_below": F.sum("_n").over(up.rowsBetween(W.unboundedPreceding, -1)),
-            "c_rows_above": F.sum("_n").over(up_to_value) - F.sum("_n").over(same_value),
-            "c_distinct_above": F.sum("_d").over(up_to_value) - F.sum("_d").over(same_value),
-            "c_rows": F.sum("_n").over(W.partitionBy(key)),
-        }
-    )
+
+def _by_piece(entry: str, wanted: Column) -> Column:
+    listed = F.array_sort(F.collect_list(F.when(wanted, F.struct("piece", F.col(entry).alias("entry")))))
+    return listed["entry"]
+
+
+def _whole_ordered(trailing: int | None) -> dict[str, Column]:
+    around, hot = F.get("_timed", F.col("_time")), F.col("_time").isNotNull()
+    zero = F.lit(0)
+    starts, ends = F.col("_seq") == 1, F.col("_seq") == F.col("_rows")
+    result = {
+        "seq": F.col("_seq") + F.coalesce(around["rows"], zero),
+        "running": _added(F.col("_running"), around["sum"]),
+        "previous": F.when(starts, around["previous"]).otherwise(F.col("_previous")),
+        "following": F.when(ends, around["following"]).otherwise(F.col("_following")),
+        "first": F.when(hot, around["first"]).otherwise(F.col("_first")),
+        "last": F.when(hot, around["last"]).otherwise(F.col("_last")),
+        "total": F.when(hot, around["total"]).otherwise(F.col("_total")),
+    }
+    if trailing:
+        missing = F.greatest(F.lit(trailing) - F.col("_seq"), zero)
+        reached = F.when(around["tail"].isNotNull() & (missing > 0), F.slice(around["tail"], F.lit(1), missing))
+        # Sums and counts pass over NULL, as those of a window do.
+        known = F.filter(reached, lambda x: x.isNotNull())
+        carried = F.aggregate(known, F.lit(0).cast("decimal(38,2)"), lambda a, x: (a + x).cast("decimal(38,2)"))
+        result["trailing_sum"] = _added(F.col("_near_sum"), F.when(F.size(known) > 0, carried))
+        result["trailing_rows"] = F.col("_near_rows") + F.coalesce(F.size(known), zero)
+    return result
+
+
+def _whole_valued(columns: Columns, tiles: int) -> dict[str, Column]:
+    """A value at the border of a piece has the rank of its run, which may have begun pieces before."""
+    around, hot, value = F.get("_valued", F.col("_rank")), F.col("_rank").isNotNull(), F.col(columns.value)
+    at_top, at_bottom = value.eqNullSafe(around["highest"]), value.eqNullSafe(around["lowest"])
+    position = F.col("_position") + F.coalesce(around["rows"], F.lit(0))
+    rank = F.when(~hot, F.col("_value_rank")).when(at_top, around["highest_rank"]).otherwise(F.col("_value_rank") + around["rows"])
+    dense = F.col("_value_dense") + F.coalesce(around["dense"] - 1, F.lit(0))
+    # Rows of the run, and from them the place of the row when the lowest value comes first.
+    run = F.when(~hot, F.col("_equal")).when(at_bottom, around["lowest_end"] - rank + 1).when(at_top, around["rows"] + around["n_highest"] - rank + 1).otherwise(F.col("_equal"))
+    total = F.coalesce(around["total"], F.col("_number"))
+    ascending = total - (rank - 1) - run + (position - rank + 1)
+    return {"position": position, "value_rank": rank, "value_dense_rank": dense, "tile": _tile(ascending, total, tiles)}
 
 
 def _tile(row: Column, total: Column, tiles: int) -> Column:

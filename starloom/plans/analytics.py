@@ -19,7 +19,7 @@ from starloom.functions.keys import UNKNOWN_ID
 from starloom.functions.ratios import mean, percent
 from starloom.operators.dedup import first_per_key, latest_per_key
 from starloom.operators.percentiles import exact_percentiles, value_counts
-from starloom.operators.skew import HOT_ROWS, ordered_windows, value_windows
+from starloom.operators.skew import HOT_ROWS, Columns, window_points, windows
 
 MONEY = "decimal(38,2)"
 
@@ -185,20 +185,32 @@ def amount_percentile_disc(fact: DataFrame, customers: DataFrame) -> DataFrame:
 # --- windows ------------------------------------------------------------------------------------
 
 
+# The order of an account's transactions, which all windows share.
+BY_ACCOUNT = Columns("account_key", "transaction_ts", "transaction_id", "amount")
+
+
+def fact_window_points(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Where the transactions of hot accounts are cut, for all windows; a load publishes it beside the fact."""
+    return window_points(fact.select("account_key", "transaction_ts", "transaction_id", "amount"), BY_ACCOUNT, hot_rows)
+
+
 def _by_account(fact: DataFrame, accounts: DataFrame, columns: list[str | Column]) -> DataFrame:
     return fact.join(accounts.select("account_key", "account_id"), "account_key").select(
         "account_id", *columns
     )
 
 
-def running_balance(fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Each transaction with its account's cumulative amount and the amount before it."""
-    rows = ordered_windows(
+def running_balance(
+    fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS, points: DataFrame | None = None
+) -> DataFrame:
+    """Each transaction with its account's cumulative amount and the amount before it.
+
+    ``points`` are the published split points of the fact's windows (``fact_window_points``), here and below.
+    """
+    rows = windows(
         fact.select("account_key", "transaction_ts", "transaction_id", "date_key", "amount"),
-        "account_key",
-        "transaction_ts",
-        "transaction_id",
-        "amount",
+        BY_ACCOUNT,
+        points,
         min_rows=hot_rows,
     )
     return _by_account(
@@ -215,7 +227,11 @@ def running_balance(fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_RO
 
 
 def window_tour(
-    fact: DataFrame, accounts: DataFrame, limit: int | None = None, hot_rows: int = HOT_ROWS
+    fact: DataFrame,
+    accounts: DataFrame,
+    limit: int | None = None,
+    hot_rows: int = HOT_ROWS,
+    points: DataFrame | None = None,
 ) -> DataFrame:
     """Rank, neighbour, running, moving and share columns of each transaction in its account.
 
@@ -229,12 +245,7 @@ def window_tour(
         first = _by_account(rows, accounts, key).orderBy(*order).limit(limit)
         shown = first.select("account_key").distinct()
         rows = rows.join(shown, "account_key", "left_semi")
-    ordered = ordered_windows(
-        rows, "account_key", "transaction_ts", "transaction_id", "amount", 7, hot_rows
-    )
-    windowed = value_windows(
-        ordered, "account_key", "amount", "transaction_ts", "transaction_id", 4, hot_rows, rows
-    )
+    windowed = windows(rows, BY_ACCOUNT, points, valued=True, trailing=7, tiles=4, min_rows=hot_rows)
     answer = _by_account(
         windowed,
         accounts,
@@ -260,14 +271,16 @@ def window_tour(
     return answer if limit is None else _top(answer, order, limit)
 
 
-def ranking_ties(fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def ranking_ties(
+    fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS, points: DataFrame | None = None
+) -> DataFrame:
     """Position, rank and dense rank of each amount in its account, which differ on ties."""
-    rows = value_windows(
+    rows = windows(
         fact.select("account_key", "transaction_ts", "transaction_id", "amount"),
-        "account_key",
-        "amount",
-        "transaction_ts",
-        "transaction_id",
+        BY_ACCOUNT,
+        points,
+        ordered=False,
+        valued=True,
         min_rows=hot_rows,
     )
     return _by_account(
@@ -283,14 +296,14 @@ def ranking_ties(fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS)
     )
 
 
-def last_value_frames(fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def last_value_frames(
+    fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS, points: DataFrame | None = None
+) -> DataFrame:
     """The last amount under the default frame (the current row) and under the whole partition."""
-    rows = ordered_windows(
+    rows = windows(
         fact.select("account_key", "transaction_ts", "transaction_id", "amount"),
-        "account_key",
-        "transaction_ts",
-        "transaction_id",
-        "amount",
+        BY_ACCOUNT,
+        points,
         min_rows=hot_rows,
     )
     return _by_account(
@@ -304,14 +317,14 @@ def last_value_frames(fact: DataFrame, accounts: DataFrame, hot_rows: int = HOT_
     )
 
 
-def window_row_count(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def window_row_count(
+    fact: DataFrame, hot_rows: int = HOT_ROWS, points: DataFrame | None = None
+) -> DataFrame:
     """Rows of the fact, rows after a window and groups after a group-by, per channel."""
-    windowed = ordered_windows(
+    windowed = windows(
         fact.select("account_key", "transaction_ts", "transaction_id", "amount", "channel"),
-        "account_key",
-        "transaction_ts",
-        "transaction_id",
-        "amount",
+        BY_ACCOUNT,
+        points,
         min_rows=hot_rows,
     )
     kept = windowed.groupBy("channel").agg(

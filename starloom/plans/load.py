@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import dimensions, facts, history, quality
-from starloom.plans import views
+from starloom.plans import analytics, views
 from starloom.session import use_utc
 from starloom.sources.staged import read_staged
 from starloom.sources.store import Store
@@ -67,6 +67,9 @@ def _load(spark, store, source_dir, effective_date, initial, load_id, calendar_r
         found = transactions_found(store, staged["transactions"])
         inserted = write_transactions(store, staged["transactions"], load_id)
         report.append(("fact_transactions", inserted))
+        if inserted:
+            points = analytics.fact_window_points(store.read("fact_transactions"))
+            store.write_snapshot("fact_window_points", points)
         found["loaded_before"] = found["staged"] - found["out_of_calendar"] - found["duplicate"] - inserted
         found["inserted"] = inserted
         accounting = spark.createDataFrame(list(found.items()), "outcome string, rows bigint")
@@ -129,6 +132,11 @@ def append_transactions(
         return write_transactions(store, batch, load_id, ids_keep_their_month)
 
 
+def refresh_window_points(store: Store) -> int:
+    """Find anew where the transactions of hot accounts are cut; needed only now and then, as older points stay right."""
+    return store.publish("fact_window_points", analytics.fact_window_points(store.read("fact_transactions")))
+
+
 def refresh_monthly_summary(store: Store) -> int:
     """Recompute the monthly summary; readers keep the previous one until it is published."""
     summary = views.mv_monthly_transaction_summary(

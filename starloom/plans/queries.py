@@ -469,13 +469,13 @@ def amount_percentile_disc(spark, sf_dir):
 @query
 def running_balance(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.running_balance(star.fact, star.accounts)
+    return analytics.running_balance(star.fact, star.accounts, points=star.window_points)
 
 
 @query
 def window_tour(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    tour = analytics.window_tour(star.fact, star.accounts, limit=None)
+    tour = analytics.window_tour(star.fact, star.accounts, limit=None, points=star.window_points)
     return _wall_clock(_double(tour, "moving_avg_7", "pct_of_account_total"), "transaction_ts")
 
 
@@ -483,25 +483,26 @@ def window_tour(spark, sf_dir):
 def window_tour_report(spark, sf_dir):
     """The first twenty rows, as the report shows them."""
     star = _lineitem(spark, sf_dir)
-    tour = analytics.window_tour(star.fact, star.accounts, limit=20)
+    tour = analytics.window_tour(star.fact, star.accounts, limit=20, points=star.window_points)
     return _wall_clock(_double(tour, "moving_avg_7", "pct_of_account_total"), "transaction_ts")
 
 
 @query
 def ranking_ties(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.ranking_ties(star.fact, star.accounts)
+    return analytics.ranking_ties(star.fact, star.accounts, points=star.window_points)
 
 
 @query
 def last_value_frames(spark, sf_dir):
     star = _lineitem(spark, sf_dir)
-    return analytics.last_value_frames(star.fact, star.accounts)
+    return analytics.last_value_frames(star.fact, star.accounts, points=star.window_points)
 
 
 @query
 def window_row_count(spark, sf_dir):
-    return analytics.window_row_count(_events(spark, sf_dir).fact)
+    star = _events(spark, sf_dir)
+    return analytics.window_row_count(star.fact, points=star.window_points)
 
 
 # --- customers ----------------------------------------------------------------------------------

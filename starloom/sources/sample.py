@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import dimensions, facts, history
+from starloom.plans import analytics
 from starloom.session import shared_dir
 from starloom.sources.store import Store
 
@@ -326,6 +327,10 @@ class Star:
             "fact_transactions", lambda: self.load_fact(load_id=1), self.store.write_load
         )
 
+    @property
+    def window_points(self) -> DataFrame:
+        return self._stored("fact_window_points", lambda: analytics.fact_window_points(self.fact))
+
     def load_loan_months(self) -> DataFrame:
         return facts.fact_loan_monthly(
             loan_snapshots(self.spark, self.sf_dir),

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from starloom.plans import analytics
 from starloom.plans.queries import QUERIES
 from starloom.sources import sample
 
@@ -78,3 +79,13 @@ def test_point_in_time_join_is_an_equi_join_with_a_range_condition(spark, no_bro
     plan = plan_of(QUERIES["point_in_time_join"](spark, SF_DIR))
     join = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
     assert "LeftOuter" in join and "valid_from" not in join.split("LeftOuter")[0] and ">=" in join
+
+
+@pytest.mark.parametrize("name, scans", [("running_balance", 2), ("window_tour", 3)])
+def test_windows_of_hot_accounts_read_the_fact_few_times(spark, no_broadcast, tmp_path, name, scans):
+    star = sample.star(spark, SF_DIR, "lineitem")
+    analytics.fact_window_points(star.fact, hot_rows=20).write.parquet(str(tmp_path / "points"))
+    points = spark.read.parquet(str(tmp_path / "points"))
+    assert points.count() > 10
+    plan = plan_of(getattr(analytics, name)(star.fact, star.accounts, points=points))
+    assert sum("FileScan" in line and "load=" in line for line in plan.splitlines()) == scans

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.operators.percentiles import exact_percentiles, value_counts
-from starloom.operators.skew import hot_keys, ordered_windows, value_windows
+from starloom.operators.skew import Columns, hot_keys, ordered_windows, value_windows, window_points, windows, with_pieces
 
 
 @pytest.fixture(scope="module")
@@ -66,7 +66,7 @@ def gaps(rows):
 def test_windows_over_missing_values_equal_plain_windows(gaps, min_rows):
     want = sorted(map(tuple, plain(gaps).select("id", *ORDERED, *VALUED).collect()))
     ordered = ordered_windows(gaps, "key", "ts", "id", "amount", trailing=7, min_rows=min_rows)
-    both = value_windows(ordered, "key", "amount", "ts", "id", min_rows=min_rows, source=gaps)
+    both = value_windows(ordered, "key", "amount", "ts", "id", min_rows=min_rows)
     assert sorted(map(tuple, both.select("id", *ORDERED, *VALUED).collect())) == want
 
 
@@ -84,11 +84,50 @@ def test_value_windows_equal_plain_windows(rows, min_rows):
     assert sorted(got.select(keep).collect()) == sorted(plain(rows).select(keep).collect())
 
 
-def test_a_finer_chunk_gives_the_same_answer(rows):
-    minute = F.floor(F.unix_seconds("ts") / 60)
-    got = ordered_windows(rows, "key", "ts", "id", "amount", trailing=7, min_rows=0, chunk=minute)
-    keep = ["id", *ORDERED]
-    assert sorted(got.select(keep).collect()) == sorted(plain(rows).select(keep).collect())
+COLUMNS = Columns("key", "ts", "id", "amount")
+
+
+@pytest.mark.parametrize("min_rows", [0, 3, 50, 10**6])
+def test_both_orders_at_once_equal_plain_windows(rows, gaps, min_rows):
+    for df in (rows, gaps):
+        got = windows(df, COLUMNS, valued=True, trailing=7, min_rows=min_rows)
+        want = plain(df).select("id", *ORDERED, *VALUED)
+        assert sorted(map(tuple, got.select("id", *ORDERED, *VALUED).collect())) == sorted(map(tuple, want.collect()))
+
+
+def pieces_of(df, points):
+    cut = {"t": ("by_time", COLUMNS.by_time()), "v": ("by_value", COLUMNS.by_value())}
+    return with_pieces(df, "key", points, cut, "inner")
+
+
+@pytest.mark.parametrize("same", ["ts", "amount", "both"])
+def test_a_key_of_one_timestamp_or_amount_is_cut(spark, same):
+    """20,000 rows of one key with one midnight stamp, one fee, or both; pieces are even and answers those of a plain window."""
+    stamp = F.lit("2024-01-01").cast("timestamp")
+    ts = stamp if same != "amount" else stamp + F.expr("make_interval(0, 0, 0, 0, 0, 0, id % 500)")
+    amount = F.lit(9.99) if same != "ts" else (F.col("id") * 7919 % 1000) / 100
+    key = F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id"))
+    df = spark.range(30_000).select(key.alias("key"), ts.alias("ts"), F.concat(F.lit("t"), "id").alias("id"), amount.cast("decimal(16,2)").alias("amount"))
+    points = window_points(df, COLUMNS, 1000).cache()
+    for piece in ("t", "v"):
+        sizes = [r["count"] for r in pieces_of(df, points).groupBy(piece).count().collect()]
+        assert sum(sizes) == 20_000 and 15 <= len(sizes) <= 21 and max(sizes) < 3000
+    got = windows(df, COLUMNS, points, valued=True, trailing=7).select("id", *ORDERED, *VALUED)
+    want = plain(df).select("id", *ORDERED, *VALUED)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_points_of_an_older_state_change_no_answer(rows):
+    points = window_points(rows.where("id < 't0300'"), COLUMNS, 10)
+    got = windows(rows, COLUMNS, points, valued=True, trailing=7)
+    want = plain(rows).select("id", *ORDERED, *VALUED)
+    assert sorted(map(tuple, got.select("id", *ORDERED, *VALUED).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_empty_rows_and_no_hot_keys(rows):
+    points = window_points(rows, COLUMNS)
+    assert points.count() == 0
+    assert windows(rows.limit(0), COLUMNS, points, valued=True, trailing=7).count() == 0
 
 
 def test_only_the_busy_key_is_hot(rows):
