@@ -97,7 +97,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op11_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
     # A page shows the document whose number ends its path: /en/853, /en/853/ or /en/853.html.
     number = F.expr("try_cast(regexp_extract(url, '://[^/?#]*/[^/?#]*/([0-9]{1,18})(?:[/.?#]|$)', 1) AS BIGINT)")
     rows = url_filters.judged(pages, url_filters.outcomes(pages, labels, number))
