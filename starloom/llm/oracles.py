@@ -124,4 +124,33 @@ ORACLES = {
         )
         SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 5
     """,
+    "op12_conversation_trie": """
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), ids AS (
+            SELECT conv_id, count(*) AS turns, xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda acc, x:
+                list_reduce(range(8), lambda a, i: xor(a >> 1, (a & 1) * 3988292384), xor(acc, x)), 4294967295::BIGINT), 4294967295::BIGINT) % 6 AS h FROM t GROUP BY conv_id
+        ), given AS (
+            SELECT i.*, least(h, coalesce(f.turns, 0)) AS k FROM ids i LEFT JOIN (SELECT conv_id AS first, turns FROM ids) f ON f.first = i.conv_id - i.conv_id % 100
+        ), r AS (
+            SELECT g.conv_id, t.pos AS d, role, text FROM given g JOIN t ON t.conv_id = g.conv_id - g.conv_id % 100 AND t.pos <= k
+            UNION ALL SELECT g.conv_id, t.pos - h + k, role, text FROM given g JOIN t USING (conv_id) WHERE t.pos > h
+        ), p AS (
+            SELECT conv_id, d, list(md5(length(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY d) AS prefix, length(text) AS size FROM r
+            UNION ALL SELECT conv_id, 0, [], 0 FROM ids
+        ), n AS (
+            SELECT prefix, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size FROM p GROUP BY prefix
+        ), c AS (
+            SELECT n.*, coalesce(m, 0) AS n_children FROM n LEFT JOIN (SELECT prefix[:-2] AS prefix, count(*) AS m FROM n WHERE d > 0 GROUP BY 1) USING (prefix)
+        ), below AS (
+            SELECT DISTINCT a.prefix, b.prefix AS deeper FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.d <= b.d
+        ), sums AS (
+            SELECT b.prefix, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * size) AS saved FROM below b JOIN c ON c.prefix = b.deeper GROUP BY b.prefix
+        ), ends AS (
+            SELECT prefix, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM p WHERE d = (SELECT max(d) FROM p q WHERE q.conv_id = p.conv_id) GROUP BY prefix
+        )
+        SELECT c.conv_id, c.d AS depth, u.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs, c.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM c JOIN sums USING (prefix) LEFT JOIN ends USING (prefix) LEFT JOIN c u ON c.d > 0 AND u.prefix = c.prefix[:-2]
+    """,
 }

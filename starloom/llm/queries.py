@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe_words, compression_quality, hard_negatives, html_blocks, licenses, mixing, near_dup, quality_rules, secrets, token_files, url_filters, vector_search
+from starloom.llm import bpe_words, compression_quality, conversation_trie, hard_negatives, html_blocks, licenses, mixing, near_dup, quality_rules, secrets, token_files, url_filters, vector_search
 from starloom.llm.common import find_package, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +104,11 @@ def op11_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("page.page_id").alias("page_id"), "host", "path", "rule", "verdict", "n_labelled", "n_bad", "bad_rate", "bad_bound")
 
 
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = hard_negatives.whole_numbers(table(spark, sf_dir, "embeddings"), 256.0)
