@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The unknown member's surrogate and natural key, and the open and first dates.
@@ -18,30 +17,6 @@ def hash_key(*natural: Column | str) -> Column:
     """64-bit hash of the natural key: the same on every run, no shuffle, no global counter.
 
     Two natural keys may share a hash (about one chance in forty at a billion rows), so a table is
-    published only after ``quality.check_unique`` on the key; ``with_dense_keys`` is the way out.
+    published only after ``quality.check_unique`` on the key.
     """
     return F.xxhash64(*natural)
-
-
-def with_dense_keys(
-    df: DataFrame, natural: list[str], name: str, start: int = 0, buckets: int = 4096
-) -> DataFrame:
-    """Number rows start+1, start+2, ... without gaps, duplicates or a global sort.
-
-    Rows are spread over hash buckets of the natural key, each bucket is numbered by itself, and the
-    bucket sizes (``buckets`` rows, so a bounded table) give each bucket its offset. The natural key
-    must be unique, which also keeps the buckets even.
-    """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*natural), F.lit(buckets)))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    within = W.partitionBy("_bucket").orderBy(*natural)
-    return (
-        bucketed.withColumn("_row", F.row_number().over(within))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, (F.lit(start) + F.col("_offset") + F.col("_row")).cast("bigint"))
-        .drop("_bucket", "_row", "_offset")
-    )

@@ -42,8 +42,8 @@ def new_transactions(
 ) -> DataFrame:
     """The staged rows a load has to insert: in the calendar, one per id, not loaded before.
 
-    ``existing`` needs only transaction_id. A caller who knows that an id never changes its month may
-    pass the months of the batch alone.
+    ``existing`` needs only transaction_id. A load passes none: it meets the ids of before in their buckets
+    (``sources.ids``) instead of shuffling them.
     """
     rows = first_per_key(in_calendar(staged, dates), ["transaction_id"], TRANSACTION_ORDER)
     if existing is not None:
@@ -61,14 +61,26 @@ def fact_transactions(
     load_id: int | None = None,
     load_ts: Column | None = None,
 ) -> DataFrame:
-    """Transaction fact rows to append.
+    """Transaction fact rows to append: the rows of ``new_transactions`` with their keys."""
+    rows = new_transactions(staged, dates, existing)
+    return keyed_transactions(rows, accounts, customers, categories, load_id, load_ts)
+
+
+def keyed_transactions(
+    rows: DataFrame,
+    accounts: DataFrame,
+    customers: DataFrame,
+    categories: DataFrame,
+    load_id: int | None = None,
+    load_ts: Column | None = None,
+) -> DataFrame:
+    """Fact rows of staged transactions that are to be inserted.
 
     Each row gets the account, the customer version valid on its day, and the category; what cannot
     be looked up points at the unknown member, so no row is lost. Account and customer come from one
     join on account_id with a validity range. Joins carry no hints: the optimizer broadcasts what it
     measures to be small (calendar and categories are) and splits hot accounts of a shuffled join.
     """
-    rows = new_transactions(staged, dates, existing)
     periods = account_owner_periods(accounts, customers).alias("p")
     day = F.to_date("s.timestamp")
     owned = rows.alias("s").join(
@@ -158,7 +170,8 @@ def fact_daily_balances(
         )
         first_day = F.when(known, F.lit(start).cast("date")).otherwise(first_day)
     if start is not None:
-        first_day = F.greatest(first_day, F.lit(start).cast("date"))
+        # An account without a first day has no days; greatest() would pass over the NULL.
+        first_day = F.when(first_day.isNotNull(), F.greatest(first_day, F.lit(start).cast("date")))
     opened = opened.withColumn("first_day", first_day).where(
         F.col("first_day") <= F.lit(end).cast("date")
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from starloom import schemas
 from starloom.functions.keys import UNKNOWN_ID, UNKNOWN_KEY
 from starloom.operators.history import valid_on
 
@@ -103,6 +105,76 @@ def check_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return nulls.select(F.inline(pairs)).where(F.col("null_rows") > 0)
 
 
+# --- all constraints of a fact at once ------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class FactRule:
+    """What a fact is declared with: columns that are never empty, its grain, and the keys that dimensions hold."""
+
+    not_null: tuple[str, ...]
+    grain: tuple[str, ...]
+    foreign_keys: tuple[str, ...]
+
+
+def _all_but_load(schema) -> tuple[str, ...]:
+    return tuple(c for c in schema.fieldNames() if c != "load_id")
+
+
+FACT_RULES = {
+    "fact_transactions": FactRule(
+        _all_but_load(schemas.FACT_TRANSACTIONS),
+        ("transaction_id",),
+        ("date_key", "account_key", "customer_key", "merchant_category_key"),
+    ),
+    "fact_daily_balances": FactRule(
+        _all_but_load(schemas.FACT_DAILY_BALANCES),
+        ("date_key", "account_key"),
+        ("date_key", "account_key", "customer_key"),
+    ),
+    "fact_loan_monthly": FactRule(
+        _all_but_load(schemas.FACT_LOAN_MONTHLY),
+        ("date_key", "loan_id"),
+        ("date_key", "customer_key", "loan_product_key"),
+    ),
+}
+
+
+def constraint_violations(
+    fact: DataFrame, table: str, rule: FactRule, references: dict[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """table_name, constraint_name, columns, keys, rows: what breaks the rule, by constraint; empty means all hold.
+
+    One scan: each row counts for its grain, its keys and its empty columns, combined map-side by value. Only values that
+    occur meet the dimensions; ``references`` maps a key to (dimension, column). An empty key breaks NOT NULL, neither
+    the reference nor the grain. ``keys`` are the distinct values that break a constraint, ``rows`` the rows that have them.
+    """
+    text = {c: F.col(c).cast("string") for c in {*rule.grain, *rule.foreign_keys}}
+    grain = F.concat_ws("|", *[text[c] for c in rule.grain])
+    whole = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in rule.grain])
+    entry = lambda name, columns, key: F.struct(
+        F.lit(name).alias("constraint_name"), F.lit(columns).alias("columns"), key.alias("key")
+    )
+    entries = [F.when(whole, entry("unique", ",".join(rule.grain), grain))]
+    entries += [F.when(F.col(c).isNotNull(), entry("foreign key", c, text[c])) for c in rule.foreign_keys]
+    entries += [F.when(F.col(c).isNull(), entry("not null", c, F.lit(None).cast("string"))) for c in rule.not_null]
+    used = fact.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("constraint_name", "columns", "key")
+    used = used.agg(F.count(F.lit(1)).alias("rows"))
+    held = reduce(
+        DataFrame.unionByName,
+        [
+            dim.select(F.lit("foreign key").alias("constraint_name"), F.lit(c).alias("columns"), F.col(column).cast("string").alias("key"))
+            for c, (dim, column) in references.items()
+        ],
+    )
+    # Keys of a dimension are joined once; values of a grain that occur once are gone before the join.
+    suspects = used.where((F.col("constraint_name") != "unique") | (F.col("rows") > 1))
+    broken = suspects.join(held, ["constraint_name", "columns", "key"], "left_anti")
+    return broken.groupBy(F.lit(table).alias("table_name"), "constraint_name", "columns").agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")
+    )
+
+
 def unknown_member_rate(fact: DataFrame, keys: list[str]) -> DataFrame:
     """fk, unknown_rows, total_rows: how much of the fact points at an unknown member."""
     counts = fact.agg(
@@ -164,6 +236,7 @@ __all__ = [
     "check_scd2_overlap",
     "check_unique",
     "check_validity_order",
+    "constraint_violations",
     "reconcile_totals",
     "unknown_member_rate",
     "unknown_members",

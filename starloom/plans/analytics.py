@@ -54,6 +54,14 @@ def fraud_lookup(fact: DataFrame, from_key: int, to_key: int) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("count"), F.sum("amount").cast(MONEY).alias("sum_amount"))
 
 
+def fraud_lookup_by_day(days: DataFrame, from_key: int, to_key: int) -> DataFrame:
+    """The answer of ``fraud_lookup`` from the published days (``views.fraud_by_day``)."""
+    rows = days.where(F.col("date_key").between(from_key, to_key))
+    return rows.agg(
+        F.coalesce(F.sum("fraud_count"), F.lit(0)).alias("count"), F.sum("fraud_amount").cast(MONEY).alias("sum_amount")
+    )
+
+
 def monthly_volume(fact: DataFrame) -> DataFrame:
     """Transactions, total, average, smallest and largest amount per month."""
     volume = fact.groupBy(*_date_parts()).agg(

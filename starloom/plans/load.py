@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.functions import calendar
 from starloom.operators import dimensions, facts, history, quality
+from starloom.operators.dedup import first_per_key
 from starloom.plans import analytics, views
 from starloom.session import use_utc
+from starloom.sources import ids
 from starloom.sources.staged import read_staged
 from starloom.sources.store import Store
 
@@ -29,8 +33,8 @@ def load_warehouse(
     Every dimension is written before the facts read it, so keys are settled. All tables become
     visible together at the end; a load that fails shows nothing, neither then nor later. A load can
     be repeated: merges of an unchanged batch change nothing and loaded transactions are skipped. What
-    became of every staged transaction is published as ``load_accounting``. Days and hours are those of
-    UTC whatever the session's zone.
+    became of every staged transaction is published as ``load_accounting``, and the checks of the rows
+    added as ``constraint_violations``. Days and hours are those of UTC whatever the session's zone.
     """
     use_utc(spark)
     report: list[tuple[str, int]] = []
@@ -49,11 +53,11 @@ def _load(spark, store, source_dir, effective_date, initial, load_id, calendar_r
     steps.merge(
         "dim_branch", dimensions.unknown_branch(spark), staged["branches"], dimensions.merge_dim_branch
     )
-    steps.merge(
+    steps.merge_history(
         "dim_customer",
         dimensions.unknown_customer(spark),
         staged["customers"],
-        lambda dim, batch: history.merge_dim_customer(dim, batch, effective_date, initial),
+        lambda open_versions, batch: history.merge_dim_customer(open_versions, batch, effective_date, initial),
     )
     steps.merge(
         "dim_account",
@@ -64,87 +68,179 @@ def _load(spark, store, source_dir, effective_date, initial, load_id, calendar_r
     if staged["loans"] is not None:
         steps.write("stg_loans", staged["loans"])
     if staged["transactions"] is not None:
-        found = transactions_found(store, staged["transactions"])
         inserted = write_transactions(store, staged["transactions"], load_id)
         report.append(("fact_transactions", inserted))
         if inserted:
             points = analytics.fact_window_points(store.read("fact_transactions"))
             store.write_snapshot("fact_window_points", points)
-        found["loaded_before"] = found["staged"] - found["out_of_calendar"] - found["duplicate"] - inserted
-        found["inserted"] = inserted
-        accounting = spark.createDataFrame(list(found.items()), "outcome string, rows bigint")
-        store.write_snapshot("load_accounting", accounting)
 
 
-def transactions_found(store: Store, batch: DataFrame) -> dict[str, int]:
-    """Staged rows, and those of them that a load leaves out; a NULL measure or flag is refused.
+# Columns of a staged transaction that a load refuses to find empty; ids that look nothing up are no fault.
+REQUIRED = ("transaction_id", "amount", "channel", "is_fraud")
+FACT_KEYS = ("date_key", "account_key", "customer_key", "merchant_category_key")
 
-    Staged rows are the inserted, out-of-calendar, duplicate and loaded-before ones together.
-    """
-    days = store.read("dim_date").select(F.col("full_date").alias("_day"), F.lit(True).alias("_known"))
-    rows = batch.join(days, F.to_date("timestamp") == F.col("_day"), "left")
-    inside = F.coalesce("_known", F.lit(False))
-    required = ("transaction_id", "amount", "is_fraud")
-    found = rows.agg(
-        F.count(F.lit(1)).alias("staged"),
-        F.count_if(~inside).alias("out_of_calendar"),
-        (F.count_if(inside) - F.count_distinct(F.when(inside, F.col("transaction_id")))).alias("duplicate"),
-        *[F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in required],
-    ).first()
-    missing = {c: found[f"no_{c}"] for c in required if found[f"no_{c}"]}
-    if missing:
-        raise ValueError(f"staged transactions without a value: {missing}")
-    return {name: found[name] for name in ("staged", "out_of_calendar", "duplicate")}
 
+class Watched:
+    """Rows whose figures are taken on the way, by whatever job reads them."""
+
+    def __init__(self, df: DataFrame, **figures: Column):
+        self._rows, self._figures, self._seen = df, [c.alias(n) for n, c in figures.items()], Observation()
+        self.rows = df.observe(self._seen, *self._figures)
 
-def write_transactions(
-    store: Store, batch: DataFrame, load_id: int | None = None, ids_keep_their_month: bool = False
-) -> int:
-    """Write the batch's new transactions for the next commit; returns how many.
+    def figures(self) -> dict:
+        """After the job. Where the optimizer has cut the rows off, as nothing came of them, they are counted by a job."""
+        try:
+            return self._seen.get
+        except Py4JJavaError:
+            return self._rows.agg(*self._figures).first().asDict()
 
-    Ids loaded before are skipped, which takes the ids of the whole fact. Where the source never
-    reuses an id in another month, ``ids_keep_their_month`` reads only the months of the batch.
+
+def write_transactions(store: Store, batch: DataFrame, load_id: int | None = None) -> int:
+    """Write the batch's new transactions, their ids, and the figures and checks of the load for the next commit.
+
+    The batch goes through one plan: calendar, one row per id, ids of earlier loads taken out bucket by bucket, keys.
+    What each step leaves is counted in that plan. Staged rows are the inserted, out-of-calendar, duplicate and
+    loaded-before ones together. A NULL in a required column fails the load. Returns the rows inserted.
     """
-    existing = store.read_if_exists("fact_transactions")
-    if existing is not None and ids_keep_their_month:
-        month = F.year("timestamp") * 100 + F.month("timestamp")
-        first, last = batch.agg(F.min(month), F.max(month)).first()
-        existing = existing.where(F.col("month_key").between(first or 0, last or 0))
-    rows = facts.fact_transactions(
-        batch,
-        store.read("dim_date"),
-        store.read("dim_account"),
-        store.read("dim_customer"),
-        store.read("dim_merchant_category"),
-        existing,
-        load_id,
+    rows = F.count(F.lit(1))
+    staged = Watched(batch, staged=rows, **{f"no_{c}": F.count_if(F.col(c).isNull()) for c in REQUIRED})
+    inside = Watched(facts.in_calendar(staged.rows, store.read("dim_date")), rows=rows)
+    single = Watched(first_per_key(inside.rows, ["transaction_id"], facts.TRANSACTION_ORDER), rows=rows)
+    new = single.rows
+    if ids.id_folders(store, "fact_transactions"):
+        span = batch.agg(F.min("transaction_id"), F.max("transaction_id")).first()
+        new = ids.without_known(store, "fact_transactions", new, "transaction_id", span if span[0] is not None else None)
+    keyed = facts.keyed_transactions(
+        new, store.read("dim_account"), store.read("dim_customer"), store.read("dim_merchant_category"), load_id
     )
-    return store.write_load("fact_transactions", rows, load_id)
+    before = max((e["version"] for e in store.loads("fact_transactions")), default=0)
+    inserted = store.write_load("fact_transactions", keyed, load_id)
+    found = staged.figures()
+    missing = {c: found[f"no_{c}"] for c in REQUIRED if found[f"no_{c}"]}
+    if missing:
+        raise ValueError(f"staged transactions without a value: {missing}")
+    known, distinct = inside.figures()["rows"], single.figures()["rows"]
+    outcomes = {
+        "staged": found["staged"],
+        "out_of_calendar": found["staged"] - known,
+        "duplicate": known - distinct,
+        "loaded_before": distinct - inserted,
+        "inserted": inserted,
+    }
+    accounting = store.spark.createDataFrame(list(outcomes.items()), "outcome string, rows bigint")
+    store.write_snapshot("load_accounting", accounting)
+    store.write_rows("load_history", accounting.select(F.lit(load_id).cast("bigint").alias("load_id"), "outcome", "rows"), load_id)
+    if inserted:
+        added = store.read_loads("fact_transactions", before)
+        ids.write_ids(store, "fact_transactions", added.select("transaction_id"), inserted)
+        ids.merge_folders(store, "fact_transactions")
+        violations = fact_constraints(store, "fact_transactions", added)
+        store.write_rows("constraint_violations", violations.withColumn("load_id", F.lit(load_id).cast("bigint")), load_id)
+    return inserted
+
 
+def fact_constraints(store: Store, table: str, rows: DataFrame) -> DataFrame:
+    """Violations among rows of a published fact, of every constraint the fact is declared with; one scan."""
+    held = {
+        "date_key": ("dim_date", "date_key"),
+        "account_key": ("dim_account", "account_key"),
+        "customer_key": ("dim_customer", "customer_key"),
+        "merchant_category_key": ("dim_merchant_category", "merchant_category_key"),
+        "loan_product_key": ("dim_loan_product", "loan_product_key"),
+    }
+    rule = quality.FACT_RULES[table]
+    references = {c: (store.read(held[c][0]), held[c][1]) for c in rule.foreign_keys}
+    return quality.constraint_violations(rows, table, rule, references)
 
-def append_transactions(
-    store: Store, batch: DataFrame, load_id: int | None = None, ids_keep_their_month: bool = False
-) -> int:
-    """Append the batch's new transactions to the published fact; returns how many."""
+
+def append_transactions(store: Store, batch: DataFrame, load_id: int | None = None) -> int:
+    """Append the batch's new transactions to the published fact, with its accounting; returns how many."""
     use_utc(store.spark)
-    transactions_found(store, batch)
     with store.load():
-        return write_transactions(store, batch, load_id, ids_keep_their_month)
+        return write_transactions(store, batch, load_id)
 
 
-def refresh_window_points(store: Store) -> int:
-    """Find anew where the transactions of hot accounts are cut; needed only now and then, as older points stay right."""
-    return store.publish("fact_window_points", analytics.fact_window_points(store.read("fact_transactions")))
+# --- tables kept up from what loads added ---------------------------------------------------------------
+
+
+def _added_since(store: Store, table: str) -> tuple[int, list[int]]:
+    """The version of the fact, and the months that loads touched since a monthly table was computed."""
+    loads = store.loads("fact_transactions", store.covered(table))
+    months = {int(m) for e in loads for m in e["part"].split(",") if m}
+    return max((e["version"] for e in loads), default=store.covered(table)), sorted(months)
+
+
+def _refresh_months(store: Store, table: str, compute, month: Column) -> int:
+    """Compute the touched months of a table anew, reading those months of the fact; returns its rows.
+
+    Readers keep the months they have until the commit, and all other months for good.
+    """
+    version, months = _added_since(store, table)
+    if months or not store.months(table):
+        fact = store.read("fact_transactions")
+        with store.load():
+            store.write_months(table, compute(fact.where(F.col("month_key").isin(months))), month, version)
+    return store.read(table).count()
 
 
 def refresh_monthly_summary(store: Store) -> int:
-    """Recompute the monthly summary; readers keep the previous one until it is published."""
-    summary = views.mv_monthly_transaction_summary(
-        store.read("fact_transactions"),
-        store.read("dim_customer"),
-        store.read("dim_merchant_category"),
+    """Bring the monthly summary up to the published fact; returns its rows.
+
+    Months are summed apart, so only those that loads have touched since are read and replaced. Versions of a customer
+    keep their attributes, so months without new rows cannot change.
+    """
+
+    def compute(fact: DataFrame) -> DataFrame:
+        return views.mv_monthly_transaction_summary(fact, store.read("dim_customer"), store.read("dim_merchant_category"))
+
+    return _refresh_months(store, "mv_monthly_transaction_summary", compute, F.col("year").cast("int") * 100 + F.col("month"))
+
+
+def refresh_fraud_days(store: Store) -> int:
+    """Bring the day-level roll-up of fraudulent transactions up to the published fact; returns its rows."""
+    return _refresh_months(store, "fact_fraud_daily", views.fraud_by_day, calendar.month_key(F.col("date_key")))
+
+
+def publish_daily_balances(store: Store, end: date) -> int:
+    """Bring the published daily balances up to ``end`` and to the fact; returns the rows written.
+
+    The balances of the last published day are the state that is carried on: a new period reads the transactions from
+    its first day only. Days are published by month. What arrived late (transactions on published days, accounts opened
+    on them) reopens the months from the first such day, carried on from the day before. Customer versions that start on
+    published days are taken up where these days are computed again.
+    """
+    table, accounts = "fact_daily_balances", store.read("dim_account")
+    version, _ = _added_since(store, table)
+    months = store.months(table)
+    opening, start = None, None
+    if months:
+        latest = store.read_months(table, months[-1], months[-1])
+        last_key = latest.agg(F.max("date_key")).first()[0]
+        last = date(last_key // 10000, last_key // 100 % 100, last_key % 100)
+        balances = latest.where(F.col("date_key") == last_key)
+        days = [last + timedelta(days=1)]
+        added = store.read_loads("fact_transactions", store.covered(table))
+        if added is not None:
+            days.append(added.agg(F.min(calendar.key_to_date("date_key"))).first()[0])
+        unseen = accounts.join(balances.select("account_key"), "account_key", "left_anti")
+        days.append(unseen.agg(F.min("open_date")).first()[0])
+        start = min(d for d in days if d is not None).replace(day=1)
+        before = start - timedelta(days=1)
+        month_before = before.year * 100 + before.month
+        if month_before >= months[0]:
+            opening = store.read_months(table, month_before, month_before).where(F.col("date_key") == int(before.strftime("%Y%m%d")))
+        else:
+            start = None
+    rows = facts.fact_daily_balances(
+        store.read("fact_transactions"), accounts, store.read("dim_customer"), end, start, opening=opening
     )
-    return store.publish("mv_monthly_transaction_summary", summary)
+    with store.load():
+        return store.write_months(table, rows, calendar.month_key(F.col("date_key")), version)
+
+
+def refresh_window_points(store: Store) -> int:
+    """Find anew where the transactions of hot accounts are cut; needed only now and then, as older points stay right."""
+    return store.publish("fact_window_points", analytics.fact_window_points(store.read("fact_transactions")))
 
 
 class Steps:
@@ -173,9 +269,24 @@ class Steps:
         self.write(table, merge(empty if known is None else known, batch))
         self._refuse_shared_keys(table)
 
+    def merge_history(self, table: str, empty: DataFrame, batch: DataFrame | None, merge) -> None:
+        """Merge a batch into a published history: its open versions are read and written, closed ones stay where they are."""
+        known = self.store.read_open(table)
+        if batch is None and known is not None:
+            return
+        now = empty if known is None else known
+        self.store.write_history(table, now if batch is None else merge(now, batch))
+        self.report.append((table, self.store.rows(table)))
+        self._refuse_shared_keys(table)
+
     def _refuse_shared_keys(self, table: str) -> None:
+        """Current members against each other, and against closed versions by the keys of those alone."""
         key = f"{table.removeprefix('dim_')}_key"
-        clash = quality.check_unique(self.store.read(table), [key]).limit(1).collect()
+        now = self.store.read_open(table)
+        clash = quality.check_unique(now, [key]).limit(1).collect()
+        closed = self.store.read_closed(table)
+        if not clash and closed is not None:
+            clash = closed.select(key).join(now.select(key), key, "left_semi").limit(1).collect()
         if clash:
             raise ValueError(f"two members of {table} share the key {clash[0][key]}")
 

@@ -261,16 +261,29 @@ _TOUR = f"""
     FROM t"""
 
 _UNCLOSED = f"""
-    batches AS ({_batch("*", "events", "(1), (2)")}),
+    batches AS ({_batch("*", "events", "(1), (2), (3)")}),
     unclosed AS (
       SELECT customer_id, row_hash,
              CASE n WHEN 1 THEN DATE '{EFFECTIVE_DATES["events"][0]}'
-                    ELSE DATE '{EFFECTIVE_DATES["events"][1]}' END AS valid_from,
+                    WHEN 2 THEN DATE '{EFFECTIVE_DATES["events"][1]}'
+                    ELSE DATE '{EFFECTIVE_DATES["events"][2]}' END AS valid_from,
              DATE '9999-12-31' AS valid_to
       FROM batches
       QUALIFY n = 1 OR lag(row_hash) OVER (PARTITION BY customer_id ORDER BY n) <> row_hash)"""
 
 
+def _broken(table: str, rows: str, grain: str, empty: dict, strange: dict, twice: int) -> str:
+    """The violations of rows broken by their day, from rows that break nothing."""
+    parts = [
+        f"SELECT 'unique' AS constraint_name, '{grain}' AS columns, count(*) AS keys, 2 * count(*) AS rows FROM r WHERE d = {twice}"
+    ]
+    parts += [f"SELECT 'not null', '{c}', 1, count(*) FROM r WHERE d = {day}" for c, day in empty.items()]
+    parts += [f"SELECT 'foreign key', '{c}', 1, count(*) FROM r WHERE d = {day}" for c, day in strange.items()]
+    return f"""
+    SELECT '{table}' AS table_name, constraint_name, columns, CAST(keys AS BIGINT) AS keys, CAST(rows AS BIGINT) AS rows
+    FROM (WITH r AS (SELECT date_key % 100 AS d FROM ({rows})) {" UNION ALL ".join(parts)}) WHERE rows > 0"""
+
+
 def _retention(same: str) -> str:
     """Retention where ``same`` ties a fact to the current version of its customer."""
     return f"""
@@ -376,6 +389,26 @@ ORACLES: dict[str, str] = {
     "fact_incremental_append": f"""
     WITH {_E} SELECT {FACT_COLUMNS}, CAST(2 AS BIGINT) AS load_id FROM fact
     WHERE transaction_ts >= TIMESTAMP '2024-01-16 00:00:00'""",
+    "load_accounting": f"""
+    WITH {_E}, numbered AS (
+      SELECT 1 AS load_id, * FROM staged WHERE timestamp < TIMESTAMP '2024-01-16 00:00:00'
+      UNION ALL SELECT 2, * FROM staged
+      UNION ALL SELECT n, s.* FROM staged s, (VALUES (1), (2)) AS loads(n) WHERE is_fraud),
+    marked AS (
+      SELECT load_id, transaction_id, CAST(timestamp AS DATE) <= DATE '2024-01-25' AS inside,
+             min(load_id) FILTER (CAST(timestamp AS DATE) <= DATE '2024-01-25') OVER (PARTITION BY transaction_id) AS loaded_by
+      FROM numbered),
+    counted AS (
+      SELECT load_id, count(*) AS staged, count(*) FILTER (NOT inside) AS out_of_calendar,
+             count(*) FILTER (inside) - count(DISTINCT transaction_id) FILTER (inside) AS duplicate,
+             count(DISTINCT transaction_id) FILTER (inside AND loaded_by < load_id) AS loaded_before,
+             count(DISTINCT transaction_id) FILTER (inside AND loaded_by = load_id) AS inserted
+      FROM marked GROUP BY 1)
+    SELECT CAST(load_id AS BIGINT) AS load_id, outcome, rows
+    FROM (UNPIVOT counted ON staged, out_of_calendar, duplicate, loaded_before, inserted INTO NAME outcome VALUE rows)""",
+    "fraud_days_refreshed": f"""
+    WITH {_L} SELECT date_key, count(*) AS fraud_count, CAST(sum(amount) AS {MONEY}) AS fraud_amount
+    FROM fact WHERE is_fraud GROUP BY 1""",
     "unknown_member_fallback": f"""
     WITH {_L} SELECT account_id = '-1' AS unknown_account, customer_id = '-1' AS unknown_customer,
       category_code = 'unknown' AS unknown_merchant_category, count(*) AS rows,
@@ -724,3 +757,14 @@ ORACLES: dict[str, str] = {
            CAST(s.total - f.total AS {MONEY}) AS amount_difference
     FROM s CROSS JOIN f""",
 }
+
+ORACLES["fraud_lookup_scan"] = ORACLES["fraud_lookup"]
+ORACLES["monthly_summary_refreshed"] = ORACLES["mv_monthly_transaction_summary"]
+ORACLES["daily_balances_published"] = ORACLES["fact_daily_balances"]
+ORACLES["check_fact_constraints"] = " UNION ALL ".join(
+    [
+        _broken("fact_transactions", f"WITH {_L} SELECT date_key FROM fact", "transaction_id", {"channel": 15, "customer_key": 16}, {"date_key": 17, "account_key": 19}, 18),
+        _broken("fact_daily_balances", ORACLES["fact_daily_balances"], "date_key,account_key", {"closing_balance": 5, "account_key": 6}, {"customer_key": 7}, 8),
+        _broken("fact_loan_monthly", ORACLES["fact_loan_monthly"], "date_key,loan_id", {"delinquency_bucket": 28}, {"loan_product_key": 30}, 31),
+    ]
+)

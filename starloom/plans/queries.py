@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import attributes
@@ -18,6 +19,7 @@ from starloom.operators import dimensions, facts, history, quality
 from starloom.plans import analytics, load, views
 from starloom.session import use_utc
 from starloom.sources import sample
+from starloom.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,23 +194,31 @@ def credit_band(spark, sf_dir):
     )
 
 
+def _history(spark, sf_dir, batches) -> Store:
+    """A published customer history after some merges; each read and wrote the open versions only."""
+    store = sample.new_store(spark, "history")
+    sample.write_customers(store, sf_dir, "events", batches)
+    return store
+
+
 @query
 def scd2_merge_initial(spark, sf_dir):
-    return sample.dim_customer(spark, sf_dir, "events", 1).select(*CUSTOMER_COLUMNS)
+    return _history(spark, sf_dir, 1).read("dim_customer").select(*CUSTOMER_COLUMNS)
 
 
 @query
 def scd2_merge_noop(spark, sf_dir):
-    dim = sample.dim_customer(spark, sf_dir, "events", 2)
+    store = _history(spark, sf_dir, 2)
     again = history.merge_dim_customer(
-        dim, sample.customers(spark, sf_dir, 2), date(2024, 1, 15)
+        store.read_open("dim_customer"), sample.customers(spark, sf_dir, 2), date(2024, 1, 15)
     )
-    return again.select(*CUSTOMER_COLUMNS)
+    store.write_history("dim_customer", again)
+    return store.read("dim_customer").select(*CUSTOMER_COLUMNS)
 
 
 @query
 def scd2_merge_change(spark, sf_dir):
-    return sample.dim_customer(spark, sf_dir, "events").select(*CUSTOMER_COLUMNS)
+    return _history(spark, sf_dir, 3).read("dim_customer").select(*CUSTOMER_COLUMNS)
 
 
 @query
@@ -267,16 +277,67 @@ def fact_transactions(spark, sf_dir):
     return _wall_clock(rows, "transaction_ts")
 
 
+def _before(staged: DataFrame, day: str) -> DataFrame:
+    return staged.where(F.col("timestamp") < F.lit(day).cast("timestamp"))
+
+
 @query
 def fact_incremental_append(spark, sf_dir):
     """A second load over everything staged, after one that saw the days before the 16th."""
     star = _events(spark, sf_dir)
-    early = star.staged.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp"))
-    first = star.load_fact(early, load_id=1)
-    second = star.load_fact(existing=first, load_id=2)
+    store = star.warehouse()
+    load.append_transactions(store, _before(star.staged, "2024-01-16"), 1)
+    load.append_transactions(store, star.staged, 2)
+    second = store.read_loads("fact_transactions", after=1)
     return _wall_clock(_with_natural_keys(second, star).select(*FACT_COLUMNS), "transaction_ts")
 
 
+@query
+def load_accounting(spark, sf_dir):
+    """What became of every staged row in two loads: a calendar that ends early, rows staged twice, rows loaded before."""
+    star = _events(spark, sf_dir)
+    store = star.warehouse(star.dates.where("full_date <= DATE'2024-01-25'"))
+    twice = star.staged.where("is_fraud")
+    for n, batch in enumerate([_before(star.staged, "2024-01-16"), star.staged], start=1):
+        load.append_transactions(store, batch.unionByName(twice), n)
+    return store.read("load_history").select("load_id", "outcome", "rows")
+
+
+def _in_two_loads(star, name: str, refresh) -> DataFrame:
+    """A table refreshed after each of two loads, the second with late rows of months that the first has touched."""
+    store = star.warehouse()
+    late = F.substring("transaction_id", -1, 1) == "3"
+    for n, batch in enumerate([_before(star.staged, "1998-01-01").where(~late), star.staged], start=1):
+        load.append_transactions(store, batch, n)
+        refresh(store)
+    return store.read(name)
+
+
+@query
+def monthly_summary_refreshed(spark, sf_dir):
+    """The monthly summary after load, refresh, load, refresh, where the second replaces the touched months only."""
+    return _double(_in_two_loads(_lineitem(spark, sf_dir), "mv_monthly_transaction_summary", load.refresh_monthly_summary), "avg_amount")
+
+
+@query
+def fraud_days_refreshed(spark, sf_dir):
+    return _in_two_loads(_lineitem(spark, sf_dir), "fact_fraud_daily", load.refresh_fraud_days)
+
+
+@query
+def daily_balances_published(spark, sf_dir):
+    """Balances published three times: part of the data, late rows that reopen their month, and a period carried on."""
+    star = _events(spark, sf_dir)
+    store = star.warehouse()
+    late = F.substring("transaction_id", -1, 1) == "3"
+    load.append_transactions(store, _before(star.staged, "2024-01-16").where(~late), 1)
+    load.publish_daily_balances(store, date(2024, 1, 20))
+    load.append_transactions(store, star.staged, 2)
+    load.publish_daily_balances(store, date(2024, 1, 31))
+    load.publish_daily_balances(store, BALANCES_END)
+    return _named_balances(store.read("fact_daily_balances"), star)
+
+
 @query
 def unknown_member_fallback(spark, sf_dir):
     """Rows and money by which of account, customer and category could be looked up."""
@@ -308,7 +369,10 @@ def point_in_time_join(spark, sf_dir):
 @query
 def fact_daily_balances(spark, sf_dir):
     star = _events(spark, sf_dir)
-    balances = facts.fact_daily_balances(star.fact, star.accounts, star.customers, BALANCES_END)
+    return _named_balances(facts.fact_daily_balances(star.fact, star.accounts, star.customers, BALANCES_END), star)
+
+
+def _named_balances(balances: DataFrame, star: sample.Star) -> DataFrame:
     named = balances.join(star.accounts.select("account_key", "account_id"), "account_key").join(
         star.customers.select(
             "customer_key",
@@ -411,6 +475,13 @@ def point_in_time_customer(spark, sf_dir):
 
 @query
 def fraud_lookup(spark, sf_dir):
+    """From the published days; ``fraud_lookup_scan`` reads the transactions."""
+    days = _lineitem(spark, sf_dir).fraud_days(199701, 199703)
+    return analytics.fraud_lookup_by_day(days, 19970101, 19970331)
+
+
+@query
+def fraud_lookup_scan(spark, sf_dir):
     return analytics.fraud_lookup(_lineitem(spark, sf_dir).fact, 19970101, 19970331)
 
 
@@ -667,10 +738,13 @@ def _unclosed_versions(spark, sf_dir) -> DataFrame:
                 "is_current": F.lit(True),
             }
         )
-        for n, effective in enumerate(sample.EFFECTIVE_DATES["events"][:2], start=1)
+        for n, effective in enumerate(sample.EFFECTIVE_DATES["events"], start=1)
     ]
-    changed = batches[1].join(batches[0].select("customer_id", "row_hash"), ["customer_id", "row_hash"], "left_anti")
-    return batches[0].unionByName(changed)
+    changed = [
+        now.join(before.select("customer_id", "row_hash"), ["customer_id", "row_hash"], "left_anti")
+        for before, now in zip(batches, batches[1:], strict=False)
+    ]
+    return reduce(DataFrame.unionByName, changed, batches[0])
 
 
 @query
@@ -723,6 +797,43 @@ def check_foreign_keys(spark, sf_dir):
     )
 
 
+def _day() -> Column:
+    return F.col("date_key") % 100
+
+
+@query
+def check_fact_constraints(spark, sf_dir):
+    """All constraints of the three facts on rows broken by their day: empty columns, keys nobody has, rows twice."""
+    star, events = _lineitem(spark, sf_dir), _events(spark, sf_dir)
+    facts_of = {
+        "fact_transactions": (star.fact, {"channel": 15, "customer_key": 16}, {"date_key": 17, "account_key": 19}, 18),
+        "fact_daily_balances": (
+            facts.fact_daily_balances(events.fact, events.accounts, events.customers, BALANCES_END),
+            {"closing_balance": 5, "account_key": 6},
+            {"customer_key": 7},
+            8,
+        ),
+        "fact_loan_monthly": (star.loan_months, {"delinquency_bucket": 28}, {"loan_product_key": 30}, 31),
+    }
+    found = []
+    for table, (fact, empty, strange, twice) in facts_of.items():
+        dims = events if table == "fact_daily_balances" else star
+        held = {
+            "date_key": (dims.dates, "date_key"),
+            "account_key": (dims.accounts, "account_key"),
+            "customer_key": (dims.customers, "customer_key"),
+            "merchant_category_key": (dims.categories, "merchant_category_key"),
+            "loan_product_key": (dims.products, "loan_product_key"),
+        }
+        broken = fact.unionByName(fact.where(_day() == twice)).withColumns(
+            {c: F.when(_day() != day, F.col(c)) for c, day in empty.items()}
+            | {c: F.when(_day() == day, F.lit(0)).otherwise(F.col(c)) for c, day in strange.items()}
+        )
+        rule = quality.FACT_RULES[table]
+        found.append(quality.constraint_violations(broken, table, rule, {c: held[c] for c in rule.foreign_keys}))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def check_not_null(spark, sf_dir):
     """The unknown member's empty attributes and the missing scores."""

@@ -159,3 +159,10 @@ def mv_monthly_transaction_summary(
             "distinct_customers",
         )
     )
+
+
+def fraud_by_day(fact: DataFrame) -> DataFrame:
+    """date_key, fraud_count, fraud_amount: the days with fraudulent transactions."""
+    return fact.where("is_fraud").groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("fraud_count"), F.sum("amount").cast(MONEY).alias("fraud_amount")
+    )

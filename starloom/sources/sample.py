@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.functions import calendar
 from starloom.operators import dimensions, facts, history
-from starloom.plans import analytics
+from starloom.plans import analytics, views
 from starloom.session import shared_dir
 from starloom.sources.store import Store
 
@@ -241,13 +242,18 @@ def loan_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stars --------------------------------------------------------------------------------------
 
 
-def dim_customer(spark: SparkSession, sf_dir: str, source: str, batches: int = 3) -> DataFrame:
-    """The customer dimension after the first ``batches`` merges, as one lazy plan."""
-    dim = dimensions.unknown_customer(spark)
+def write_customers(store: Store, sf_dir: str, source: str, batches: int = 3) -> None:
+    """The customer history after the first ``batches`` merges, each written as a load would."""
+    spark, table = store.spark, "dim_customer"
     for n, effective in enumerate(EFFECTIVE_DATES[source][:batches], start=1):
+        now = store.read_open(table) if n > 1 else dimensions.unknown_customer(spark)
         batch = customers(spark, sf_dir, n, first_orders=source == "lineitem")
-        dim = history.merge_dim_customer(dim, batch, effective, initial=n == 1)
-    return dim
+        store.write_history(table, history.merge_dim_customer(now, batch, effective, initial=n == 1))
+
+
+def new_store(spark: SparkSession, name: str) -> Store:
+    """A store of its own in the shared folder."""
+    return Store(spark, shared_dir(spark, f"sample-{name}-{uuid.uuid4().hex[:8]}"))
 
 
 def dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +270,7 @@ class Star:
 
     def __init__(self, spark: SparkSession, sf_dir: str, source: str):
         self.spark, self.sf_dir, self.source = spark, sf_dir, source
-        self.store = Store(spark, shared_dir(spark, f"sample-{source}-{uuid.uuid4().hex[:8]}"))
+        self.store = new_store(spark, source)
         self._tables: dict[str, DataFrame] = {}
 
     def _stored(self, name: str, build, write=None) -> DataFrame:
@@ -286,9 +292,10 @@ class Star:
 
     @property
     def customers(self) -> DataFrame:
-        return self._stored(
-            "dim_customer", lambda: dim_customer(self.spark, self.sf_dir, self.source)
-        )
+        if "dim_customer" not in self._tables:
+            write_customers(self.store, self.sf_dir, self.source)
+            self._tables["dim_customer"] = self.store.read("dim_customer")
+        return self._tables["dim_customer"]
 
     @property
     def accounts(self) -> DataFrame:
@@ -331,6 +338,24 @@ class Star:
     def window_points(self) -> DataFrame:
         return self._stored("fact_window_points", lambda: analytics.fact_window_points(self.fact))
 
+    def fraud_days(self, first: int, last: int) -> DataFrame:
+        """Months of the published day-level roll-up of fraud."""
+        if "fact_fraud_daily" not in self._tables:
+            days = views.fraud_by_day(self.fact)
+            self.store.write_months("fact_fraud_daily", days, calendar.month_key(F.col("date_key")), 1)
+            self._tables["fact_fraud_daily"] = self.store.read("fact_fraud_daily")
+        return self.store.read_months("fact_fraud_daily", first, last)
+
+    def warehouse(self, dates: DataFrame | None = None) -> Store:
+        """A store of its own with the dimensions published and no facts yet; ``dates`` may be another calendar."""
+        store = new_store(self.spark, f"{self.source}-warehouse")
+        with store.load():
+            store.write_snapshot("dim_date", self.dates if dates is None else dates)
+            store.write_snapshot("dim_customer", self.customers)
+            store.write_snapshot("dim_account", self.accounts)
+            store.write_snapshot("dim_merchant_category", self.categories)
+        return store
+
     def load_loan_months(self) -> DataFrame:
         return facts.fact_loan_monthly(
             loan_snapshots(self.spark, self.sf_dir),

@@ -2,12 +2,15 @@
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.operators import dimensions, facts, history
 from starloom.plans import load, views
+from starloom.sources import ids
 from starloom.sources.staged import read_staged
 from starloom.sources.store import Store
 from starloom.streaming.incremental import load_arriving_transactions
@@ -125,14 +128,153 @@ def test_sql_over_published_tables(spark, store, staged):
     assert [r.segment for r in one] == ["mass"]
 
 
-def test_ids_that_keep_their_month(spark, store, staged):
+def test_ids_loaded_before_are_skipped(spark, store, staged):
     load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
     again = spark.createDataFrame(
         [*ROWS["transactions"][:3], ("new", "A1", datetime(2024, 2, 7), D(1), "gas", "online", False)],
         schemas.STAGING["transactions"],
     )
-    assert load.append_transactions(store, again, 2, ids_keep_their_month=True) == 1
+    assert load.append_transactions(store, again, 2) == 1
+    # The same id in another month is known as well.
+    moved = again.withColumn("timestamp", F.lit(datetime(2025, 5, 5)))
+    assert load.append_transactions(store, moved, 3) == 0
     assert store.read("fact_transactions").count() == 10
+    history = store.read("load_history").where("load_id IN (2, 3)").collect()
+    assert {(r.load_id, r.outcome): r.rows for r in history if r.rows} == {
+        (2, "staged"): 4, (2, "loaded_before"): 3, (2, "inserted"): 1, (3, "staged"): 4, (3, "loaded_before"): 4,
+    }
+
+
+def transactions(spark, names, day=datetime(2024, 2, 9)):
+    return spark.createDataFrame([(n, "A1", day, D(5), "gas", "online", False) for n in names], schemas.STAGING["transactions"])
+
+
+def test_old_ids_are_not_shuffled(spark, store, staged, monkeypatch):
+    """A batch is dealt into the buckets of the ids, is kept from folders out of its range, and folders are merged."""
+    load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
+    load.append_transactions(store, transactions(spark, [f"u{n}" for n in range(50)]), 2)
+    load.append_transactions(store, transactions(spark, [f"v{n}" for n in range(50)]), 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = transactions(spark, [f"u{n}" for n in range(40, 60)])
+        new = ids.without_known(store, "fact_transactions", batch, "transaction_id", ("t8", "u59"))
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r.transaction_id for r in new.collect()) == [f"u{n}" for n in range(50, 60)]
+    # Ids t0 to t8 and u0 to u9 are opened, v0 to v9 are not; one exchange, that of the batch.
+    assert plan.count("Bucketed: true") == 2 and plan.count("LeftAnti") == 2 and plan.count("Exchange") == 1
+    monkeypatch.setattr(ids, "MERGE_AFTER", 4)
+    assert len(ids.id_folders(store, "fact_transactions")) == 3
+    load.append_transactions(store, transactions(spark, ["w1"]), 4)
+    assert [f["rows"] for f in ids.id_folders(store, "fact_transactions")] == [110]
+    assert load.append_transactions(store, transactions(spark, ["w1", "t3", "u7", "v9", "x"]), 5) == 1
+    fresh = Store(spark, store.root)
+    assert load.append_transactions(fresh, transactions(spark, ["x", "y"]), 6) == 1
+
+
+def files_of(folder):
+    return {str(p): p.stat().st_mtime_ns for p in Path(folder).rglob("*.parquet")}
+
+
+def test_merges_leave_closed_versions_alone(spark, store):
+    """Each merge reads and writes open versions; folders of closed ones stay, and the history equals one merge chain."""
+    whole = dimensions.unknown_customer(spark)
+    table, closed = "dim_customer", {}
+    for n in range(4):
+        rows = [(f"C{k}", "F", "L", 30, D(1000), 600 + 10 * n * (k <= n), D("0.1"), "mass", date(2023, 1, 1), "B1") for k in range(5)]
+        batch = spark.createDataFrame(rows, schemas.STAGING["customers"])
+        day = date(2024, 1 + n, 1)
+        now = store.read_open(table) if n else dimensions.unknown_customer(spark)
+        merged = history.merge_dim_customer(now, batch, day, initial=n == 0)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "closed=1" not in plan
+        with store.load():
+            store.write_history(table, merged)
+        folders = [e["folder"] for e in store.entries(table) if e["kind"] == "closed"]
+        for folder, files in closed.items():
+            assert folder in folders and files_of(f"{store.root}/{folder}") == files
+        closed = {f: files_of(f"{store.root}/{f}") for f in folders}
+        whole = history.merge_dim_customer(whole, batch, day, initial=n == 0)
+    keep = [c for c in schemas.DIM_CUSTOMER.fieldNames() if c not in ("created_at", "updated_at")]
+    assert sorted(map(str, store.read(table).select(keep).collect())) == sorted(map(str, whole.select(keep).collect()))
+    assert store.read(table).count() == store.rows(table) == 15 and len(closed) == 3
+
+
+def test_a_refresh_reads_and_replaces_touched_months_only(spark, store, staged):
+    load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
+    name = "mv_monthly_transaction_summary"
+    load.refresh_monthly_summary(store)
+    load.refresh_fraud_days(store)
+    before = {m: store.read_months(name, m, m).inputFiles() for m in store.months(name)}
+    assert sorted(before) == [202401, 202402, 202403]
+    load.append_transactions(store, transactions(spark, ["late"]), 2)
+    for _ in range(2):
+        load.refresh_monthly_summary(store)
+        load.refresh_fraud_days(store)
+    after = {m: store.read_months(name, m, m).inputFiles() for m in store.months(name)}
+    assert [m for m in after if after[m] != before[m]] == [202402]
+    whole = views.mv_monthly_transaction_summary(
+        store.read("fact_transactions"), store.read("dim_customer"), store.read("dim_merchant_category")
+    )
+    assert sorted(store.read(name).collect(), key=str) == sorted(whole.collect(), key=str)
+    assert store.read("fact_fraud_daily").count() == 1
+
+
+def test_balances_published_in_steps_equal_balances_at_once(spark, store, staged):
+    """Months carried on from the day before, late rows, a late account, and a period without any transaction."""
+    load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
+
+    def publish(end):
+        load.publish_daily_balances(store, end)
+        keep = [c for c in schemas.FACT_DAILY_BALANCES.fieldNames() if c not in ("created_at", "load_id")]
+        whole = facts.fact_daily_balances(store.read("fact_transactions"), store.read("dim_account"), store.read("dim_customer"), end)
+        got = store.read("fact_daily_balances").select(keep)
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.select(keep).collect()))
+        return {m: store.read_months("fact_daily_balances", m, m).inputFiles() for m in store.months("fact_daily_balances")}
+
+    first = publish(date(2024, 1, 20))
+    second = publish(date(2024, 3, 10))
+    assert second[202312] == first[202312] and second[202401] != first[202401]
+    third = publish(date(2024, 4, 5))
+    assert [m for m in third if third[m] != second.get(m)] == [202403, 202404]
+    load.append_transactions(store, transactions(spark, ["late"], datetime(2024, 2, 3)), 2)
+    fourth = publish(date(2024, 4, 5))
+    assert [m for m in fourth if fourth[m] != third.get(m)] == [202402, 202403, 202404]
+    rows = [("A9", "C1", "checking", D("0.01"), date(2024, 3, 15), "active", D(70))]
+    account = spark.createDataFrame(rows, schemas.STAGING["accounts"])
+    store.publish("dim_account", dimensions.merge_dim_account(store.read("dim_account"), account))
+    fifth = publish(date(2024, 4, 7))
+    assert [m for m in fifth if fifth[m] != fourth.get(m)] == [202403, 202404]
+
+
+def test_figures_where_nothing_is_left(spark, store, staged):
+    """Steps that come out empty are cut off by the optimizer; their figures are counted all the same."""
+    load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
+    for n, batch in enumerate([transactions(spark, []), transactions(spark, ["a", "b", "b"], datetime(1950, 1, 1)), transactions(spark, ["t1", "t1"])], start=2):
+        assert load.append_transactions(store, batch, n) == 0
+    found = {(r.load_id, r.outcome): r.rows for r in store.read("load_history").where("load_id > 1").collect() if r.rows}
+    assert found == {(3, "staged"): 3, (3, "out_of_calendar"): 3, (4, "staged"): 2, (4, "duplicate"): 1, (4, "loaded_before"): 1}
+
+
+def test_a_load_checks_what_it_adds(spark, store, staged):
+    load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
+    assert store.read("constraint_violations").count() == 0
+    broken = store.read("fact_transactions").withColumn("account_key", F.when(F.col("transaction_id") != "t3", F.lit(5)))
+    found = load.fact_constraints(store, "fact_transactions", broken.union(broken)).collect()
+    assert {(r.constraint_name, r.columns, r["keys"], r.rows) for r in found} == {
+        ("unique", "transaction_id", 9, 18), ("foreign key", "account_key", 1, 16), ("not null", "account_key", 1, 2),
+    }
+    with pytest.raises(ValueError, match="channel"):
+        load.append_transactions(store, transactions(spark, ["q"]).withColumn("channel", F.lit(None).cast("string")), 2)
+    assert store.read("fact_transactions").count() == 9
+
+
+def test_loads_do_not_nest(spark, store):
+    with pytest.raises(RuntimeError, match="already running"), store.load():
+        store.write_snapshot("a", spark.range(3))
+        store.publish("b", spark.range(2))
+    assert store.tables() == []
 
 
 def test_uncommitted_writings_are_seen_by_nobody_else(spark, store):
