@@ -7,6 +7,7 @@ task that runs again replaces its file.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -25,6 +26,8 @@ from starloom.llm.pretokens import coded, gathered, split_columns
 CHUNK = 1 << 16
 # Words whose ids a worker remembers between batches: so many of the latest, and as many of those before.
 KNOWN = 250_000
+# Words in one call of the library.
+RUN = 1000
 # Documents of an Arrow batch: what a task holds at once.
 BATCH = 2000
 SCHEMA = "shard int, chunk int, first long, n int, kind string, planes array<binary>, crc32 long, doc_id array<long>, doc_first array<long>, doc_n array<long>"
@@ -53,7 +56,11 @@ def from_planes(planes: list[bytes], n: int, kind: str = "byte") -> np.ndarray:
 
 @cache
 def _tokenizer(path: str, added: bool = False) -> Tokenizer:
-    """With `added`, as the library has it: literals of added tokens in a text become their ids."""
+    """With `added`, as the library has it: literals of added tokens in a text become their ids.
+
+    A task has one core: the library's own threads would only wait for each other.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
     if not added:
         tokenizer.encode_special_tokens = True
@@ -80,10 +87,12 @@ def _encoded(words: list[str], path: str) -> list[bytes]:
                 late[word] = early[word]
             else:
                 new.append(word)
-    for start in range(0, len(new), 10_000):
-        part = new[start : start + 10_000]
-        for word, out in zip(part, _tokenizer(path).encode_batch_fast(part, add_special_tokens=False), strict=True):
-            late[word] = np.array(out.ids, dtype=np.uint32).tobytes()
+    for start in range(0, len(new), RUN):
+        part = new[start : start + RUN]
+        out = _tokenizer(path).encode(part, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(out.ids, dtype=np.uint32).tobytes()
+        ends = np.cumsum(np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(part))) * 4
+        late.update((word, ids[a:b]) for word, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
     return [late[w] for w in words]
 
 
