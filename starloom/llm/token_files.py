@@ -14,6 +14,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,8 +25,8 @@ from starloom.llm.common import batch_rows, text_or_empty
 from starloom.llm.pretokens import coded, gathered, split_columns
 
 CHUNK = 1 << 16
-# Words whose ids a worker remembers between batches: so many of the latest, and as many of those before.
-KNOWN = 250_000
+# Words whose ids a worker remembers between batches; it starts anew with those of a batch when there are more.
+KNOWN = 1_000_000
 # Words in one call of the library.
 RUN = 1000
 # Documents of an Arrow batch: what a task holds at once.
@@ -71,37 +72,46 @@ def _literals(path: str) -> list[str]:
     return [t.content for t in _tokenizer(path, True).get_added_tokens_decoder().values() if t.content]
 
 
-_KNOWN: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
-
-
-def _encoded(words: list[str], path: str) -> list[bytes]:
-    """Ids of each word as bytes; words seen lately are not encoded again."""
-    late, early = _KNOWN.get(path, ({}, {}))
-    if len(late) > KNOWN:
-        late, early = {}, late
-    _KNOWN[path] = late, early
-    new = []
-    for word in words:
-        if word not in late:
-            if word in early:
-                late[word] = early[word]
-            else:
-                new.append(word)
-    for start in range(0, len(new), RUN):
-        part = new[start : start + RUN]
+# Words a worker has encoded, where the ids of each begin (one more at the end), and the ids.
+_KNOWN: dict[str, tuple[pa.Array, np.ndarray, np.ndarray]] = {}
+
+
+def _encoded(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words one after another, and how many each has."""
+    ids, many = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for start in range(0, len(words), RUN):
+        part = words[start : start + RUN]
         out = _tokenizer(path).encode(part, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(out.ids, dtype=np.uint32).tobytes()
-        ends = np.cumsum(np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(part))) * 4
-        late.update((word, ids[a:b]) for word, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
-    return [late[w] for w in words]
+        ids.append(np.array(out.ids, dtype=np.uint32))
+        many.append(np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(part)))
+    return np.concatenate(ids), np.concatenate(many)
+
+
+def _known(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, where those of each known word begin, and the place of each of the words; only unknown ones are encoded."""
+    known, starts, ids = _KNOWN.get(path) or (words.slice(0, 0), np.zeros(1, np.int64), np.zeros(0, np.uint32))
+    found = pc.index_in(words, value_set=known)
+    fresh = np.asarray(found.is_null())
+    place = np.asarray(found.fill_null(0), dtype=np.int64)
+    if fresh.any():
+        new = words.filter(pa.array(fresh))
+        place = np.where(fresh, len(known) + np.cumsum(fresh) - 1, place)
+        more, many = _encoded(new.to_pylist(), path)
+        known, ids = pa.concat_arrays([known, new]), np.concatenate((ids, more))
+        starts = np.concatenate((starts, starts[-1] + np.cumsum(many)))
+    if len(known) <= KNOWN:
+        _KNOWN[path] = known, starts, ids
+    else:  # go on with the words of this batch
+        kept, many = gathered(ids, starts, place)
+        _KNOWN[path] = words, np.concatenate(([0], np.cumsum(many))), kept
+    return ids, starts, place
 
 
 def _ids(batch: pa.RecordBatch, path: str, pattern: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch, the end id behind each row's, and the ids per row. A text of column 3 is encoded by the library."""
     words, codes, begins = coded(batch.column(1), batch.column(2), pattern)
-    each = _encoded(words.to_pylist(), path)
-    starts = np.concatenate(([0], np.cumsum([len(e) // 4 for e in each]))).astype(np.int64)
-    ids, many = gathered(np.frombuffer(b"".join(each), dtype=np.uint32), starts, codes)
+    known, starts, place = _known(words, path)
+    ids, many = gathered(known, starts, place[codes])
     ends = np.concatenate(([0], np.cumsum(many)))[begins]
     literal = batch.column(3)
     if literal.null_count == len(literal):
