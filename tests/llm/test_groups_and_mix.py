@@ -139,3 +139,31 @@ def test_mixed_texts_are_the_words_taken(odd, documents):
         assert mix.slots.groupBy("shard", "slot").count().filter("count > 1").count() == 0
         assert mix.slots.groupBy("place", "pass", "block").count().filter("count > 1").count() == 0
     assert mixing.texts(mixing.mixed(documents.limit(0))).count() == 0
+
+
+def test_large_clusters_are_divided_by_their_sketches(spark, monkeypatch):
+    """Groups that one frequent pair of words ties: equal to all pairs with parts of sketches forced small."""
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    monkeypatch.setattr(near_dup, "SKETCHES", 20)
+    texts = [f"{t} tied here" for seed in range(9) for t in near_copies(14, 80, 14, seed)]
+    docs = spark.createDataFrame(list(enumerate([*texts, *texts[:9]])), "doc_id long, text string").repartition(4)
+    check_groups(docs, 2, 80)
+
+
+def test_contraction_in_small_pieces(spark, monkeypatch):
+    r = random.Random(4)
+    edges = [(r.randrange(400), r.randrange(400)) for _ in range(330)] + [(None, 3), (1000, 1000)]
+    label = {}
+
+    def find(x):
+        while label.setdefault(x, x) != x:
+            x = label[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            low, high = sorted((find(a), find(b)))
+            label[high] = low
+    monkeypatch.setattr(cc, "PIECE", 8)
+    rows = cc.components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()
+    assert {r["node"]: r["component"] for r in rows} == {x: find(x) for x in label} and len(rows) == len(label)
