@@ -21,16 +21,21 @@ from pyspark.sql import functions as F
 
 SAMPLE, SAMPLE_CHARS = 400, 40_000
 PATH_DIM, WORD_DIM, HIDDEN = 48, 24, 16
-PAGES_AT_ONCE = 256
+# Pages that are read at once, and padded blocks that are labelled at once (one page at least).
+PAGES_AT_ONCE, BLOCKS_AT_ONCE = 256, 1 << 16
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+# A quote opens a value only behind "=".
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[a-z0-9]+")
 # Content of these is no text of the page.
 SILENT = frozenset("script style noscript template head title svg math iframe object textarea select".split())
 # Of these, those in which nothing is markup but their own end tag.
 RAW_ENDS = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in "script style noscript title iframe textarea".split()}
+OBJECT_END = re.compile(r"</object(?=[\s/>]|\Z)", re.I | re.A)
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+# What stands in a list to select from, or is silent itself.
+LISTED = SILENT | {"option", "optgroup", "hr", "param", "embed"}
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # A start tag that ends an open element of the same kind.
 ENDS = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
@@ -81,7 +86,7 @@ def _mark_wrappers(found: list[tuple[list[_Open], str, int]]) -> None:
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: runs of text between the borders of block elements, references decoded."""
-    stack, found, held, linked, at, silent, links = [], [], [], 0, 0, None, 0
+    stack, found, held, linked, at, silent, closed, links = [], [], [], 0, 0, None, True, 0
 
     def close() -> None:
         nonlocal held, linked
@@ -99,6 +104,8 @@ def blocks(page: str) -> list[Block]:
         tag = (m[2] or "").lower()
         if not tag:
             continue
+        if silent and tag not in INLINE and tag not in LISTED and not closed:
+            silent = None  # left open: what cannot stand in it ends it
         if silent is not None:
             if m[1] and tag == silent:
                 silent = None
@@ -118,8 +125,8 @@ def blocks(page: str) -> list[Block]:
             at = end.start() if end else len(page)
             continue
         if tag in SILENT:
-            if tag != "head":
-                silent = tag
+            if tag != "head" and not (tag in ("svg", "math") and m[3].endswith("/")):
+                silent, closed = tag, tag != "select" and (tag != "object" or OBJECT_END.search(page, at) is not None)
             continue
         if tag == "br":
             held.append(" ")
@@ -189,8 +196,8 @@ class Labeller:
         w["bias"] = np.zeros(1)
         return cls(w)
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, side: str):
-        """States of one direction for pages x blocks x inputs; padded steps keep the state."""
+    def _run(self, x: np.ndarray, mask: np.ndarray, side: str, learn: bool):
+        """States of one direction for pages x blocks x inputs; padded steps keep the state. To learn, all gates are kept."""
         n, steps = x.shape[:2]
         gates = x @ self.w[f"x{side}"] + self.w[f"c{side}"]
         h, c, kept = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN)), []
@@ -203,14 +210,15 @@ class Labeller:
             m = mask[:, t, None]
             new = f * c + i * g
             th = np.tanh(new)
-            kept.append((t, h, c, i, f, o, g, th, m))
+            if learn:
+                kept.append((t, h, c, i, f, o, g, th, m))
             c, h = np.where(m, new, c), np.where(m, o * th, h)
             out[:, t] = h
         return out, kept
 
-    def forward(self, x: np.ndarray, mask: np.ndarray):
-        f, kept_f = self._run(x, mask, "f")
-        b, kept_b = self._run(x, mask, "b")
+    def forward(self, x: np.ndarray, mask: np.ndarray, learn: bool = True):
+        f, kept_f = self._run(x, mask, "f", learn)
+        b, kept_b = self._run(x, mask, "b", learn)
         both = np.concatenate((f, b), axis=2)
         return 1 / (1 + np.exp(-(both @ self.w["out"] + self.w["bias"]))), both, kept_f, kept_b
 
@@ -242,9 +250,10 @@ class Labeller:
         start = 0
         while start < len(order):
             longest = len(pages[order[start]])
-            group = [i for i in order[start : start + PAGES_AT_ONCE] if len(pages[i]) <= 2 * longest + 8]
+            some = max(1, min(PAGES_AT_ONCE, BLOCKS_AT_ONCE // (2 * longest + 8)))
+            group = [i for i in order[start : start + some] if len(pages[i]) <= 2 * longest + 8]
             x, mask = padded([pages[i] for i in group])
-            p = self.forward(x, mask)[0]
+            p = self.forward(x, mask, learn=False)[0]
             for row, i in enumerate(group):
                 out[i] = p[row, : len(pages[i])]
             start += len(group)
@@ -319,10 +328,16 @@ def trained(pages: list[str], seed: int = 3, turns: int = 12, batch: int = 32) -
 
 
 def fitted(pages: DataFrame, column: str = "html", page_id: str = "page_id") -> Labeller:
-    """Trained on SAMPLE pages of at most SAMPLE_CHARS code points, the first by a hash of their id; none leave it untrained."""
+    """Trained on SAMPLE pages of at most SAMPLE_CHARS code points, the first by hashes of id and page; none leave it untrained.
+
+    Pages are chosen by their hashes alone, so that only those chosen reach the driver. Of repeated rows one is used.
+    """
     fit = pages.filter(F.col(column).isNotNull() & (F.length(column) <= SAMPLE_CHARS))
-    rows = fit.select(F.col(column).alias("html"), F.xxhash64(F.col(page_id)).alias("mark")).orderBy("mark", "html").limit(SAMPLE).collect()
-    return trained([r["html"] for r in rows])
+    marked = fit.select(F.col(column).alias("html"), F.xxhash64(F.col(page_id)).alias("mark"), F.xxhash64(F.col(column)).alias("content"))
+    marks = marked.select("mark", "content").orderBy("mark", "content").limit(SAMPLE).collect()
+    wanted = F.struct("mark", "content").isin([F.struct(F.lit(r["mark"]), F.lit(r["content"])) for r in marks])
+    rows = marked.filter(F.col("mark").isin([r["mark"] for r in marks]) & wanted).dropDuplicates(["mark", "content"]).collect() if marks else []
+    return trained([r["html"] for r in sorted(rows, key=lambda r: (r["mark"], r["content"]))])
 
 
 def extracted(pages: DataFrame, labeller: Labeller, column: str = "html", page_id: str = "page_id", url: str = "url") -> DataFrame:

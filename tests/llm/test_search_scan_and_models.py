@@ -247,3 +247,27 @@ def test_furniture_stays_furniture_where_it_holds_articles():
     kept = [b.text for b in html_blocks.blocks(page) if b.inside and not b.away]
     assert kept == ["Title", "Long text of the article."]
     assert [b.away for b in html_blocks.blocks('<div class="main-menu">menu</div><p>text')] == [True, False]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<svg class="icon"/><article><p>Main text</p></article>', ["Main text"]),
+        ("<article><p title='it's'>Main text, don't lose it.</p><p>more</p></article>", ["Main text, don't lose it.", "more"]),
+        ('<article><p title="5" wide">five</p></article>', ["five"]),
+        ('<article><p title="a > b">six</p></article>', ["six"]),
+        ("<form><select><option>one</form><article><p>after</p></article>", ["after"]),
+        ("<object data=x><p>after</p>", ["after"]),
+        ("<object data=x><p>instead</p></object><p>after</p>", ["after"]),
+    ],
+)
+def test_markup_that_is_not_closed_or_quoted_well(page, want):
+    assert [b.text for b in html_blocks.blocks(page)] == want
+
+
+def test_pages_are_labelled_alike_in_any_company():
+    r = np.random.default_rng(5)
+    model = html_blocks.Labeller.fresh(6)
+    pages = [r.normal(size=(n, 6)) for n in (3, 40, 0, 41, 900, 5)]
+    for page, scores in zip(pages, model.scores(pages), strict=True):
+        assert np.allclose(scores, model.scores([page])[0], atol=1e-6)
