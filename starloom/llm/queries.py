@@ -27,7 +27,7 @@ def query(function: Query) -> Query:
 @query
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents"))
-    return mixing.words_taken(mix).select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mixing.words_taken(mix).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "n_shards")
 
 
 @query

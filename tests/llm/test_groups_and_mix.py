@@ -141,6 +141,63 @@ def test_mixed_texts_are_the_words_taken(odd, documents):
     assert mixing.texts(mixing.mixed(documents.limit(0))).count() == 0
 
 
+def test_shards_hold_the_words_taken(spark, tmp_path):
+    """Every word names its document: what stands in the written shards is recounted in plain code."""
+    sizes = {i: (i * 37) % 300 for i in range(300)} | {300: 9000}
+    rows = [(i, " ".join(f"d{i}_{k}" for k in range(n)), ["a", "b", None][i % 3] if i != 300 else "a") for i, n in sizes.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    mix = mixing.mixed(docs)
+    mixing.write_shards(mix, str(tmp_path / "shards"))
+    out = spark.read.parquet(str(tmp_path / "shards")).collect()
+    lines = mix.lines
+    counts, n_shards = [s.slots for s in lines], max(1, -(-sum(s.slots for s in lines) // mixing.SHARD_SLOTS))
+    have = {shard: list(h) for shard, h, _ in mixing.draws(counts, n_shards, mixing.SHARD_SLOTS, 11, range(n_shards))}
+    for shard in have:
+        held = [r for r in out if r["shard"] == shard]
+        assert [sum(r["place"] == i for r in held) for i in range(len(lines))] == have[shard]
+        assert sorted(r["slot"] for r in held) == list(range(len(held)))
+    seen, in_shards = {}, {}
+    for r in out:
+        words = r["text"].split()
+        assert 0 < len(words) <= mixing.BLOCK_WORDS
+        for w in words:
+            d = int(w[1:].split("_")[0])
+            assert (sizes[d] and rows[d][2]) == lines[r["place"]].name or rows[d][2] is None
+            seen[d] = seen.get(d, 0) + 1
+            in_shards.setdefault(d, set()).add(r["shard"])
+        # words of a document stand in their order, without gaps
+        for a, b in zip(words, words[1:]):
+            (da, ka), (db, kb) = a[1:].split("_"), b[1:].split("_")
+            assert (da == db and int(kb) == int(ka) + 1) or (da != db and int(ka) == sizes[int(da)] - 1 and kb == "0")
+    taken = {r["id"]: r for r in mixing.words_taken(mix).collect()}
+    assert set(taken) == set(sizes)
+    for d, n in sizes.items():
+        assert taken[d]["taken"] == seen.get(d, 0) <= 2 * n and taken[d]["n_shards"] == len(in_shards.get(d, ()))
+    in_order = sorted({(r["place"], r["block"]) for r in out})
+    for place, line in enumerate(lines):
+        assert [b for p, b in in_order if p == place] == list(range(line.blocks)) or line.target < line.size
+
+
+def test_repeated_rows_are_mixed_each_on_its_own(spark):
+    """A third of the rows equal, a third without id and text: none lost, none gathered, bounded by their own blocks."""
+    text = " ".join(f"w{k}" for k in range(200))
+    rows = spark.range(0, 60000, numPartitions=6).select(
+        F.expr("CASE id % 3 WHEN 0 THEN 7L WHEN 1 THEN NULL ELSE id END").alias("doc_id"),
+        F.expr(f"CASE id % 3 WHEN 0 THEN '{text}' WHEN 1 THEN NULL ELSE concat('some words of ', id) END").alias("text"),
+        F.expr("CASE WHEN id % 3 = 2 AND id % 2 = 0 THEN 'b' ELSE 'a' END").alias("source"),
+        F.expr("CASE id % 3 WHEN 0 THEN map('k', 1) END").alias("doc"),
+    )
+    mix = mixing.mixed(rows)
+    taken = mixing.words_taken(mix)
+    by = {r["id"]: r for r in taken.filter("id IS NULL OR id = 7").groupBy("id").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max("taken").alias("most")).collect()}
+    assert by[7]["n"] == 20000 and by[None]["n"] == 20000 and by[None]["taken"] == 0 and by[7]["most"] <= 400
+    assert taken.count() == 60000
+    sums = {r["source"]: (r["taken"], r["target"]) for r in taken.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    assert all(abs(t - want) <= 2 * mixing.BLOCK_WORDS for t, want in sums.values())
+    words = mixing.texts(mix, length="none").select(F.sum(F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")))).first()[0]
+    assert words == sum(t for t, _ in sums.values())
+
+
 def test_large_clusters_are_divided_by_their_sketches(spark, monkeypatch):
     """Groups that one frequent pair of words ties: equal to all pairs with parts of sketches forced small."""
     monkeypatch.setattr(near_dup, "BLOCK", 8)
