@@ -207,6 +207,30 @@ def test_large_clusters_are_divided_by_their_sketches(spark, monkeypatch):
     check_groups(docs, 2, 80)
 
 
+def test_parts_by_size_leave_out_only_pairs_of_sizes_too_far_apart(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(near_dup, "COMPARED", 3)
+    r = np.random.default_rng(2)
+    for trial in range(40):
+        n = r.integers(1, 30, size=int(r.integers(1, 25)))
+        left = np.flatnonzero(r.random(len(n)) < 0.7) if trial % 2 else np.arange(len(n))
+        right = np.flatnonzero(r.random(len(n)) < 0.7) if trial % 2 else np.arange(len(n))
+        given = {(i, j) for some, others in near_dup._by_size(n, left, right, 80) for i in some for j in others}
+        if np.array_equal(left, right):
+            given |= {(j, i) for i, j in given}
+        assert given >= {(i, j) for i in left.tolist() for j in right.tolist() if 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j])}
+        assert all(i in left and j in right for i, j in given)
+
+
+def test_groups_in_small_parts_by_size(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    monkeypatch.setattr(near_dup, "SKETCHES", 20)
+    monkeypatch.setattr(near_dup, "COMPARED", 4)
+    texts = [f"{t} tied here" for seed, length in enumerate((20, 30, 45, 80, 81, 100)) for t in near_copies(14, length, 14, seed)]
+    check_groups(spark.createDataFrame(list(enumerate([*texts, *texts[:9]])), "doc_id long, text string").repartition(4), 2, 80)
+
+
 def test_contraction_in_small_pieces(spark, monkeypatch):
     r = random.Random(4)
     edges = [(r.randrange(400), r.randrange(400)) for _ in range(330)] + [(None, 3), (1000, 1000)]
