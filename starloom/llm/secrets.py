@@ -156,6 +156,12 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     return pieces.select("doc", "t", "base", F.array_sort(F.concat("base", rich)).alias("spans"))
 
 
+def counted(spans: str, kind: str) -> Column:
+    """How many of the spans are of a kind."""
+    # One parameter only: a second one of the function would be given the place of the span.
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+
+
 def listed(spans: str) -> Column:
     """Spans as text, kind:start:end, comma-joined."""
     kinds = F.array(*[F.lit(k) for k in KINDS])
