@@ -20,7 +20,7 @@ from starloom.llm.common import written
 SHARD_ROWS = 8192
 QUERY_ROWS = 2048
 LEAF = 128
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query long, vec_id long, score long"
 
 
 class Tree:
@@ -47,7 +47,11 @@ class Tree:
         return node
 
     def search(self, query: np.ndarray, ids: np.ndarray, own: int, k: int, least: int | None) -> list[tuple[int, int]]:
-        """The k best (score, id) of the tree, own id left out, ties to the smaller id; none below `least`."""
+        """The k best (score, id) of the tree, ties to the smaller id; none below `least`.
+
+        One row is left out, the query's own: it has the id `own` and the vector of the query.
+        """
+        mine = [r for r in np.flatnonzero(ids == own) if (self.vectors[r] == query).all()][:1]
         bounds = np.maximum(self.low * query, self.high * query).sum(axis=1)
         heap, best = [(-bounds[0], 0)], []
         while heap:
@@ -64,10 +68,9 @@ class Tree:
             if kth is not None:
                 near = scores >= kth
                 rows, scores = rows[near], scores[near]
-            best += [(int(s), int(i)) for s, i in zip(scores, ids[rows], strict=True) if i != own]
-            if len(best) > k:
-                best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return sorted(best, key=lambda x: (-x[0], x[1]))[:k]
+            best += [(int(s), int(i)) for s, i, r in zip(scores, ids[rows], rows, strict=True) if r not in mine]
+            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
+        return best
 
 
 def _matrix(column: pd.Series, exact_limit: float = 2.0**53) -> np.ndarray:
@@ -80,14 +83,14 @@ def _matrix(column: pd.Series, exact_limit: float = 2.0**53) -> np.ndarray:
 def _searcher(k: int):
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({"query": [], "vec_id": [], "score": []}).astype("int64")
         both = _matrix(pd.concat([left["vector"], right["vector"]]))
         tree, queries = Tree(both[: len(left)]), both[len(left) :]
         ids, out = left["vec_id"].to_numpy(), []
-        for query, own, least in zip(queries, right["query_id"], right["least"], strict=True):
+        for query, number, own, least in zip(queries, right["query"], right["query_id"], right["least"], strict=True):
             bound = None if pd.isna(least) else int(least)
-            out += [(own, i, s) for s, i in tree.search(query, ids, own, k, bound)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+            out += [(number, i, s) for s, i in tree.search(query, ids, own, k, bound)]
+        return pd.DataFrame(out, columns=["query", "vec_id", "score"]).astype("int64")
 
     return search
 
@@ -106,24 +109,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Both tables are (vec_id, vector) as from `scaled`. Ties go to the smaller vec_id. A query meets vectors of its own
     length only. Null vectors and ids take no part; repeated vec_ids are answers each; fewer candidates than k are all
-    given; empty tables give no rows. Every query sees every shard: queries go in blocks, and what is shuffled is a
-    block of queries per shard and a shard per block.
+    given; empty tables give no rows. A query's own row is one row with its id and vector: other rows with that id are
+    candidates, and a query asked twice is answered twice. Every query sees every shard: queries go in blocks, and what
+    is shuffled is a block of queries per shard and a shard per block.
     """
     base = written(vectors.select("vec_id", "vector", F.size("vector").alias("dim")), "vectors")
-    asked = written(queries.select(F.col("vec_id").alias("query_id"), "vector", F.size("vector").alias("dim")).dropDuplicates(["query_id", "dim", "vector"]), "queries")
+    distinct = queries.groupBy(F.col("vec_id").alias("query_id"), "vector").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    asked = written(distinct.select("*", F.size("vector").alias("dim"), F.monotonically_increasing_id().alias("query")), "queries")
     shards, blocks = max(1, math.ceil(base.count() / SHARD_ROWS)), max(1, math.ceil(asked.count() / QUERY_ROWS))
     home, search = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"), _searcher(k)
     dealt = base.withColumn("shard", home)
     query_home = F.pmod(F.xxhash64("query_id"), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64(F.lit("block"), "query_id"), F.lit(blocks)).cast("int")
     placed = asked.withColumn("home", query_home).withColumn("block", block)
-    keys = ["dim", "shard"]
-    own = placed.select("dim", F.col("home").alias("shard"), "query_id", "vector", F.lit(None).cast("long").alias("least"))
+    keys, sent = ["dim", "shard"], ["query", "query_id", "vector"]
+    own = placed.select("dim", F.col("home").alias("shard"), *sent, F.lit(None).cast("long").alias("least"))
     first = written(dealt.groupBy(*keys).cogroup(own.groupBy(*keys)).applyInPandas(search, FOUND), "first")
-    known = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("low")).filter(F.col("n") >= k).select("query_id", F.col("low").alias("least"))
-    away = placed.join(known, "query_id", "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter("shard <> home")
+    known = first.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("low")).filter(F.col("n") >= k).select("query", F.col("low").alias("least"))
+    away = placed.join(known, "query", "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter("shard <> home")
     every = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ["dim", "shard", "block"]
-    rest = every.groupBy(*keys).cogroup(away.select(*keys, "query_id", "vector", "least").groupBy(*keys)).applyInPandas(search, FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return first.union(rest).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    rest = every.groupBy(*keys).cogroup(away.select(*keys, *sent, "least").groupBy(*keys)).applyInPandas(search, FOUND)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    ranked = first.union(rest).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    answers = ranked.join(asked.select("query", "query_id", "copies"), "query").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return answers.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -52,6 +52,36 @@ def test_odd_vectors(spark, monkeypatch):
     assert vector_search.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_search_with_exactly_k_found_so_far():
+    """Leaves whose good rows add up to k must not end the search by a score that is not the k-th."""
+    leaf = vector_search.LEAF
+    v = np.concatenate([np.full(leaf, -9.0), [100.0, 1.0, 2.0], np.full(leaf - 3, 0.0), [50.0, 40.0], np.full(leaf - 2, 0.0)])[:, None]
+    for k in (2, 3, 4, 5):
+        whole = vector_search.Tree(v).search(np.array([1.0]), np.arange(len(v)), -1, k, 1)
+        assert whole == sorted(((int(s), i) for i, s in enumerate(v[:, 0])), key=lambda x: (-x[0], x[1]))[:k]
+    r = np.random.default_rng(4)
+    for _ in range(200):
+        v = r.normal(0, 40, (3 * leaf, 2)).round()
+        q = r.normal(0, 40, 2).round()
+        scores = v @ q
+        want = sorted(((int(s), i) for i, s in enumerate(scores)), key=lambda x: (-x[0], x[1]))[:10]
+        assert vector_search.Tree(v).search(q, np.arange(len(v)), -1, 10, want[-1][0]) == want
+
+
+def test_repeated_rows_are_queries_and_candidates_each(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "SHARD_ROWS", 8)
+    r = np.random.default_rng(3)
+    rows = [(i % 30 * 20, [float(x) for x in r.integers(-3, 3, 2)]) for i in range(60)]
+    rows += [rows[0], rows[0], rows[5], rows[7]]
+    vectors = vector_search.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    want = []
+    for a, (q, v) in enumerate(rows):
+        if q % 100 == 0:
+            scores = sorted((-sum(int(1024 * x) * int(1024 * y) for x, y in zip(v, w)), i) for b, (i, w) in enumerate(rows) if b != a)
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:10], 1)]
+    assert found(vectors) == sorted(want)
+
+
 def test_trees_prune(monkeypatch):
     monkeypatch.setattr(vector_search, "LEAF", 8)
     r = np.random.default_rng(2)
