@@ -114,29 +114,25 @@ def mv_monthly_transaction_summary(
 ) -> DataFrame:
     """Counts and sums by month, segment and category.
 
-    The fact is first summed per (month, customer version, category), which is all that is shuffled
-    and joined; a busy customer shrinks to one row per month and category before it. At that grain
-    each customer version occurs once per output group and category, so the distinct count is a plain
-    count. Year and month come from the date key without a calendar join.
+    The fact is first summed per (month, customer version, category name), which is all that is shuffled
+    and joined; a busy customer shrinks to one row per month and category before it. At that grain each
+    customer version occurs once per output group, so the distinct count is a plain count. The few
+    categories are named before that sum, so rows need not meet again by name after the customer join.
+    Year and month come from the date key without a calendar join.
     """
     fraud = F.col("is_fraud")
-    partial = fact.groupBy(
-        calendar.month_key(F.col("date_key")).alias("_month"), "customer_key", "merchant_category_key"
+    category = categories.select(
+        "merchant_category_key", F.col("category_name").alias("merchant_category")
+    )
+    partial = fact.join(category, "merchant_category_key").groupBy(
+        calendar.month_key(F.col("date_key")).alias("_month"), "customer_key", "merchant_category"
     ).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("amount").alias("total"),
         F.count(F.when(fraud, 1)).alias("fraud_n"),
         F.sum(F.when(fraud, F.col("amount"))).alias("fraud_total"),
     )
-    category = categories.select(
-        "merchant_category_key", F.col("category_name").alias("merchant_category")
-    )
-    named = partial.join(customers.select("customer_key", "segment"), "customer_key").join(
-        category, "merchant_category_key"
-    )
-    per_version = named.groupBy("_month", "segment", "merchant_category", "customer_key").agg(
-        *[F.sum(c).alias(c) for c in ("n", "total", "fraud_n", "fraud_total")]
-    )
+    per_version = partial.join(customers.select("customer_key", "segment"), "customer_key")
     return (
         per_version.groupBy("_month", "segment", "merchant_category")
         .agg(
