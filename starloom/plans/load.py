@@ -13,7 +13,7 @@ from starloom.functions import calendar
 from starloom.operators import dimensions, facts, history, quality
 from starloom.operators.dedup import first_per_key
 from starloom.plans import analytics, views
-from starloom.session import use_utc
+from starloom.session import bound_tasks, use_utc
 from starloom.sources import ids
 from starloom.sources.staged import read_staged
 from starloom.sources.store import Store
@@ -37,6 +37,7 @@ def load_warehouse(
     added as ``constraint_violations``. Days and hours are those of UTC whatever the session's zone.
     """
     use_utc(spark)
+    bound_tasks(spark)
     report: list[tuple[str, int]] = []
     with store.load():
         _load(spark, store, source_dir, effective_date, initial, load_id, calendar_range, report)
@@ -156,6 +157,7 @@ def fact_constraints(store: Store, table: str, rows: DataFrame) -> DataFrame:
 def append_transactions(store: Store, batch: DataFrame, load_id: int | None = None) -> int:
     """Append the batch's new transactions to the published fact, with its accounting; returns how many."""
     use_utc(store.spark)
+    bound_tasks(store.spark)
     with store.load():
         return write_transactions(store, batch, load_id)
 

@@ -17,7 +17,7 @@ from starloom.functions import attributes
 from starloom.functions.keys import UNKNOWN_KEY
 from starloom.operators import dimensions, facts, history, quality
 from starloom.plans import analytics, load, views
-from starloom.session import use_utc
+from starloom.session import bound_tasks, use_utc
 from starloom.sources import sample
 from starloom.sources.store import Store
 
@@ -31,6 +31,7 @@ BALANCES_END = date(2024, 2, 10)
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         use_utc(spark)
+        bound_tasks(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from starloom import session
 from starloom.plans import analytics
 from starloom.plans.queries import QUERIES
 from starloom.sources import sample
@@ -75,6 +76,13 @@ def test_measures_are_summed_before_the_customer_join(spark, no_broadcast):
     assert "HashAggregate" in fact_side[fact_side.rindex("SortMergeJoin") :]
 
 
+def test_summary_meets_by_customer_once(spark, no_broadcast):
+    """Rows summed by customer version and category name are not shuffled by customer and name again."""
+    plan = plan_of(QUERIES["mv_monthly_transaction_summary"](spark, SF_DIR))
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert [line for line in exchanges if "merchant_category#" in line and "customer_key#" in line and "segment#" in line] == []
+
+
 def test_point_in_time_join_is_an_equi_join_with_a_range_condition(spark, no_broadcast):
     plan = plan_of(QUERIES["point_in_time_join"](spark, SF_DIR))
     join = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
@@ -89,3 +97,29 @@ def test_windows_of_hot_accounts_read_the_fact_few_times(spark, no_broadcast, tm
     assert points.count() > 10
     plan = plan_of(getattr(analytics, name)(star.fact, star.accounts, points=points))
     assert sum("FileScan" in line and "load=" in line for line in plan.splitlines()) == scans
+
+
+def test_tasks_are_bounded_and_smaller_settings_stay(spark):
+    sizes = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {k: spark.conf.get(k, None) for k in (*sizes, initial, "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set(sizes[0], "64MB")
+        spark.conf.set(sizes[1], "1m")
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        spark.conf.unset(initial)
+        QUERIES["dpd_bucket"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(sizes[0]) == f"{session.TASK_BYTES}b"
+        assert spark.conf.get(sizes[1]) == "1m"
+        assert spark.conf.get(initial) == str(session.SHUFFLE_PARTITIONS)
+        spark.conf.set(initial, "7")
+        session.bound_tasks(spark)
+        assert spark.conf.get(initial) == "7"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(("size", "number"), [("64MB", 64 << 20), ("16m", 16 << 20), ("134217728b", 128 << 20), ("1024", 1024), ("2g", 2 << 30)])
+def test_sizes_are_read_as_spark_writes_them(size, number):
+    assert session._bytes(size) == number
