@@ -117,14 +117,15 @@ def mv_monthly_transaction_summary(
     The fact is first summed per (month, customer version, category name), which is all that is shuffled
     and joined; a busy customer shrinks to one row per month and category before it. At that grain each
     customer version occurs once per output group, so the distinct count is a plain count. The few
-    categories are named before that sum, so rows need not meet again by name after the customer join.
+    categories are named before that sum, so rows need not meet again by name after the customer join;
+    their names are broadcast by a hint, as a shuffle by category would gather the fact in a few tasks.
     Year and month come from the date key without a calendar join.
     """
     fraud = F.col("is_fraud")
     category = categories.select(
         "merchant_category_key", F.col("category_name").alias("merchant_category")
     )
-    partial = fact.join(category, "merchant_category_key").groupBy(
+    partial = fact.join(F.broadcast(category), "merchant_category_key").groupBy(
         calendar.month_key(F.col("date_key")).alias("_month"), "customer_key", "merchant_category"
     ).agg(
         F.count(F.lit(1)).alias("n"),
