@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -145,21 +145,35 @@ def constraint_violations(
 ) -> DataFrame:
     """table_name, constraint_name, columns, keys, rows: what breaks the rule, by constraint; empty means all hold.
 
-    One scan: each row counts for its grain, its keys and its empty columns, combined map-side by value. Only values that
-    occur meet the dimensions; ``references`` maps a key to (dimension, column). An empty key breaks NOT NULL, neither
-    the reference nor the grain. ``keys`` are the distinct values that break a constraint, ``rows`` the rows that have them.
+    One scan: rows are counted by their grain, by each key and by which of their columns are empty, as grouping sets that are
+    combined map-side by typed values. Only values that occur meet the dimensions; ``references`` maps a key to (dimension,
+    column). An empty key breaks NOT NULL, neither the reference nor the grain. ``keys`` are the distinct values that break
+    a constraint, ``rows`` the rows that have them.
     """
-    text = {c: F.col(c).cast("string") for c in {*rule.grain, *rule.foreign_keys}}
-    grain = F.concat_ws("|", *[text[c] for c in rule.grain])
+    empty = reduce(lambda x, y: x + y, [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(rule.not_null)])
+    by = [*dict.fromkeys([*rule.grain, *rule.foreign_keys]), "_empty"]
+    sets = {frozenset(s) for s in [rule.grain, *[[c] for c in rule.foreign_keys], ["_empty"]]}
+
+    def in_set(*columns: str) -> Column:
+        """Whether a count belongs to the set of these columns: the grouping id has a bit for each other column."""
+        return F.col("_set") == sum(1 << i for i, c in enumerate(reversed(by)) if c not in columns)
+
+    rows = fact.withColumn("_empty", empty).select(*by)
+    used = rows.groupingSets([[F.col(c) for c in by if c in s] for s in sets], *by)
+    used = used.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("rows"))
+    if rule.grain not in {(c,) for c in rule.foreign_keys}:
+        # Values of a grain that occur once are gone before anything is made of them.
+        used = used.where(~in_set(*rule.grain) | (F.col("rows") > 1))
+    text = {c: F.col(c).cast("string") for c in by}
     whole = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in rule.grain])
     entry = lambda name, columns, key: F.struct(
-        F.lit(name).alias("constraint_name"), F.lit(columns).alias("columns"), key.alias("key")
+        F.lit(name).alias("constraint_name"), F.lit(columns).alias("columns"), key.alias("key"), F.col("rows")
     )
-    entries = [F.when(whole, entry("unique", ",".join(rule.grain), grain))]
-    entries += [F.when(F.col(c).isNotNull(), entry("foreign key", c, text[c])) for c in rule.foreign_keys]
-    entries += [F.when(F.col(c).isNull(), entry("not null", c, F.lit(None).cast("string"))) for c in rule.not_null]
-    used = fact.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("constraint_name", "columns", "key")
-    used = used.agg(F.count(F.lit(1)).alias("rows"))
+    entries = [F.when(in_set(*rule.grain) & whole & (F.col("rows") > 1), entry("unique", ",".join(rule.grain), F.concat_ws("|", *[text[c] for c in rule.grain])))]
+    entries += [F.when(in_set(c) & F.col(c).isNotNull(), entry("foreign key", c, text[c])) for c in rule.foreign_keys]
+    missing = [in_set("_empty") & (F.col("_empty").bitwiseAND(F.lit(1 << i)) != 0) for i in range(len(rule.not_null))]
+    entries += [F.when(m, entry("not null", c, F.lit(None).cast("string"))) for m, c in zip(missing, rule.not_null)]
+    suspects = used.select(F.inline(F.array_compact(F.array(*entries))))
     held = reduce(
         DataFrame.unionByName,
         [
@@ -167,11 +181,12 @@ def constraint_violations(
             for c, (dim, column) in references.items()
         ],
     )
-    # Keys of a dimension are joined once; values of a grain that occur once are gone before the join.
-    suspects = used.where((F.col("constraint_name") != "unique") | (F.col("rows") > 1))
+    # Keys of a dimension are joined once.
     broken = suspects.join(held, ["constraint_name", "columns", "key"], "left_anti")
+    # Empty columns were counted together with what else was empty in the row; they are one key.
+    keys = F.when(F.col("constraint_name") == "not null", F.lit(1).cast("bigint")).otherwise(F.count(F.lit(1)))
     return broken.groupBy(F.lit(table).alias("table_name"), "constraint_name", "columns").agg(
-        F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")
+        keys.alias("keys"), F.sum("rows").alias("rows")
     )
 
 

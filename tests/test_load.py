@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.operators import dimensions, facts, history
+from starloom.operators import dimensions, facts, history, quality
 from starloom.plans import load, views
 from starloom.sources import ids
 from starloom.sources.staged import read_staged
@@ -270,6 +270,23 @@ def test_a_load_checks_what_it_adds(spark, store, staged):
     assert store.read("fact_transactions").count() == 9
 
 
+def test_constraints_count_typed_values_in_one_scan(spark):
+    """Two values of a grain that read alike are not one; a key that is the whole grain breaks both constraints."""
+    rows = [("x|y", "z", 1), ("x", "y|z", 1), ("p", "q", 7), ("p", "q", 7), (None, "q", None), (None, None, None)]
+    fact = spark.createDataFrame(rows, "a string, b string, k long")
+    known = {"k": (spark.createDataFrame([(1,)], "k long"), "k")}
+
+    def broken(grain):
+        found = quality.constraint_violations(fact, "f", quality.FactRule(("a", "b", "k"), grain, ("k",)), known)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Expand") == 1 and "Generate" not in plan[plan.index("Expand") :]
+        return {(r.constraint_name, r.columns, r["keys"], r.rows) for r in found.collect()}
+
+    rest = {("foreign key", "k", 1, 2), ("not null", "a", 1, 2), ("not null", "b", 1, 1), ("not null", "k", 1, 2)}
+    assert broken(("a", "b")) == {("unique", "a,b", 1, 2), *rest}
+    assert broken(("k",)) == {("unique", "k", 2, 4), *rest}
+
+
 def test_loads_do_not_nest(spark, store):
     with pytest.raises(RuntimeError, match="already running"), store.load():
         store.write_snapshot("a", spark.range(3))
