@@ -1,3 +1,5 @@
+import collections
+import itertools
 import random
 
 import pandas as pd
@@ -71,6 +73,25 @@ def test_a_copy_takes_no_other_text_of_its_id_along(spark):
     assert left == sorted([(1, copy), (None, one), (None, two), (None, None), (5, three), (5, three), (5, None), (7, "")], key=str)
 
 
+def test_candidates_of_short_lists(spark):
+    """All pairs of three shared lists hang together, without a row for each pair of lists with the same members."""
+    rng = random.Random(5)
+    same = [(v, range(100, 116)) for v in range(3)]
+    mixed = [(10 + v, rng.sample(range(40), rng.randint(2, 6))) for v in range(60)]
+    mixed += [(100 + i, m) for i, (_, m) in enumerate(mixed[:20])] + [(200 + i, m) for i, (_, m) in enumerate(mixed[:10])]
+    lists = same + mixed
+
+    def edges(chosen):
+        rows = [(v, len(m), n) for v, m in chosen for n in m]
+        return near_dup._candidates(spark.createDataFrame(rows, "value long, rows long, node long"), 80)
+
+    assert edges(same).count() == 15
+    shared = collections.Counter(p for _, m in lists for p in itertools.combinations(sorted(m), 2))
+    want = cc.components(spark.createDataFrame([p for p, n in shared.items() if n >= 3], "a long, b long"))
+    got = cc.components(edges(lists))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_components_by_stars(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100), (7, 7)] + [(200, 200 + i) for i in range(1, 50)]
     rows = cc.components(spark.createDataFrame(path, "a long, b long")).collect()
