@@ -92,6 +92,32 @@ def test_candidates_of_short_lists(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_lists_make_no_pairs_of_sizes_too_far_apart(spark):
+    """Nodes that share enough lists are tied where their sizes allow it, and only there; handles tell the sizes."""
+    sizes = [*range(1, 200), 1000, 1249, 1250, 10**6, 10**7]
+    named = spark.createDataFrame([(n, str(n).encode()) for n in sizes], "n_shingles long, node binary")
+    handle = {r["n_shingles"]: r["handle"] for r in named.select("n_shingles", near_dup._handle(80).alias("handle")).collect()}
+    lists = [(v, [handle[80], handle[100], handle[1000], handle[1 + v]]) for v in range(4)]
+    rows = [(v, len(m), n) for v, m in lists for n in m]
+    got = near_dup._candidates(spark.createDataFrame(rows, "value long, rows long, node long"), 80, sized=True)
+    assert {frozenset(r) for r in got.collect()} == {frozenset((handle[80], handle[100]))}
+    similar = [p for p in itertools.combinations(sizes, 2) if 100 * p[0] >= 80 * p[1]]
+    # Other members of a pair's lists keep these from being lists of the same members.
+    rows = [(10 * i + v, 3, n) for i, (x, y) in enumerate(similar) for v in range(3) for n in (handle[x], handle[y], -4096 * (10 * i + v + 1))]
+    got = near_dup._candidates(spark.createDataFrame(rows, "value long, rows long, node long"), 80, sized=True)
+    assert {frozenset(r) for r in got.collect()} == {frozenset((handle[x], handle[y])) for x, y in similar}
+    assert all(c == 0 for (c,) in named.select(near_dup._handle(100).bitwiseAND((1 << near_dup.SIZE_BITS) - 1)).collect())
+
+
+def test_edges_below_a_piece_take_one_turn(spark, monkeypatch):
+    """A long path dealt over many partitions is done in one more table, not in turns that each run over all of them."""
+    made = []
+    monkeypatch.setattr(cc, "written", lambda df, name, f=cc.written: made.append(name) or f(df, name))
+    path = spark.createDataFrame([(i * 7919 % 3001, (i + 1) * 7919 % 3001) for i in range(3000)], "a long, b long").repartition(16)
+    assert {(r["node"], r["component"]) for r in cc.components(path).collect()} == {(i, 0) for i in range(3001)}
+    assert len(made) == 2
+
+
 def test_components_by_stars(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100), (7, 7)] + [(200, 200 + i) for i in range(1, 50)]
     rows = cc.components(spark.createDataFrame(path, "a long, b long")).collect()
