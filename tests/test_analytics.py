@@ -198,6 +198,17 @@ def test_third_highest_keeps_ties(spark, accounts):
     assert analytics.third_highest_amount(fact, accounts, limit=None).count() == 3
 
 
+def test_third_highest_reads_the_fact_once(spark, accounts, tmp_path, monkeypatch):
+    """All ties come back, in pieces; amounts of NULL have a rank but no row."""
+    monkeypatch.setattr(analytics, "TIES", 4, raising=False)
+    rows = [(1, 1, day(1), m, False) for m in (9, 8, 8, *[7] * 13, 6)] + [(2, 1, day(1), m, False) for m in (5, 4, 3)]
+    fact = make_fact(spark, rows).withColumn("amount", F.when(F.col("amount") != 3, F.col("amount")))
+    fact.write.parquet(str(tmp_path / "fact"))
+    answer = analytics.third_highest_amount(spark.read.parquet(str(tmp_path / "fact")), accounts)
+    assert [(r.account_id, r.amount, r.dense_rank) for r in answer.collect()] == [("A", D(7), 3)] * 13
+    assert answer._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
 def test_accounts_without_fraud(t, accounts):
     rows = analytics.accounts_without_fraud(t, accounts).collect()
     assert [r.account_id for r in rows] == ["B", "C"]
