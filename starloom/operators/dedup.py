@@ -32,14 +32,14 @@ def insert_if_absent(existing: DataFrame, rows: DataFrame, key: str) -> DataFram
 def refuse_duplicates(df: DataFrame, key: str, what: str) -> DataFrame:
     """Fail the job on a second row of a key, a missing key, or the reserved unknown id.
 
-    The check rides on the key column itself, so it runs wherever the key is used. It streams (no
-    group is buffered) and its sort is the one the following join on the key needs anyway.
+    The check filters nothing out: it streams (no group is buffered) and leaves the key column as it is, so its shuffle
+    and sort are the ones the following join on the key needs anyway.
     """
     second = F.row_number().over(W.partitionBy(key).orderBy(key)) > 1
     checked = F.expr(
-        f"""CASE WHEN {key} IS NULL THEN CAST(raise_error('missing {key} in {what}') AS STRING)
-                 WHEN _second THEN CAST(raise_error(concat('duplicate {key} in {what}: ', {key})) AS STRING)
-                 WHEN {key} = '-1' THEN CAST(raise_error('reserved {key} in {what}') AS STRING)
-                 ELSE {key} END"""
+        f"""CASE WHEN {key} IS NULL THEN CAST(raise_error('missing {key} in {what}') AS BOOLEAN)
+                 WHEN _second THEN CAST(raise_error(concat('duplicate {key} in {what}: ', {key})) AS BOOLEAN)
+                 WHEN {key} = '-1' THEN CAST(raise_error('reserved {key} in {what}') AS BOOLEAN)
+                 ELSE true END"""
     )
-    return df.withColumn("_second", second).withColumn(key, checked).drop("_second")
+    return df.withColumn("_second", second).where(checked).drop("_second")

@@ -141,18 +141,24 @@ FACT_RULES = {
 
 
 def constraint_violations(
-    fact: DataFrame, table: str, rule: FactRule, references: dict[str, tuple[DataFrame, str]]
+    fact: DataFrame,
+    table: str,
+    rule: FactRule,
+    references: dict[str, tuple[DataFrame, str]],
+    grain: DataFrame | None = None,
 ) -> DataFrame:
     """table_name, constraint_name, columns, keys, rows: what breaks the rule, by constraint; empty means all hold.
 
     One scan: rows are counted by their grain, by each key and by which of their columns are empty, as grouping sets that are
     combined map-side by typed values. Only values that occur meet the dimensions; ``references`` maps a key to (dimension,
     column). An empty key breaks NOT NULL, neither the reference nor the grain. ``keys`` are the distinct values that break
-    a constraint, ``rows`` the rows that have them.
+    a constraint, ``rows`` the rows that have them. ``grain`` may hold the grain of the same rows in a layout that groups
+    without a shuffle; it is counted there then, not in the fact.
     """
     empty = reduce(lambda x, y: x + y, [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(rule.not_null)])
-    by = [*dict.fromkeys([*rule.grain, *rule.foreign_keys]), "_empty"]
-    sets = {frozenset(s) for s in [rule.grain, *[[c] for c in rule.foreign_keys], ["_empty"]]}
+    counted = rule.grain if grain is None else ()
+    by = [*dict.fromkeys([*counted, *rule.foreign_keys]), "_empty"]
+    sets = {frozenset(s) for s in [counted, *[[c] for c in rule.foreign_keys], ["_empty"]] if s}
 
     def in_set(*columns: str) -> Column:
         """Whether a count belongs to the set of these columns: the grouping id has a bit for each other column."""
@@ -161,19 +167,23 @@ def constraint_violations(
     rows = fact.withColumn("_empty", empty).select(*by)
     used = rows.groupingSets([[F.col(c) for c in by if c in s] for s in sets], *by)
     used = used.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("rows"))
-    if rule.grain not in {(c,) for c in rule.foreign_keys}:
+    if counted and rule.grain not in {(c,) for c in rule.foreign_keys}:
         # Values of a grain that occur once are gone before anything is made of them.
         used = used.where(~in_set(*rule.grain) | (F.col("rows") > 1))
-    text = {c: F.col(c).cast("string") for c in by}
+    text = {c: F.col(c).cast("string") for c in [*by, *rule.grain]}
     whole = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in rule.grain])
     entry = lambda name, columns, key: F.struct(
         F.lit(name).alias("constraint_name"), F.lit(columns).alias("columns"), key.alias("key"), F.col("rows")
     )
-    entries = [F.when(in_set(*rule.grain) & whole & (F.col("rows") > 1), entry("unique", ",".join(rule.grain), F.concat_ws("|", *[text[c] for c in rule.grain])))]
+    twice = entry("unique", ",".join(rule.grain), F.concat_ws("|", *[text[c] for c in rule.grain]))
+    entries = [F.when(in_set(*rule.grain) & whole & (F.col("rows") > 1), twice)] if counted else []
     entries += [F.when(in_set(c) & F.col(c).isNotNull(), entry("foreign key", c, text[c])) for c in rule.foreign_keys]
     missing = [in_set("_empty") & (F.col("_empty").bitwiseAND(F.lit(1 << i)) != 0) for i in range(len(rule.not_null))]
     entries += [F.when(m, entry("not null", c, F.lit(None).cast("string"))) for m, c in zip(missing, rule.not_null)]
     suspects = used.select(F.inline(F.array_compact(F.array(*entries))))
+    if grain is not None:
+        values = grain.groupBy(*rule.grain).agg(F.count(F.lit(1)).alias("rows")).where(whole & (F.col("rows") > 1))
+        suspects = suspects.unionByName(values.select(F.inline(F.array(twice))))
     held = reduce(
         DataFrame.unionByName,
         [

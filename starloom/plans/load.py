@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.functions import calendar
+from starloom.functions.keys import hash_key
 from starloom.operators import dimensions, facts, history, quality
 from starloom.operators.dedup import first_per_key
 from starloom.plans import analytics, views
@@ -106,16 +107,20 @@ def write_transactions(store: Store, batch: DataFrame, load_id: int | None = Non
     rows = F.count(F.lit(1))
     staged = Watched(batch, staged=rows, **{f"no_{c}": F.count_if(F.col(c).isNull()) for c in REQUIRED})
     inside = Watched(facts.in_calendar(staged.rows, store.read("dim_date")), rows=rows)
-    single = Watched(first_per_key(inside.rows, ["transaction_id"], facts.TRANSACTION_ORDER), rows=rows)
-    new = single.rows
+    span, moved, by_id = None, True, inside.rows
     if ids.id_folders(store, "fact_transactions"):
-        span = batch.agg(F.min("transaction_id"), F.max("transaction_id")).first()
-        new = ids.without_known(store, "fact_transactions", new, "transaction_id", span if span[0] is not None else None)
+        first, last, named = batch.agg(*[f("transaction_id") for f in (F.min, F.max, F.count)]).first()
+        span = (first, last) if named else None
+        moved = ids.few_known(store, "fact_transactions", span, named)
+        if not moved:
+            by_id = ids.dealt(store, "fact_transactions", by_id, "transaction_id", span)
+    single = Watched(first_per_key(by_id, ["transaction_id"], facts.TRANSACTION_ORDER), rows=rows)
+    new = ids.without_known(store, "fact_transactions", single.rows, "transaction_id", span, moved)
     keyed = facts.keyed_transactions(
         new, store.read("dim_account"), store.read("dim_customer"), store.read("dim_merchant_category"), load_id
     )
     before = max((e["version"] for e in store.loads("fact_transactions")), default=0)
-    inserted = store.write_load("fact_transactions", keyed, load_id)
+    inserted = store.write_load("fact_transactions", keyed, load_id, {"transaction_key": hash_key("transaction_id")})
     found = staged.figures()
     missing = {c: found[f"no_{c}"] for c in REQUIRED if found[f"no_{c}"]}
     if missing:
@@ -133,15 +138,18 @@ def write_transactions(store: Store, batch: DataFrame, load_id: int | None = Non
     store.write_rows("load_history", accounting.select(F.lit(load_id).cast("bigint").alias("load_id"), "outcome", "rows"), load_id)
     if inserted:
         added = store.read_loads("fact_transactions", before)
-        ids.write_ids(store, "fact_transactions", added.select("transaction_id"), inserted)
+        grain = ids.write_ids(store, "fact_transactions", added.select("transaction_id"), inserted)
         ids.merge_folders(store, "fact_transactions")
-        violations = fact_constraints(store, "fact_transactions", added)
+        violations = fact_constraints(store, "fact_transactions", added, grain)
         store.write_rows("constraint_violations", violations.withColumn("load_id", F.lit(load_id).cast("bigint")), load_id)
     return inserted
 
 
-def fact_constraints(store: Store, table: str, rows: DataFrame) -> DataFrame:
-    """Violations among rows of a published fact, of every constraint the fact is declared with; one scan."""
+def fact_constraints(store: Store, table: str, rows: DataFrame, grain: DataFrame | None = None) -> DataFrame:
+    """Violations among rows of a published fact, of every constraint the fact is declared with; one scan.
+
+    ``grain`` may hold the grain of the same rows, laid out by it.
+    """
     held = {
         "date_key": ("dim_date", "date_key"),
         "account_key": ("dim_account", "account_key"),
@@ -151,7 +159,7 @@ def fact_constraints(store: Store, table: str, rows: DataFrame) -> DataFrame:
     }
     rule = quality.FACT_RULES[table]
     references = {c: (store.read(held[c][0]), held[c][1]) for c in rule.foreign_keys}
-    return quality.constraint_violations(rows, table, rule, references)
+    return quality.constraint_violations(rows, table, rule, references, grain)
 
 
 def append_transactions(store: Store, batch: DataFrame, load_id: int | None = None) -> int:

@@ -139,10 +139,13 @@ class Store:
         self.note(table, "snapshot", version, folder, found["rows"])
         return found["rows"]
 
-    def write_load(self, table: str, df: DataFrame, load_id: int | None = None) -> int:
-        """Write one load of a fact stored by month, to be added at the commit."""
+    def write_load(self, table: str, df: DataFrame, load_id: int | None = None, late: dict[str, Column] | None = None) -> int:
+        """Write one load of a fact stored by month, to be added at the commit.
+
+        Columns named in ``late`` are made from the others once the rows lie by month, so they are not shuffled.
+        """
         monthly = df.withColumn("month_key", calendar.month_key(F.col("date_key")))
-        version, folder, found = self._write_by_month(table, monthly, "month_key")
+        version, folder, found = self._write_by_month(table, monthly, "month_key", late)
         self.note(table, "load", version, folder, found["rows"], load_id, _listed(found["months"]))
         return found["rows"]
 
@@ -226,13 +229,15 @@ class Store:
         watched.write.partitionBy(*partitions).parquet(f"{self.root}/{folder}")
         return version, folder, counted.get
 
-    def _write_by_month(self, table: str, df: DataFrame, month: str) -> tuple[int, str, dict]:
+    def _write_by_month(self, table: str, df: DataFrame, month: str, late: dict[str, Column] | None = None) -> tuple[int, str, dict]:
         """The rebalance hint gives each month its own files and splits a month too big for one task.
 
         Sorting within files keeps their statistics narrow, so day ranges skip row groups.
         """
         order = [month, *[c for c in ("date_key",) if c in df.columns]]
-        monthly = df.hint("rebalance", month).sortWithinPartitions(*order)
+        late = late or {}
+        monthly = df.drop(*late).hint("rebalance", month).sortWithinPartitions(*order)
+        monthly = monthly.withColumns(late).select(*df.columns) if late else monthly
         return self._write(table, "load=", monthly, [month], {"months": F.collect_set(month)})
 
     def note(self, table, kind, version, folder, rows, load_id=None, part=None) -> None:

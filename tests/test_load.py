@@ -1,5 +1,6 @@
 """The load from staged Parquet, its repetition, the summary refresh and the stream."""
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.functions.keys import hash_key
 from starloom.operators import dimensions, facts, history, quality
 from starloom.plans import load, views
 from starloom.sources import ids
@@ -396,3 +398,67 @@ def test_every_staged_transaction_is_accounted_for(spark, store, staged, tmp_pat
     assert found == {"staged": 12, "out_of_calendar": 1, "duplicate": 1, "loaded_before": 9, "inserted": 1}
     total = store.read("fact_transactions").count()
     assert total == 10
+
+
+def test_a_load_moves_few_ids_to_the_batch_and_each_row_once_by_id(spark, store, staged, monkeypatch):
+    """Ids known before are few beside the batch: they are shuffled, the batch is not dealt a second time; else it is dealt once."""
+    load.load_warehouse(spark, store, staged, date(2024, 1, 1), initial=True)
+    plans, write = [], Store.write_load
+
+    def watched(self, table, df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, table, df, *more)
+
+    monkeypatch.setattr(Store, "write_load", watched)
+    names = [*[f"u{n}" for n in range(40)], "u3", "t1"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert load.append_transactions(store, transactions(spark, names), 2) == 40
+        monkeypatch.setattr(ids, "MOVED_IDS", 0)
+        assert load.append_transactions(store, transactions(spark, [*names, "v1", "v1"]), 3) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_id = [re.findall(r"Exchange hashpartitioning\((transaction_id|_known)#\d+, (\d+)\)", p) for p in plans]
+    assert [sorted(c for c, _ in found) for found in by_id] == [["_known", "transaction_id"], ["transaction_id"]]
+    assert by_id[1][0][1] == str(ids.LEAST_BUCKETS) and plans[1].count("Bucketed: true") == 2
+    found = {(r.load_id, r.outcome): r.rows for r in store.read("load_history").where("load_id > 1").collect() if r.rows}
+    assert found == {
+        (2, "staged"): 42, (2, "duplicate"): 1, (2, "loaded_before"): 1, (2, "inserted"): 40,
+        (3, "staged"): 44, (3, "duplicate"): 2, (3, "loaded_before"): 41, (3, "inserted"): 1,
+    }
+
+
+def test_the_grain_of_a_load_is_counted_where_its_ids_lie(spark, store):
+    ids_of = spark.createDataFrame([("a",), ("b",), ("a",), ("c",), ("a",)], "transaction_id string")
+    rows = ids_of.select("transaction_id", F.lit(1).cast("bigint").alias("account_key"))
+    rule = quality.FactRule(("transaction_id",), ("transaction_id",), ("account_key",))
+    accounts = {"account_key": (spark.range(2).toDF("account_key"), "account_key")}
+    with store.load():
+        grain = ids.write_ids(store, "f", ids_of, 5)
+    counted = grain.groupBy("transaction_id").count()
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    found = [sorted(quality.constraint_violations(rows, "f", rule, accounts, g).collect()) for g in (None, grain)]
+    assert found[0] == found[1] and [tuple(r) for r in found[1]] == [("f", "unique", "transaction_id", 1, 3)]
+
+
+def test_keys_made_from_others_are_not_shuffled(spark, store):
+    """A load's late columns come after the rows lie by month, with the same names and values."""
+    rows = spark.createDataFrame([(f"t{n}", 20240101 + n) for n in range(5)], "transaction_id string, date_key int")
+    rows = rows.select(hash_key("transaction_id").alias("transaction_key"), "*")
+    store.append("f", rows)
+    with store.load():
+        store.write_load("g", rows, None, {"transaction_key": hash_key("transaction_id")})
+    assert store.read("g").columns == store.read("f").columns
+    assert sorted(store.read("g").collect()) == sorted(store.read("f").collect())
+
+
+def test_a_customer_batch_is_shuffled_once_by_its_key(spark):
+    rows = [(f"C{k}", "F", "L", 30, D(1000), 600, D("0.1"), "mass", date(2023, 1, 1), "B1") for k in range(5)]
+    batch = spark.createDataFrame(rows, schemas.STAGING["customers"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = history.merge_dim_customer(dimensions.unknown_customer(spark), batch, date(2024, 1, 1))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(") == 2 and merged.count() == 6
