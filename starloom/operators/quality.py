@@ -140,6 +140,10 @@ FACT_RULES = {
 }
 
 
+# Keys of the calendar and of fixed lookups: a fact has few combinations of them.
+FEW_KEYS = ("date_key", "merchant_category_key", "loan_product_key")
+
+
 def constraint_violations(
     fact: DataFrame,
     table: str,
@@ -149,16 +153,19 @@ def constraint_violations(
 ) -> DataFrame:
     """table_name, constraint_name, columns, keys, rows: what breaks the rule, by constraint; empty means all hold.
 
-    One scan: rows are counted by their grain, by each key and by which of their columns are empty, as grouping sets that are
-    combined map-side by typed values. Only values that occur meet the dimensions; ``references`` maps a key to (dimension,
-    column). An empty key breaks NOT NULL, neither the reference nor the grain. ``keys`` are the distinct values that break
-    a constraint, ``rows`` the rows that have them. ``grain`` may hold the grain of the same rows in a layout that groups
-    without a shuffle; it is counted there then, not in the fact.
+    One scan: rows are counted by their grain, by their keys of large dimensions, and by those of small ones with which of their
+    columns are empty, as grouping sets that are combined map-side by typed values. Single keys are made of these counts, and
+    only values that occur meet the dimensions; ``references`` maps a key to (dimension, column). An empty key breaks NOT NULL,
+    neither the reference nor the grain. ``keys`` are the distinct values that break a constraint, ``rows`` the rows that have
+    them. ``grain`` may hold the grain of the same rows in a layout that groups without a shuffle; it is counted there then,
+    not in the fact.
     """
     empty = reduce(lambda x, y: x + y, [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(rule.not_null)])
     counted = rule.grain if grain is None else ()
     by = [*dict.fromkeys([*counted, *rule.foreign_keys]), "_empty"]
-    sets = {frozenset(s) for s in [counted, *[[c] for c in rule.foreign_keys], ["_empty"]] if s}
+    few = [*[c for c in rule.foreign_keys if c in FEW_KEYS], "_empty"]
+    many = [c for c in rule.foreign_keys if c not in FEW_KEYS]
+    sets = {frozenset(s) for s in [counted, many, few] if s}
 
     def in_set(*columns: str) -> Column:
         """Whether a count belongs to the set of these columns: the grouping id has a bit for each other column."""
@@ -167,7 +174,7 @@ def constraint_violations(
     rows = fact.withColumn("_empty", empty).select(*by)
     used = rows.groupingSets([[F.col(c) for c in by if c in s] for s in sets], *by)
     used = used.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("rows"))
-    if counted and rule.grain not in {(c,) for c in rule.foreign_keys}:
+    if counted and set(rule.grain) != set(many):
         # Values of a grain that occur once are gone before anything is made of them.
         used = used.where(~in_set(*rule.grain) | (F.col("rows") > 1))
     text = {c: F.col(c).cast("string") for c in [*by, *rule.grain]}
@@ -177,8 +184,9 @@ def constraint_violations(
     )
     twice = entry("unique", ",".join(rule.grain), F.concat_ws("|", *[text[c] for c in rule.grain]))
     entries = [F.when(in_set(*rule.grain) & whole & (F.col("rows") > 1), twice)] if counted else []
-    entries += [F.when(in_set(c) & F.col(c).isNotNull(), entry("foreign key", c, text[c])) for c in rule.foreign_keys]
-    missing = [in_set("_empty") & (F.col("_empty").bitwiseAND(F.lit(1 << i)) != 0) for i in range(len(rule.not_null))]
+    among = {c: in_set(*(few if c in few else many)) for c in rule.foreign_keys}
+    entries += [F.when(among[c] & F.col(c).isNotNull(), entry("foreign key", c, text[c])) for c in rule.foreign_keys]
+    missing = [in_set(*few) & (F.col("_empty").bitwiseAND(F.lit(1 << i)) != 0) for i in range(len(rule.not_null))]
     entries += [F.when(m, entry("not null", c, F.lit(None).cast("string"))) for m, c in zip(missing, rule.not_null)]
     suspects = used.select(F.inline(F.array_compact(F.array(*entries))))
     if grain is not None:
@@ -191,12 +199,13 @@ def constraint_violations(
             for c, (dim, column) in references.items()
         ],
     )
+    # A key was counted beside others; values of a grain were not, and two of them may read alike.
+    values = F.when(F.col("constraint_name") == "unique", F.count(F.lit(1))).otherwise(F.lit(1).cast("bigint"))
+    once = suspects.groupBy("constraint_name", "columns", "key").agg(F.sum("rows").alias("rows"), values.alias("_values"))
     # Keys of a dimension are joined once.
-    broken = suspects.join(held, ["constraint_name", "columns", "key"], "left_anti")
-    # Empty columns were counted together with what else was empty in the row; they are one key.
-    keys = F.when(F.col("constraint_name") == "not null", F.lit(1).cast("bigint")).otherwise(F.count(F.lit(1)))
+    broken = once.join(held, ["constraint_name", "columns", "key"], "left_anti")
     return broken.groupBy(F.lit(table).alias("table_name"), "constraint_name", "columns").agg(
-        keys.alias("keys"), F.sum("rows").alias("rows")
+        F.sum("_values").alias("keys"), F.sum("rows").alias("rows")
     )
 
 

@@ -289,6 +289,25 @@ def test_constraints_count_typed_values_in_one_scan(spark):
     assert broken(("k",)) == {("unique", "k", 2, 4), *rest}
 
 
+def test_keys_are_counted_beside_each_other(spark):
+    """A row is counted once with its keys of large dimensions and once with those of small ones; keys stay distinct."""
+    rows = [("a", 1, 7, 1, 5), ("b", 1, 7, 2, 5), ("c", 2, 7, 2, 6), ("d", 2, 8, None, 6), (None, None, 1, 1, None)]
+    fact = spark.createDataFrame(
+        rows, "transaction_id string, date_key int, account_key long, customer_key long, merchant_category_key long"
+    )
+    names = quality.FACT_RULES["fact_transactions"].foreign_keys
+    rule = quality.FactRule(tuple(fact.columns), ("transaction_id",), names)
+    known = {c: (spark.createDataFrame([(1,)], f"{c} long"), c) for c in names}
+    found = quality.constraint_violations(fact, "f", rule, known, fact.select("transaction_id"))
+    expand = re.search(r"Expand \[(\[.*?\])\]", found._jdf.queryExecution().executedPlan().toString()).group(1)
+    assert expand.count("[") == 2
+    assert {tuple(r)[1:] for r in found.collect()} == {
+        ("foreign key", "date_key", 1, 2), ("foreign key", "account_key", 2, 4), ("foreign key", "customer_key", 1, 2),
+        ("foreign key", "merchant_category_key", 2, 4), ("not null", "transaction_id", 1, 1),
+        ("not null", "date_key", 1, 1), ("not null", "customer_key", 1, 1), ("not null", "merchant_category_key", 1, 1),
+    }
+
+
 def test_loads_do_not_nest(spark, store):
     with pytest.raises(RuntimeError, match="already running"), store.load():
         store.write_snapshot("a", spark.range(3))
