@@ -25,6 +25,9 @@ TRANSACTION_ORDER = [
     "is_fraud",
 ]
 
+# Bytes of staged files for a part of a load, and most parts.
+PART_BYTES, PARTS = 128 << 20, 8
+
 
 def or_unknown(key: Column | str) -> Column:
     """The looked-up key, or the unknown member's."""
@@ -51,6 +54,18 @@ def new_transactions(
     return rows
 
 
+def parts_by_id(staged: DataFrame) -> list[DataFrame]:
+    """The staged rows in parts by a hash of their id, each id whole in one: a part is shuffled, the others wait.
+
+    One part for PART_BYTES of the files below, at most PARTS, as each part reads the files.
+    """
+    leaves = staged._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    n = min(PARTS, size // PART_BYTES + 1)
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(n))
+    return [staged.where(part == i) for i in range(n)] if n > 1 else [staged]
+
+
 def fact_transactions(
     staged: DataFrame,
     dates: DataFrame,

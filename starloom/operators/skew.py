@@ -137,10 +137,13 @@ def windows(
     trailing_sum and trailing_rows over the current row and the ``trailing - 1`` rows before it. ``valued``: position
     (1 = highest value), value_rank, value_dense_rank and tile (1 = lowest values), equal values in (ts, tiebreak) order.
     Columns the caller does not use are pruned by the optimizer. ``points`` are those of ``window_points``, found here
-    if not given. The rows are read once, those of hot keys once more for the table of pieces (twice with ``trailing``).
+    if not given. The rows are read once, those of hot keys once more for the table of pieces; both orders at once read
+    them once more, see ``windows_by_part``.
     """
     key = columns.key
     points = window_points(df, columns, min_rows) if points is None else points
+    if ordered and valued:
+        return DataFrame.unionByName(*windows_by_part(df, columns, points, trailing, tiles))
     places = {}
     if ordered:
         places["_time"] = ("by_time", columns.by_time())
@@ -162,6 +165,30 @@ def windows(
     return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in result.items()])
 
 
+def windows_by_part(
+    df: DataFrame, columns: Columns, points: DataFrame, trailing: int | None = None, tiles: int = 4
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``windows`` in both orders: those of cold keys, and those of the hot keys of ``points``.
+
+    Rows of cold keys are shuffled once, by key, for both orders and for a join on the key that follows; only those of hot
+    keys are shuffled by their piece in time and again by their piece in value.
+    """
+    key = columns.key
+    places = {"_time": ("by_time", columns.by_time()), "_rank": ("by_value", columns.by_value())}
+    hot = with_pieces(df, key, points, places, "inner")
+    carried = _carried(hot, columns, points, True, True, trailing).withColumnRenamed(key, "_hot")
+    known = points.select(F.col(key).alias("_hot"))
+    cold = df.join(F.broadcast(known), F.col(key) == F.col("_hot"), "left_anti")
+    cold = _local_valued(_local_ordered(cold, columns, trailing, ()), columns, ())
+    cold = cold.withColumns({n: F.lit(None).cast(hot.schema[n].dataType) for n in places})
+    cold = cold.withColumns({n: F.lit(None).cast(carried.schema[n].dataType) for n in ("_timed", "_valued")})
+    hot = _local_valued(_local_ordered(hot, columns, trailing), columns)
+    hot = hot.join(F.broadcast(carried), F.col(key) == F.col("_hot"), "left")
+    result = _whole_ordered(trailing) | _whole_valued(columns, tiles)
+    cold, hot = (part.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in result.items()]) for part in (cold, hot))
+    return cold, hot
+
+
 def ordered_windows(
     df: DataFrame,
     key: str,
@@ -190,8 +217,8 @@ def value_windows(
     return windows(df, Columns(key, ts, tiebreak, value), points, ordered=False, valued=True, tiles=tiles, min_rows=min_rows)
 
 
-def _local_ordered(rows: DataFrame, columns: Columns, trailing: int | None) -> DataFrame:
-    order = W.partitionBy(columns.key, "_time").orderBy(columns.ts, columns.tiebreak)
+def _local_ordered(rows: DataFrame, columns: Columns, trailing: int | None, by: tuple[str, ...] = ("_time",)) -> DataFrame:
+    order = W.partitionBy(columns.key, *by).orderBy(columns.ts, columns.tiebreak)
     to_here = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     v = F.col(columns.value)
@@ -212,9 +239,9 @@ def _local_ordered(rows: DataFrame, columns: Columns, trailing: int | None) -> D
     return rows.withColumns(local)
 
 
-def _local_valued(rows: DataFrame, columns: Columns) -> DataFrame:
-    place = W.partitionBy(columns.key, "_rank").orderBy(F.desc(columns.value), columns.ts, columns.tiebreak)
-    by_value = W.partitionBy(columns.key, "_rank").orderBy(F.desc(columns.value))
+def _local_valued(rows: DataFrame, columns: Columns, by: tuple[str, ...] = ("_rank",)) -> DataFrame:
+    place = W.partitionBy(columns.key, *by).orderBy(F.desc(columns.value), columns.ts, columns.tiebreak)
+    by_value = W.partitionBy(columns.key, *by).orderBy(F.desc(columns.value))
     equal = by_value.rangeBetween(W.currentRow, W.currentRow)
     whole = place.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     return rows.withColumns(
@@ -233,8 +260,8 @@ def _carried(
 ) -> DataFrame:
     """(key, _timed, _valued): for each hot key, what its pieces need to know of the others, an entry for each piece.
 
-    Both tables of pieces come from one aggregation, combined map-side: rows count once for their piece in time and once
-    for their piece in value, there by exact value.
+    Both tables of pieces come from one aggregation: rows count once for their piece in time and once for their piece in
+    value, there by exact value. It is combined map-side, but for ``trailing``, where rows are ranked in their piece first.
     """
     key, value = columns.key, F.col(columns.value)
     kind = hot.schema[columns.value].dataType
@@ -244,15 +271,20 @@ def _carried(
     if valued:
         entries.append(F.struct(F.lit(False).alias("timed"), F.col("_rank").alias("piece"), value.alias("exact")))
     place = columns.by_time()
-    counted = (
-        hot.select(key, value.alias("_v"), place.alias("_place"), F.inline(F.array(*entries)))
-        .groupBy(key, "timed", "piece", "exact")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("_v").alias("s"),
-            F.min_by("_v", "_place").alias("first"),
-            F.max_by("_v", "_place").alias("last"),
-        )
+    rows = hot.select(key, value.alias("_v"), place.alias("_place"), F.inline(F.array(*entries)))
+    last = []
+    if ordered and trailing:
+        # Rows keep their rank from the end of the piece, so only trailing - 1 rows a piece are gathered.
+        newest = W.partitionBy(key, "timed", "piece").orderBy(F.desc("_place"))
+        rows = rows.withColumn("_nth", F.row_number().over(newest))
+        near = F.col("timed") & (F.col("_nth") < trailing)
+        last = [F.collect_list(F.when(near, F.struct("_nth", F.col("_v").alias("v")))).alias("tail")]
+    counted = rows.groupBy(key, "timed", "piece", "exact").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("_v").alias("s"),
+        F.min_by("_v", "_place").alias("first"),
+        F.max_by("_v", "_place").alias("last"),
+        *last,
     )
     at = F.struct(F.col("exact").alias("v"))
     pieces = counted.groupBy(key, "timed", "piece").agg(
@@ -265,15 +297,10 @@ def _carried(
         F.min(at).alias("lowest"),
         F.max_by("n", at).alias("n_highest"),
         F.min_by("n", at).alias("n_lowest"),
+        *[F.array_sort(F.first("tail"))["v"].alias("tail") for _ in last],
     )
     tail = []
     if ordered and trailing:
-        # Rows keep their rank from the end of the piece, so only trailing - 1 rows a piece are gathered.
-        newest = W.partitionBy(key, "_time").orderBy(F.desc(columns.ts), F.desc(columns.tiebreak))
-        ranked = hot.withColumn("_rank_", F.row_number().over(newest)).where(F.col("_rank_") < trailing)
-        tails = ranked.groupBy(key, F.col("_time").alias("piece")).agg(F.array_sort(F.collect_list(F.struct("_rank_", value.alias("v")))).alias("tail"))
-        tails = tails.select(key, "piece", F.lit(True).alias("timed"), F.col("tail.v").alias("tail"))
-        pieces = pieces.join(tails, [key, "timed", "piece"], "left")
         tail = [F.slice(F.flatten(F.reverse(F.collect_list("tail").over(W.partitionBy(key, "timed").orderBy("piece").rowsBetween(-(trailing - 1), -1)))), 1, trailing - 1).alias("tail")]
 
     # Along the pieces of a key: sums before, neighbours, and where the run of equal values at each border starts and ends.

@@ -19,7 +19,7 @@ from starloom.functions.keys import UNKNOWN_ID
 from starloom.functions.ratios import mean, percent
 from starloom.operators.dedup import first_per_key, latest_per_key
 from starloom.operators.percentiles import exact_percentiles, value_counts
-from starloom.operators.skew import HOT_ROWS, Columns, window_points, windows
+from starloom.operators.skew import HOT_ROWS, Columns, window_points, windows, windows_by_part
 
 MONEY = "decimal(38,2)"
 
@@ -253,29 +253,29 @@ def window_tour(
         first = _by_account(rows, accounts, key).orderBy(*order).limit(limit)
         shown = first.select("account_key").distinct()
         rows = rows.join(shown, "account_key", "left_semi")
-    windowed = windows(rows, BY_ACCOUNT, points, valued=True, trailing=7, tiles=4, min_rows=hot_rows)
-    answer = _by_account(
-        windowed,
-        accounts,
-        [
-            "transaction_ts",
-            "transaction_id",
-            calendar.key_to_date("date_key").alias("full_date"),
-            "amount",
-            F.col("seq").alias("txn_seq"),
-            F.col("value_rank").alias("amount_rank"),
-            F.col("value_dense_rank").alias("amount_dense_rank"),
-            F.col("tile").alias("amount_quartile"),
-            F.col("previous").alias("prev_amount"),
-            F.col("following").alias("next_amount"),
-            (F.col("amount") - F.col("previous")).alias("change_from_prev"),
-            F.col("first").alias("first_txn_amount"),
-            F.col("last").alias("last_txn_amount"),
-            F.col("running").cast(MONEY).alias("running_total"),
-            mean(F.col("trailing_sum"), F.col("trailing_rows"), 2).alias("moving_avg_7"),
-            percent(F.col("amount"), F.col("total"), 4).alias("pct_of_account_total"),
-        ],
-    )
+    points = fact_window_points(rows, hot_rows) if points is None else points
+    cold, hot = windows_by_part(rows, BY_ACCOUNT, points, trailing=7, tiles=4)
+    columns = [
+        "transaction_ts",
+        "transaction_id",
+        calendar.key_to_date("date_key").alias("full_date"),
+        "amount",
+        F.col("seq").alias("txn_seq"),
+        F.col("value_rank").alias("amount_rank"),
+        F.col("value_dense_rank").alias("amount_dense_rank"),
+        F.col("tile").alias("amount_quartile"),
+        F.col("previous").alias("prev_amount"),
+        F.col("following").alias("next_amount"),
+        (F.col("amount") - F.col("previous")).alias("change_from_prev"),
+        F.col("first").alias("first_txn_amount"),
+        F.col("last").alias("last_txn_amount"),
+        F.col("running").cast(MONEY).alias("running_total"),
+        mean(F.col("trailing_sum"), F.col("trailing_rows"), 2).alias("moving_avg_7"),
+        percent(F.col("amount"), F.col("total"), 4).alias("pct_of_account_total"),
+    ]
+    # Hot accounts are few, so their rows are not shuffled by account.
+    busy = F.broadcast(accounts.join(F.broadcast(points.select("account_key")), "account_key", "left_semi"))
+    answer = _by_account(cold, accounts, columns).unionByName(_by_account(hot, busy, columns))
     return answer if limit is None else _top(answer, order, limit)
 
 

@@ -9,13 +9,14 @@ with repeated transaction ids).
 from __future__ import annotations
 
 import uuid
-from datetime import date
+from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.functions import calendar
+from starloom.functions.keys import hash_key
 from starloom.operators import dimensions, facts, history
 from starloom.plans import analytics, views
 from starloom.session import shared_dir
@@ -316,6 +317,7 @@ class Star:
         staged: DataFrame | None = None,
         existing: DataFrame | None = None,
         load_id: int | None = None,
+        load_ts: Column | None = None,
     ) -> DataFrame:
         """The fact rows a load would append, not stored."""
         return facts.fact_transactions(
@@ -326,13 +328,20 @@ class Star:
             self.categories,
             existing,
             load_id,
+            load_ts,
         )
 
     @property
     def fact(self) -> DataFrame:
-        return self._stored(
-            "fact_transactions", lambda: self.load_fact(load_id=1), self.store.write_load
-        )
+        """Written part by part, so that the disk holds the shuffles of one part at a time."""
+        name = "fact_transactions"
+        if name not in self._tables:
+            now = F.lit(datetime.now(timezone.utc))
+            for part in facts.parts_by_id(self.staged):
+                rows = self.load_fact(part, load_id=1, load_ts=now)
+                self.store.write_load(name, rows, late={"transaction_key": hash_key("transaction_id")})
+            self._tables[name] = self.store.read(name)
+        return self._tables[name]
 
     @property
     def window_points(self) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from starloom.functions import calendar
 from starloom.schemas import columns
+from starloom.session import dropping_shuffles
 
 # Rows of a published table, and which writing they belong to.
 _ENTRY = columns(
@@ -226,7 +227,8 @@ class Store:
         counted = Observation()
         more = [c.alias(n) for n, c in (also or {}).items()]
         watched = df.observe(counted, F.count(F.lit(1)).alias("rows"), *more)
-        watched.write.partitionBy(*partitions).parquet(f"{self.root}/{folder}")
+        with dropping_shuffles(self.spark):
+            watched.write.partitionBy(*partitions).parquet(f"{self.root}/{folder}")
         return version, folder, counted.get
 
     def _write_by_month(self, table: str, df: DataFrame, month: str, late: dict[str, Column] | None = None) -> tuple[int, str, dict]:

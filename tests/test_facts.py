@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import dimensions, facts, history, quality
+from starloom.sources import sample
 
 D = Decimal
 
@@ -258,3 +259,21 @@ def test_loan_months_are_dense(spark, star):
         ("L2", 20240229, D(3000), D(0), "30-59", None),
     ]
     assert fact.where("loan_product_key = -1").count() == 1
+
+
+def test_a_load_in_parts_gives_the_same_rows(spark, monkeypatch):
+    """Each id is whole in one part, also a missing one, and a star loaded part by part has the rows of one load."""
+    ids = spark.range(300).selectExpr("if(id % 7 = 0, null, concat('T', id % 40)) AS transaction_id", "id AS n")
+    star = sample.Star(spark, "/root/testdata/sf0.001", "lineitem")
+    whole = star.load_fact(load_id=1).drop("created_at")
+    monkeypatch.setattr(facts, "PART_BYTES", 1)
+    monkeypatch.setattr(facts, "PARTS", 3)
+    parts = [p.collect() for p in facts.parts_by_id(ids)]
+    seen = [{r["transaction_id"] for r in p} for p in parts]
+    assert len(parts) == 3 and sum(map(len, seen)) == len(set.union(*seen)) == 41
+    assert sorted(r["n"] for p in parts for r in p) == list(range(300))
+    got = star.fact
+    assert len(star.store.loads("fact_transactions")) == 3
+    got = got.select(whole.columns)
+    assert got.exceptAll(whole).isEmpty() and whole.exceptAll(got).isEmpty()
+    assert star.fact.select("created_at").distinct().count() == 1

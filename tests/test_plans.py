@@ -123,3 +123,14 @@ def test_tasks_are_bounded_and_smaller_settings_stay(spark):
 @pytest.mark.parametrize(("size", "number"), [("64MB", 64 << 20), ("16m", 16 << 20), ("134217728b", 128 << 20), ("1024", 1024), ("2g", 2 << 30)])
 def test_sizes_are_read_as_spark_writes_them(size, number):
     assert session._bytes(size) == number
+
+
+def test_rows_of_cold_accounts_are_shuffled_once_for_all_windows(spark, no_broadcast, tmp_path):
+    """Time and value windows and the join with accounts share one shuffle; before, each had its own."""
+    star = sample.star(spark, SF_DIR, "lineitem")
+    analytics.fact_window_points(star.fact, hot_rows=20).write.parquet(str(tmp_path / "points"))
+    plan = plan_of(analytics.window_tour(star.fact, star.accounts, points=spark.read.parquet(str(tmp_path / "points"))))
+    cold = plan[plan.index("LeftAnti") - 2000 : plan.index("LeftAnti")]
+    above = plan[: plan.index("LeftAnti")]
+    assert "Exchange hashpartitioning(account_key" in cold
+    assert len(re.findall(r"Exchange hashpartitioning\(", above)) == 1 and above.count("Window [") == 3
