@@ -330,3 +330,31 @@ def test_only_texts_asked_for_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "MARKS", 1)
     assert asked <= {r["id"] for r in near_dup._sifted(texts, wanted).collect()}
     assert near_dup._sifted(texts, wanted.limit(0)).count() == 0
+
+
+def test_huge_clusters_are_divided_without_copies_of_their_sketches(spark, monkeypatch):
+    """One frequent text part ties all; before, each sketch went to as many tasks as the cluster had parts."""
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    monkeypatch.setattr(near_dup, "SKETCHES", 20)
+    sent = []
+    finer = near_dup._finer
+    monkeypatch.setattr(near_dup, "_finer", lambda sketched, big, percent: sent.extend(r["members"] for r in big.collect()) or finer(sketched, big, percent))
+    texts = [f"{t} tied here" for seed, n in enumerate((8, 60, 60, 90, 300)) for t in near_copies(14, n, 3 + n // 6, seed)]
+    docs = spark.createDataFrame([*enumerate([*texts, *texts[:9]]), (None, texts[0]), (400, None)], "doc_id long, text string").repartition(4)
+    check_groups(docs, 2, 80)
+    assert max(sent, default=0) <= 20
+
+
+@pytest.mark.parametrize("n", [4, 5, 10, 51, 64, 65, 80, 81, 400])
+def test_similar_sets_share_bands(n):
+    import numpy as np
+
+    r = np.random.default_rng(n)
+    shared = []
+    for _ in range(40):
+        union = r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        part = np.sort(union[: -(-n * 8 // 10)])
+        shared.append(len(np.intersect1d(near_dup._bands(part, 80), near_dup._bands(np.sort(union), 80))))
+    assert min(shared) > 0 and np.mean(shared) > 16
+    few = near_dup._smallest(union, near_dup.ORDERS, 3)
+    assert few.tolist() == [sorted(int(v >> np.uint64(32)) * int(a) % 2**32 for v in union)[:3] for a in near_dup.ORDERS]
